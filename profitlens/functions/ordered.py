@@ -119,53 +119,84 @@ def running_totals(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], slices: int | None = None
-) -> DataFrame:
+# How far around a wanted share the cuts lie. The slice between them is what gets
+# sorted, and the sketch that places the cuts is ten times finer.
+BRACKET = 5e-5
+SKETCH_ACCURACY = 200_000
+
+
+def _brackets(column: str, shares: Sequence[float]) -> Column:
+    around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-BRACKET, BRACKET)})
+    return F.percentile_approx(F.col(column).cast("double"), around, SKETCH_ACCURACY)
+
+
+def _slice_around(cuts: Column, n_cuts: int, value: Column) -> Column:
+    """Number of the slice: cuts below the value, with values equal to a cut on their own."""
+    at_or_below = sum(((F.get(cuts, F.lit(i)) <= value).cast("int") for i in range(n_cuts)), F.lit(0))
+    below = sum(((F.get(cuts, F.lit(i)) < value).cast("int") for i in range(n_cuts)), F.lit(0))
+    return at_or_below + below
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """Quantiles with linear interpolation: one row per column, ``(metric, quantiles)``.
 
-    Equal values are counted first, so a frequent value is one row. Only the
-    slices that hold a wanted rank are sorted.
+    A sketch brackets each wanted rank closely. Counting rows per slice tells
+    exactly which slices hold the ranks; only the values in those are grouped,
+    shuffled and sorted. A badly placed bracket would cost time, not exactness.
+    ``df`` is read three times, with these columns only: stage it when it is
+    costly to compute.
     """
-    slices = slices or slice_count(df.sparkSession)
-    metrics = F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
-    ])
-    counts = (
-        df.select(F.explode(metrics).alias("m"))
-        .select("m.metric", "m.value")
+    n_cuts = len({min(1.0, max(0.0, s + d)) for s in shares for d in (-BRACKET, BRACKET)})
+    cuts = df.agg(F.struct(*[_brackets(c, shares).alias(c) for c in columns])).scalar()
+    sliced = (
+        df.select(*columns)
+        .withColumn("_cuts", cuts)
+        .select(
+            F.inline(
+                F.array(*[
+                    F.struct(
+                        F.lit(c).alias("metric"),
+                        F.col(c).cast("double").alias("value"),
+                        _slice_around(F.col("_cuts")[c], n_cuts, F.col(c)).alias("slice"),
+                    )
+                    for c in columns
+                ])
+            )
+        )
         .filter(F.col("value").isNotNull())
-        .groupBy("metric", "value")
-        .agg(F.count("*").alias("n"))
-        # Always true, but it keeps n in every branch below, so that the
-        # branches share this shuffle instead of each counting again.
-        .filter(F.col("n") > 0)
     )
-    sliced = _with_slice(counts, "value", None, ("metric",), slices)
-    sums = _slice_sums(sliced, ("metric",), {"n": "n"}, descending=False)
-
-    ranks = [(F.col("_all_n") - 1) * F.lit(float(s)) for s in shares]
+    whole = Window.partitionBy("metric")
+    before = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # At most 2 * n_cuts + 1 rows per column.
+    slices = (
+        sliced.groupBy("metric", "slice")
+        .agg(F.count("*").alias("rows"))
+        .withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+        .withColumn("all_rows", F.sum("rows").over(whole))
+    )
+    ranks = [(F.col("all_rows") - 1) * F.lit(float(s)) for s in shares]
     wanted = [edge(r) for r in ranks for edge in (F.floor, F.ceil)]
-    needed = F.lit(False)
+    holds_rank = F.lit(False)
     for rank in wanted:
-        needed = needed | ((F.col("_before_n") <= rank) & (rank < F.col("_before_n") + F.col("_in_n")))
+        holds_rank = holds_rank | ((F.col("before") <= rank) & (rank < F.col("before") + F.col("rows")))
+
     inside = (
-        Window.partitionBy("metric", "_slice")
+        Window.partitionBy("metric", "slice")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     reached = (
-        sliced.join(F.broadcast(sums), ["metric", "_slice", "_tie_slice"])
-        .filter(needed)
-        .withColumn("_reached", F.col("_before_n") + F.sum("n").over(inside))
+        sliced.join(F.broadcast(slices.filter(holds_rank)), ["metric", "slice"])
+        .groupBy("metric", "slice", "before", "all_rows", "value")
+        .agg(F.count("*").alias("n"))
+        .withColumn("reached", F.col("before") + F.sum("n").over(inside))
     )
-    found = reached.groupBy("metric").agg(
-        F.first("_all_n").alias("_all_n"),
-        *[F.min(F.when(F.col("_reached") > rank, F.col("value"))).alias(f"_v{i}") for i, rank in enumerate(wanted)],
+    found = reached.groupBy("metric", "all_rows").agg(
+        *[F.min(F.when(F.col("reached") > rank, F.col("value"))).alias(f"v{i}") for i, rank in enumerate(wanted)]
     )
     quantiles = []
     for i, rank in enumerate(ranks):
-        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
         quantiles.append(low + (high - low) * (rank - F.floor(rank)))
     return found.select("metric", F.array(*quantiles).alias("quantiles"))
 

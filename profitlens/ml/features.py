@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from profitlens.operators.aggregates import customer_agg, customer_modes
 from profitlens.operators.sampling import ROW_IDENTITY, row_share
 from profitlens.session import stage
 
+MAX_CATEGORIES = 10_000
 MISSING_TEXT = "nan"  # Fixed value: the category of a missing value.
 
 
@@ -117,13 +118,28 @@ def churn_features(clv: DataFrame) -> FeatureSet:
 
 
 def fit_encoder(df: DataFrame, columns: tuple[str, ...]) -> StringIndexerModel:
-    """Alphabetical codes, fitted once and reused for scoring; unseen text gets the last code."""
-    return StringIndexer(
+    """Alphabetical codes, fitted once and reused for scoring; unseen text gets the last code.
+
+    The distinct texts come to the driver, so a column with too many of them is refused.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    found = (
+        df.select(F.inline(pairs))
+        .filter(F.col("value").isNotNull())
+        .distinct()
+        .limit(MAX_CATEGORIES * len(columns) + 1)
+        .collect()
+    )
+    labels = {c: sorted(row["value"] for row in found if row["column"] == c) for c in columns}
+    for c, values in labels.items():
+        if len(values) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} distinct values")
+    return StringIndexerModel.from_arrays_of_labels(
+        list(labels.values()),
         inputCols=list(columns),
         outputCols=[f"{c}_code" for c in columns],
-        stringOrderType="alphabetAsc",
         handleInvalid="keep",
-    ).fit(df)
+    )
 
 
 def label_encode(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -12,6 +12,7 @@ from profitlens.functions.arithmetic import holds
 from profitlens.functions.dates import parsed_moment, whole_days
 from profitlens.functions.ordered import quantile_lookup
 from profitlens.schema import CRITICAL_COLUMNS, OUTLIER_COLUMNS, TEXT_COLUMNS
+from profitlens.session import stage
 from profitlens.sources.csv import DATE_FORMATS
 
 CHECK_COLUMNS = ("unit_price", "quantity", "discount_amount", "order_item_total")
@@ -115,30 +116,22 @@ def outliers_adaptive(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFra
     return df.filter(not_outlier(df, outlier_method(df, settings), settings))
 
 
-def clean(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
-    """All cleaning steps in order."""
-    tidy = normalise_text(drop_missing(drop_duplicate_rows(df)))
-    checked = filter_financials(tidy, settings.financial_tolerance)
-    return outliers_adaptive(checked, settings)
-
+def clean_with_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """The clean rows, and one row that says how many rows each step took out.
 
-def cleaning_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
-    """How many rows each cleaning step takes out, in one row.
-
-    Copies are counted while they are dropped, and later steps only tag, so all
-    counts come from one pass over the distinct rows.
+    Dropping copies shuffles whole rows, so its result is staged, with the
+    number of copies; statistics, filter and report then only scan it. Later
+    steps merely tag rows, so one scan yields all counts.
     """
-    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    distinct = stage(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), "distinct_rows")
     complete = F.lit(True)
     for c in present(df, CRITICAL_COLUMNS):
         complete = complete & F.col(c).isNotNull()
     adds_up = money_adds_up(df, settings.financial_tolerance)
-    # The rules below look only at these columns, so their statistics are taken
-    # over the valid rows of the distinct table.
     valid = distinct.filter(complete & adds_up)
     method = outlier_method(valid, settings)
     usual = not_outlier(valid, method, settings)
-    return distinct.agg(
+    report = distinct.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("initial_rows"),
         F.lit(len(df.columns)).cast("bigint").alias("initial_cols"),
         (F.coalesce(F.sum("_copies"), F.lit(0)) - F.count("*")).alias("dropped_duplicates"),
@@ -148,6 +141,16 @@ def cleaning_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame
         F.lit(method).alias("outlier_method"),
         F.count_if(complete & adds_up & usual).alias("final_rows"),
     )
+    return normalise_text(valid.filter(usual).drop("_copies")), report
+
+
+def clean(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
+    """All cleaning steps in order."""
+    return clean_with_report(df, settings)[0]
+
+
+def cleaning_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
+    return clean_with_report(df, settings)[1]
 
 
 # Margin bands, each including its upper bound.

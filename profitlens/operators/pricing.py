@@ -83,14 +83,15 @@ def discount_buckets(tx: DataFrame) -> DataFrame:
     )
 
 
-def _recovered(cap: float) -> Column:
+def beyond_cap(cap: float) -> Column:
+    """Sales given away by discounts above the cap."""
     over = F.col("discount_rate") > cap
     return total(F.when(over, F.col("sales") * (F.col("discount_rate") - cap)))
 
 
 def revenue_at_risk(tx: DataFrame, cap: float = DEFAULTS.discount_cap) -> DataFrame:
     """Sales given away beyond the cap."""
-    return tx.agg(_recovered(cap).alias("revenue_at_risk"))
+    return tx.agg(beyond_cap(cap).alias("revenue_at_risk"))
 
 
 def discount_whatif(tx: DataFrame, cap: float = DEFAULTS.discount_cap) -> DataFrame:
@@ -99,7 +100,7 @@ def discount_whatif(tx: DataFrame, cap: float = DEFAULTS.discount_cap) -> DataFr
         total("profit").alias("current_profit"),
         F.count("*").alias("orders"),
         F.count_if(F.col("discount_rate") > cap).alias("breaching_orders"),
-        _recovered(cap).alias("recovered"),
+        beyond_cap(cap).alias("recovered"),
     )
     return sums.select(
         "current_profit",
@@ -118,7 +119,7 @@ def cap_sensitivity(
     sums = tx.agg(
         F.count("*").alias("orders"),
         *[F.count_if(F.col("discount_rate") > cap).alias(f"n{i}") for i, cap in enumerate(caps)],
-        *[_recovered(cap).alias(f"r{i}") for i, cap in enumerate(caps)],
+        *[beyond_cap(cap).alias(f"r{i}") for i, cap in enumerate(caps)],
     )
     current = DEFAULTS.discount_cap if selected is None else selected
     rows = F.array(*[

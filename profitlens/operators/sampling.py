@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS
@@ -31,6 +30,7 @@ SAMPLE_COLUMNS = (
 ROW_IDENTITY = ("customer_id", "order_id", "product_name", "order_date", "ship_date", "quantity", "sales", "discount_rate")
 
 HASH_SPAN = 2.0**64
+HASH_RANGES = 1 << 16
 
 
 def row_share(columns: Sequence[str], seed: int) -> Column:
@@ -43,19 +43,27 @@ def sample_rows(
 ) -> DataFrame:
     """Exactly ``min(rows, count)`` rows, the same ones each time.
 
-    A threshold on the row hash keeps slightly more rows than wanted, so only
-    about ``rows`` rows, not the table, meet in the final sort.
+    Counting rows per range of the row hash tells up to which range enough rows
+    are found, so only about ``rows`` rows, not the table, meet in the final sort.
     """
     identity = [c for c in identity if c in df.columns]
-    count = df.agg(F.count("*")).scalar()
-    margin = rows + 10 * math.sqrt(rows) + 100
-    share = row_share(identity, seed)
+    ranged = df.withColumn("_share", row_share(identity, seed)).withColumn(
+        "_range", F.floor(F.col("_share") * HASH_RANGES)
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        # At most HASH_RANGES + 1 rows.
+        ranged.groupBy("_range")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .filter(F.col("before") < rows)
+        .agg(F.max("_range"))
+    )
     return (
-        df.withColumn("_share", share)
-        .filter(F.col("_share") * count <= margin)
+        ranged.filter(F.col("_range") <= last.scalar())
         .orderBy("_share", *identity)
         .limit(rows)
-        .drop("_share")
+        .drop("_share", "_range")
     )
 
 

@@ -12,8 +12,11 @@ from profitlens.sources.tables import write_json, write_table
 
 
 def insights(customers: DataFrame, rfm: DataFrame, tx: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
-    """The headline findings in one row, each a scalar of its own table."""
-    segmented = segments.customer_segmentation(customers, settings.bleeder_quantile)
+    """The headline findings in one row, each a scalar of its own staged table."""
+    segmented = stage(
+        segments.customer_segmentation(customers, settings.bleeder_quantile).select("segment_class"), "segment_classes"
+    )
+    pareto = stage(segments.pareto_pct(customers, settings.pareto_target), "pareto")
     # One entry per segment label.
     distribution = (
         segments.value_counts(rfm, "rfm_segment")
@@ -22,10 +25,10 @@ def insights(customers: DataFrame, rfm: DataFrame, tx: DataFrame, settings: Thre
     )
     return (
         tx.agg(
-            F.round(pricing._recovered(settings.discount_cap), 2).alias("revenue_at_risk"),
+            F.round(pricing.beyond_cap(settings.discount_cap), 2).alias("revenue_at_risk"),
             F.round(kpis.pearson("discount_rate", "profit"), 4).alias("discount_profit_correlation"),
         )
-        .withColumn("pareto_pct", segments.pareto_pct(customers, settings.pareto_target).select("pareto_pct").scalar())
+        .withColumn("pareto_pct", pareto.select("pareto_pct").scalar())
         .withColumn("n_bleeders", segments.bleeder_count(segmented).scalar())
         .withColumn("rfm_distribution", distribution.scalar())
     )
@@ -76,10 +79,9 @@ def result_tables(tx: DataFrame, settings: Thresholds = DEFAULTS) -> dict[str, D
 def run_batch(raw: DataFrame, folder: str, settings: Thresholds = DEFAULTS, narrow: bool = False) -> list[str]:
     """Clean ``raw`` and write the report, the transactions and all result tables below ``folder``."""
     spark = raw.sparkSession
-    raw = stage(raw, "raw")
-    report = cleaning.cleaning_report(raw, settings)
+    rows, report = cleaning.clean_with_report(raw, settings)
     write_json(report, f"{folder}/cleaning_report.json")
-    paths = [write_table(cleaning.clean(raw, settings), folder, "transactions")]
+    paths = [write_table(rows, folder, "transactions")]
     tx = spark.read.parquet(paths[0])
     for name, table in result_tables(tx, settings).items():
         paths.append(write_table(table, folder, name, narrow))
