@@ -6,6 +6,8 @@ Written from the definitions, not from the Spark plans: plain windows, plain
 
 from __future__ import annotations
 
+import re
+
 TX = """
 SELECT o_custkey AS customer_id, l_orderkey AS order_id,
   concat(p_name, ' #', cast(p_partkey AS varchar)) AS product_name,
@@ -52,7 +54,7 @@ COMMON = {
         SELECT *, coalesce(abs(order_item_total - (unit_price * quantity - discount_amount)) <= 0.05, false) AS ok
         FROM faulty""",
     "customers": """
-        SELECT customer_id, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
+        SELECT customer_id, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
           round(sum(discount_rate), 6) / count(discount_rate) AS avg_discount,
           count(DISTINCT order_id) AS order_count,
           round(sum(profit_ratio), 6) / count(profit_ratio) AS avg_profit_ratio
@@ -63,28 +65,28 @@ COMMON = {
             row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, customer_segment) AS rn
           FROM tx GROUP BY customer_id, customer_segment) WHERE rn = 1""",
     "products": """
-        SELECT product_name, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
-          round(sum(quantity), 4) AS units_sold,
+        SELECT product_name, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
+          MONEY(quantity) AS units_sold,
           round(sum(discount_rate), 6) / count(discount_rate) AS avg_discount,
-          CASE WHEN sum(quantity) > 0 THEN round(sum(profit), 4) / round(sum(quantity), 4) ELSE 0 END
+          CASE WHEN sum(quantity) > 0 THEN MONEY(profit) / MONEY(quantity) ELSE 0 END
             AS profit_per_unit
         FROM tx GROUP BY product_name""",
     "markets": """
-        SELECT market, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
-          count(sales) AS order_count, round(sum(profit), 4) / round(sum(sales), 4) * 100 AS profit_margin_pct
+        SELECT market, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
+          count(sales) AS order_count, MONEY(profit) / MONEY(sales) * 100 AS profit_margin_pct
         FROM tx GROUP BY market""",
     "regions": """
-        SELECT order_region, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
-          count(sales) AS order_count, round(sum(profit), 4) / round(sum(sales), 4) * 100 AS profit_margin_pct
+        SELECT order_region, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
+          count(sales) AS order_count, MONEY(profit) / MONEY(sales) * 100 AS profit_margin_pct
         FROM tx GROUP BY order_region""",
     "months": """
-        SELECT strftime(order_date, '%Y-%m') AS month, round(sum(sales), 4) AS monthly_revenue,
-          round(sum(profit), 4) AS monthly_profit, count(sales) AS order_count
+        SELECT strftime(order_date, '%Y-%m') AS month, MONEY(sales) AS monthly_revenue,
+          MONEY(profit) AS monthly_profit, count(sales) AS order_count
         FROM tx WHERE order_date IS NOT NULL GROUP BY 1""",
     "categories": """
-        SELECT category_name, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
+        SELECT category_name, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
           round(sum(profit_ratio), 6) / count(profit_ratio) AS avg_profit_ratio,
-          round(sum(quantity), 4) AS units_sold, count(sales) AS volume
+          MONEY(quantity) AS units_sold, count(sales) AS volume
         FROM tx GROUP BY category_name""",
     "health": """
         SELECT category_name, total_sales AS total_revenue, total_profit, avg_profit_ratio, volume,
@@ -97,10 +99,10 @@ COMMON = {
         SELECT customer_segment, round(corr(discount_rate, profit), 6) AS discount_profit_correlation
         FROM tx GROUP BY customer_segment""",
     "sums": """
-        SELECT round(sum(sales), 4) AS revenue, round(sum(profit), 4) AS profit,
-          round(coalesce(sum(sales) FILTER (discount_rate = 0), 0), 4) AS revenue0,
-          round(coalesce(sum(profit) FILTER (discount_rate = 0), 0), 4) AS profit0,
-          round(sum(benefit_per_order), 4) AS benefit,
+        SELECT MONEY(sales) AS revenue, MONEY(profit) AS profit,
+          MONEY(CASE WHEN discount_rate = 0 THEN sales END) AS revenue0,
+          MONEY(CASE WHEN discount_rate = 0 THEN profit END) AS profit0,
+          MONEY(benefit_per_order) AS benefit,
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM tx""",
     "category_margin": """
         SELECT round(sum(m), 6) / count(m) * 100 AS average FROM (
@@ -118,7 +120,7 @@ COMMON = {
         FROM sums, category_margin""",
     "rfm_dated": """
         SELECT customer_id, cast(floor(epoch(max(max(order_date)) OVER () - max(order_date)) / 86400) AS bigint) AS recency,
-          count(DISTINCT order_id) AS frequency, round(sum(sales), 4) AS monetary
+          count(DISTINCT order_id) AS frequency, MONEY(sales) AS monetary
         FROM tx GROUP BY customer_id""",
     "rfm_edges": """
         SELECT quantile_cont(recency, [0, .25, .5, .75, 1]) AS r, quantile_cont(frequency, [0, .25, .5, .75, 1]) AS f,
@@ -145,7 +147,7 @@ COMMON = {
     "rated": """
         SELECT *, CASE WHEN total_sales > 0 THEN total_profit / total_sales ELSE 0 END AS margin,
           profit_per_unit AS profit_density,
-          units_sold / (SELECT round(sum(units_sold), 4) FROM products) AS volume_contribution
+          units_sold / (SELECT MONEY(units_sold) FROM products) AS volume_contribution
         FROM products""",
     "efficient": """
         SELECT *, round(
@@ -157,21 +159,23 @@ COMMON = {
         FROM rated""",
     "pareto": """
         SELECT customer_id, total_profit, row_number() OVER w AS customer_rank,
-          round(sum(total_profit) OVER w, 4) AS cumulative_profit,
-          round(sum(total_profit) OVER w / sum(total_profit) OVER (), 6) AS cumulative_pct
+          cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double) AS cumulative_profit,
+          round(cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double)
+            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double), 6) AS cumulative_pct
         FROM customers WHERE total_profit > 0
         WINDOW w AS (ORDER BY total_profit DESC, md5(cast(customer_id AS varchar)) ROWS UNBOUNDED PRECEDING)""",
     "abc_shares": """
         SELECT product_name, total_profit,
-          round(sum(total_profit) OVER (ORDER BY total_profit DESC, md5(product_name) ROWS UNBOUNDED PRECEDING)
-            / round(sum(total_profit) OVER (), 4), 6) AS cumulative_profit_pct FROM products""",
+          round(cast(sum(cast(total_profit AS decimal(28, 4)))
+              OVER (ORDER BY total_profit DESC, md5(product_name) ROWS UNBOUNDED PRECEDING) AS double)
+            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double), 6) AS cumulative_profit_pct FROM products""",
     "abc": """
         SELECT *, CASE WHEN cumulative_profit_pct <= 0.70 THEN 'A (Top 70%)'
           WHEN cumulative_profit_pct <= 0.90 THEN 'B (70–90%)' ELSE 'C (Bottom 10%)' END AS abc_class FROM abc_shares""",
     "nodes": """
-        SELECT latitude, longitude, order_country, round(sum(profit), 4) AS total_profit,
-          round(sum(sales), 4) AS total_sales, count(sales) AS order_count,
-          CASE WHEN round(sum(profit), 4) >= 0 THEN 'Profitable' ELSE 'Loss-Making' END AS profit_status
+        SELECT latitude, longitude, order_country, MONEY(profit) AS total_profit,
+          MONEY(sales) AS total_sales, count(sales) AS order_count,
+          CASE WHEN MONEY(profit) >= 0 THEN 'Profitable' ELSE 'Loss-Making' END AS profit_status
         FROM tx GROUP BY latitude, longitude, order_country""",
     "late_days": """
         SELECT *, cast(floor(epoch(ship_date - order_date) / 86400) AS bigint) AS delivery_delay_days,
@@ -222,8 +226,6 @@ COMMON = {
 
 def _needed(body: str) -> list[str]:
     """The common tables a text mentions, with those they mention, in definition order."""
-    import re
-
     used: set[str] = set()
     todo = [body]
     while todo:
@@ -235,15 +237,27 @@ def _needed(body: str) -> list[str]:
     return [name for name in COMMON if name in used]
 
 
+def _money_sums(text: str) -> str:
+    """Write out ``MONEY(x)``: the sum of x at four decimals, added up exactly."""
+    while (start := text.find("MONEY(")) >= 0:
+        end, depth = start + len("MONEY("), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[end], 0)
+            end += 1
+        value = text[start + len("MONEY(") : end - 1]
+        text = f"{text[:start]}cast(coalesce(sum(cast({value} AS decimal(18, 4))), 0) AS double){text[end:]}"
+    return text
+
+
 def _with_common(body: str) -> str:
     tables = ",\n".join(f"{name} AS ({COMMON[name]})" for name in _needed(body))
-    return f"WITH {tables}\n{body.strip()}" if tables else body.strip()
+    return _money_sums(f"WITH {tables}\n{body.strip()}" if tables else body.strip())
 
 
 def _kept(source: str, condition: str = "true") -> str:
-    return f"""SELECT count(*) AS rows, cast(coalesce(sum(order_id), 0) AS bigint) AS order_id_sum,
-      round(sum(sales), 4) AS sales_sum, round(sum(profit), 4) AS profit_sum,
-      round(sum(discount_amount), 4) AS discount_sum FROM {source} WHERE {condition}"""
+    return f"""SELECT count(*) AS rows, cast(coalesce(sum(order_id % 1000003), 0) AS bigint) AS order_id_sum,
+      MONEY(sales) AS sales_sum, MONEY(profit) AS profit_sum,
+      MONEY(discount_amount) AS discount_sum FROM {source} WHERE {condition}"""
 
 
 def _zscore(limit: float) -> str:
@@ -269,9 +283,9 @@ def _whatif(cap: float) -> str:
       SELECT current_profit, n AS breaching_orders, n / orders * 100 AS breach_pct, recovered,
         round(current_profit + recovered, 4) AS simulated_profit,
         recovered / greatest(abs(current_profit), 1.0) * 100 AS recovery_rate_pct
-      FROM (SELECT round(sum(profit), 4) AS current_profit, count(*) AS orders,
+      FROM (SELECT MONEY(profit) AS current_profit, count(*) AS orders,
         count(*) FILTER (discount_rate > {cap}) AS n,
-        round(coalesce(sum(sales * (discount_rate - {cap}::double)) FILTER (discount_rate > {cap}::double), 0), 4) AS recovered
+        MONEY(CASE WHEN discount_rate > {cap}::double THEN sales * (discount_rate - {cap}::double) END) AS recovered
         FROM tx)"""
 
 
@@ -280,7 +294,7 @@ def _caps(caps: tuple[float, ...], current: float) -> str:
     return f"""
       SELECT cap, count(*) FILTER (discount_rate > cap) AS breaching_orders,
         count(*) FILTER (discount_rate > cap) / count(*) * 100 AS affected_pct,
-        round(coalesce(sum(sales * (discount_rate - cap)) FILTER (discount_rate > cap), 0), 4) AS estimated_recovery,
+        MONEY(CASE WHEN discount_rate > cap THEN sales * (discount_rate - cap) END) AS estimated_recovery,
         abs(cap - {current}) < 0.005 AS is_current_policy
       FROM tx, (VALUES {values}) AS c(cap) GROUP BY cap"""
 
@@ -311,16 +325,16 @@ BODIES: dict[str, str] = {
     "csv_scan": """SELECT customer_id, order_id, product_name, market,
         strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date,
         quantity, sales, profit, discount_rate, late_delivery_risk FROM tx""",
-    "normalise_columns": """SELECT customer_id, round(sum(benefit_per_order), 4) AS benefit_per_order,
-        round(sum(profit), 4) AS profit FROM tx GROUP BY customer_id""",
+    "normalise_columns": """SELECT customer_id, MONEY(benefit_per_order) AS benefit_per_order,
+        MONEY(profit) AS profit FROM tx GROUP BY customer_id""",
     "typed_transactions": """SELECT order_id, CASE WHEN quantity NOT IN (48, 49) THEN quantity END AS quantity, sales,
         CASE WHEN late_delivery_risk = 1 THEN 1.0::double END AS late_delivery_risk, market FROM tx""",
     "parquet_roundtrip": "SELECT * FROM markets",
     "narrow_floats": """SELECT order_id, cast(cast(sales AS float) AS double) AS sales,
         cast(cast(profit AS float) AS double) AS profit FROM tx""",
     "view_catalog": """SELECT 'market_agg' AS view_name, market AS key, total_sales, order_count FROM markets
-        UNION ALL SELECT 'shipping_agg', shipping_mode, round(sum(sales), 4), count(*) FROM tx GROUP BY shipping_mode""",
-    "sql_query": """SELECT market, count(*) AS orders, round(sum(sales), 4) AS total_sales FROM tx
+        UNION ALL SELECT 'shipping_agg', shipping_mode, MONEY(sales), count(*) FROM tx GROUP BY shipping_mode""",
+    "sql_query": """SELECT market, count(*) AS orders, MONEY(sales) AS total_sales FROM tx
         WHERE sales > 1000 AND customer_segment = 'BUILDING' GROUP BY market""",
     "preview": """SELECT customer_id, order_id, product_name, sales, discount_rate, profit FROM tx
         ORDER BY customer_id, order_id, product_name, sales, discount_rate, profit LIMIT 100""",
@@ -331,7 +345,7 @@ BODIES: dict[str, str] = {
     "parse_dates": """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 10 = 0 THEN NULL
         WHEN o_orderkey % 10 = 1 THEN strftime(date_trunc('minute', o_orderdate), '%Y-%m-%d %H:%M:%S')
         ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_date FROM orders""",
-    "financial_validation": """SELECT ok AS finval_ok, count(*) AS rows, cast(sum(order_id) AS bigint) AS order_id_sum
+    "financial_validation": """SELECT ok AS finval_ok, count(*) AS rows, cast(coalesce(sum(order_id % 1000003), 0) AS bigint) AS order_id_sum
         FROM fitting GROUP BY ok""",
     "financial_filter": _kept("fitting", "ok"),
     "outliers_zscore": _kept(f"tx, {STATS}", _zscore(3)),
@@ -355,7 +369,7 @@ BODIES: dict[str, str] = {
     "clean_transactions": _kept("judged", "complete AND ok AND usual"),
     "margin_band": """SELECT CASE WHEN profit_ratio <= 0 THEN 'Loss' WHEN profit_ratio <= 0.10 THEN 'Thin (<10%)'
         WHEN profit_ratio <= 0.25 THEN 'Healthy (10-25%)' ELSE 'Star (>25%)' END AS margin_band,
-        count(*) AS orders, cast(sum(order_id) AS bigint) AS order_id_sum FROM tx GROUP BY 1""",
+        count(*) AS orders, cast(coalesce(sum(order_id % 1000003), 0) AS bigint) AS order_id_sum FROM tx GROUP BY 1""",
     "delivery_delay": "SELECT delivery_delay_days, count(*) AS orders FROM late_days GROUP BY 1",
     "delivery_overrun": """SELECT shipping_mode, cast(sum(delivery_overrun_days) AS bigint) AS overrun_days,
         min(delivery_overrun_days) AS min_overrun, max(delivery_overrun_days) AS max_overrun
@@ -365,7 +379,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'category_name', category_name FROM tx GROUP BY 2
         UNION ALL SELECT 'market', market FROM tx GROUP BY 2 ORDER BY 1, 2""",
     "policy_breach_orders": """SELECT CASE WHEN discount_rate > 0.05 THEN 'violation' ELSE 'compliant' END AS policy,
-        count(*) AS orders, round(sum(profit), 4) AS profit FROM tx GROUP BY 1""",
+        count(*) AS orders, MONEY(profit) AS profit FROM tx GROUP BY 1""",
     "policy_breach_rows": """SELECT customer_id, order_id, product_name, sales, profit, discount_rate
         FROM tx WHERE discount_rate > 0.09""",
     "nonnegative_sales": _kept("(SELECT * REPLACE (round(sales - 1000, 4) AS sales) FROM tx)", "sales >= 0"),
@@ -375,7 +389,7 @@ BODIES: dict[str, str] = {
         printf('%.2f%%', profit_margin_pct) AS profit_margin_pct FROM markets ORDER BY markets.profit_margin_pct DESC""",
     # joins
     "transactions_join": """SELECT market, customer_segment, category_name, department_name, count(*) AS items,
-        round(sum(sales), 4) AS sales, round(sum(profit), 4) AS profit, cast(sum(late_delivery_risk) AS bigint) AS late
+        MONEY(sales) AS sales, MONEY(profit) AS profit, cast(sum(late_delivery_risk) AS bigint) AS late
         FROM tx GROUP BY ALL""",
     "customer_with_segment": """SELECT customers.*,
         total_profit / order_count AS customer_value_index, customer_segment
@@ -394,8 +408,8 @@ BODIES: dict[str, str] = {
         FROM customers JOIN segment_modes USING (customer_id)""",
     "customer_modes": "SELECT customer_id, customer_segment, shipping_mode, category_name FROM wide_modes",
     "category_agg": """SELECT category_name, total_sales, total_profit, avg_profit_ratio, units_sold,
-        total_sales / round(sum(total_sales) OVER (), 4) AS revenue_share,
-        (total_sales / round(sum(total_sales) OVER (), 4)) * (total_sales / round(sum(total_sales) OVER (), 4))
+        total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double) AS revenue_share,
+        (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double)) * (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double))
           AS hhi_contribution FROM categories""",
     "product_agg": "SELECT * FROM products",
     "market_agg": "SELECT * FROM markets",
@@ -404,9 +418,9 @@ BODIES: dict[str, str] = {
     "places_agg": """SELECT 'market' AS dimension, market AS value, * EXCLUDE (market) FROM markets
         UNION ALL SELECT 'order_region', order_region, * EXCLUDE (order_region) FROM regions
         UNION ALL SELECT 'order_country', order_region, * EXCLUDE (order_region) FROM regions""",
-    "shipping_agg": """SELECT shipping_mode, round(sum(sales), 4) AS total_sales, round(sum(profit), 4) AS total_profit,
+    "shipping_agg": """SELECT shipping_mode, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
         count(sales) AS order_count, cast(sum(delivery_overrun_days) AS double) / count(*) AS avg_overrun_days,
-        round(sum(profit), 4) / round(sum(sales), 4) * 100 AS profit_margin_pct
+        MONEY(profit) / MONEY(sales) * 100 AS profit_margin_pct
         FROM late_days GROUP BY shipping_mode""",
     "geo_nodes": "SELECT * FROM nodes",
     "geo_summary": """SELECT greatest(abs(min(total_profit)), abs(max(total_profit))) AS color_range,
@@ -434,12 +448,12 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 4, 'Net Profit', total_profit FROM kpis)""",
     "filtered_kpis": """SELECT revenue, profit, profit / revenue * 100 AS margin_pct,
         revenue / orders AS average_order_value, customers, orders
-        FROM (SELECT round(sum(sales), 4) AS revenue, round(sum(profit), 4) AS profit,
+        FROM (SELECT MONEY(sales) AS revenue, MONEY(profit) AS profit,
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM selected)""",
     "filtered_discount_leak": """SELECT revenue, profit, profit / revenue * 100 AS margin_pct,
         revenue / orders AS average_order_value, customers, orders,
         round(revenue * (SELECT discount_impact_ratio_pct FROM kpis) / 100, 4) AS discount_leak
-        FROM (SELECT round(sum(sales), 4) AS revenue, round(sum(profit), 4) AS profit,
+        FROM (SELECT MONEY(sales) AS revenue, MONEY(profit) AS profit,
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM selected)""",
     "cohort_retention": """SELECT cohort, months_later, customers, cohort_size, customers / cohort_size AS retention FROM (
         SELECT strftime(first_date, '%Y-%m') AS cohort, datediff('month', first_date, order_date) AS months_later,
@@ -454,23 +468,23 @@ BODIES: dict[str, str] = {
     "running_best": """SELECT month, monthly_revenue, max(monthly_revenue) OVER (ORDER BY month) AS best_so_far FROM months""",
     # pricing
     "discount_curve": """SELECT (b - 1) / 20.0::double AS bracket_low, b / 20.0::double AS bracket_high,
-        round(round(sum(profit), 6) / count(profit), 4) AS avg_profit
+        round(MONEY(profit) / count(profit), 4) AS avg_profit
         FROM (SELECT cast(ceil(round(discount_rate * 20, 6)) AS bigint) AS b, profit FROM tx
           WHERE discount_rate > 0 AND discount_rate <= 1) GROUP BY b""",
     "discount_sensitivity": """SELECT round(discount_rate * 20) / 20 AS discount_bracket, count(*) AS order_count,
-        round(sum(profit_ratio), 6) / count(*) AS avg_margin, round(sum(sales), 4) AS total_revenue
+        round(sum(profit_ratio), 6) / count(*) AS avg_margin, MONEY(sales) AS total_revenue
         FROM tx WHERE discount_rate <= 0.30 GROUP BY 1 ORDER BY 1""",
-    "discount_buckets": """SELECT discount_bucket, bucket_no, count(profit) AS orders, round(sum(profit), 4) AS total_profit,
-        round(round(sum(profit), 6) / count(profit), 4) AS avg_profit
+    "discount_buckets": """SELECT discount_bucket, bucket_no, count(profit) AS orders, MONEY(profit) AS total_profit,
+        round(MONEY(profit) / count(profit), 4) AS avg_profit
         FROM tx JOIN (VALUES (-0.01, 0.05, '0–5%', 1), (0.05, 0.10, '5–10%', 2), (0.10, 0.15, '10–15%', 3),
           (0.15, 0.20, '15–20%', 4), (0.20, 0.25, '20–25%', 5), (0.25, 0.30, '25–30%', 6), (0.30, 0.50, '30–50%', 7),
           (0.50, 1.00, '50%+', 8)) AS b(low, high, discount_bucket, bucket_no)
           ON round(discount_rate, 6) > low::double AND round(discount_rate, 6) <= high::double
         GROUP BY 1, 2""",
-    "revenue_at_risk": """SELECT round(coalesce(sum(sales * (discount_rate - 0.05::double))
-        FILTER (discount_rate > 0.05::double), 0), 4) AS revenue_at_risk FROM tx""",
-    "revenue_at_risk_default_cap": """SELECT round(coalesce(sum(sales * (discount_rate - 0.25::double))
-        FILTER (discount_rate > 0.25::double), 0), 4) AS revenue_at_risk FROM tx""",
+    "revenue_at_risk": """SELECT MONEY(CASE WHEN discount_rate > 0.05::double
+        THEN sales * (discount_rate - 0.05::double) END) AS revenue_at_risk FROM tx""",
+    "revenue_at_risk_default_cap": """SELECT MONEY(CASE WHEN discount_rate > 0.25::double
+        THEN sales * (discount_rate - 0.25::double) END) AS revenue_at_risk FROM tx""",
     "discount_whatif": _whatif(0.05),
     "cap_sensitivity": _caps((0.02, 0.03, 0.04, 0.05, 0.06, 0.07, 0.08), 0.05),
     "cap_sensitivity_default_caps": _caps((0.05, 0.10, 0.15, 0.20, 0.25, 0.30, 0.35, 0.40), 0.25),
@@ -504,13 +518,13 @@ BODIES: dict[str, str] = {
     "pareto_pct": """SELECT count(*) FILTER (cumulative_pct <= 0.80) AS pareto_customers,
         round(count(*) FILTER (cumulative_pct <= 0.80) / (SELECT count(*) FROM customers) * 100, 2) AS pareto_pct FROM pareto""",
     "abc_classification": "SELECT product_name, total_profit, cumulative_profit_pct, abc_class FROM abc",
-    "abc_summary": "SELECT abc_class, count(*) AS products, round(sum(total_profit), 4) AS total_profit FROM abc GROUP BY 1",
+    "abc_summary": "SELECT abc_class, count(*) AS products, MONEY(total_profit) AS total_profit FROM abc GROUP BY 1",
     "abc_top_products": """SELECT abc_class, product_name, total_profit, rank::int AS rank FROM (
         SELECT *, row_number() OVER (PARTITION BY abc_class ORDER BY total_profit DESC, product_name) AS rank FROM abc)
         WHERE rank <= 3""",
     "abc_top20": "SELECT product_name, total_profit, abc_class FROM abc ORDER BY total_profit DESC, product_name LIMIT 20",
     "insights": """SELECT
-        (SELECT round(round(coalesce(sum(sales * (discount_rate - 0.05::double)) FILTER (discount_rate > 0.05::double), 0), 4), 2)
+        (SELECT round(MONEY(CASE WHEN discount_rate > 0.05::double THEN sales * (discount_rate - 0.05::double) END), 2)
           FROM tx) AS revenue_at_risk,
         (SELECT round(round(corr(discount_rate, profit), 6), 4) FROM tx) AS discount_profit_correlation,
         (SELECT round(count(*) FILTER (cumulative_pct <= 0.80) / (SELECT count(*) FROM customers) * 100, 2) FROM pareto)
@@ -533,12 +547,12 @@ BODIES: dict[str, str] = {
     "top_products_pei": """SELECT product_name, total_sales, product_efficiency_index FROM efficient
         WHERE total_sales > 1000 ORDER BY product_efficiency_index DESC, product_name LIMIT 10""",
     "top_categories": """SELECT category_name, total_sales, total_profit, avg_profit_ratio, units_sold,
-        total_sales / round(sum(total_sales) OVER (), 4) AS revenue_share,
-        (total_sales / round(sum(total_sales) OVER (), 4)) * (total_sales / round(sum(total_sales) OVER (), 4))
+        total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double) AS revenue_share,
+        (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double)) * (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double))
           AS hhi_contribution FROM categories ORDER BY total_profit DESC, category_name LIMIT 15""",
     "loss_products": """SELECT product_name, total_profit FROM products WHERE total_profit < 0
         ORDER BY total_profit, product_name LIMIT 12""",
-    "loss_products_total": """SELECT count(*) AS loss_products, round(sum(total_profit), 4) AS total_loss
+    "loss_products_total": """SELECT count(*) AS loss_products, MONEY(total_profit) AS total_loss
         FROM products WHERE total_profit < 0""",
     "high_risk_orders": """SELECT risk_score, customer_id, order_id, product_name, sales, discount_rate, profit FROM risky
         WHERE risk_score >= 0.7
@@ -547,7 +561,7 @@ BODIES: dict[str, str] = {
     "top_ltv_customers": """SELECT customer_id, '$' || format('{:,}', cast(round(total_sales) AS bigint)) AS total_sales,
         order_count, printf('%.1f%%', ltv_score * 100) AS ltv_score
         FROM ltv ORDER BY ltv.ltv_score DESC, customer_id LIMIT 10""",
-    "high_risk_revenue": """SELECT count(*) AS high_risk_customers, round(coalesce(sum(total_sales), 0), 4) AS revenue_at_risk
+    "high_risk_revenue": """SELECT count(*) AS high_risk_customers, MONEY(total_sales) AS revenue_at_risk
         FROM ltv WHERE ltv_score >= 0.5""",
     "market_scorecard": "SELECT * FROM markets ORDER BY profit_margin_pct DESC, market",
     "markets_by_profit": "SELECT * FROM markets ORDER BY total_profit DESC, market",
@@ -555,14 +569,14 @@ BODIES: dict[str, str] = {
     "health_ranking": "SELECT * FROM health ORDER BY health_score DESC, category_name",
     # features and metrics
     "delivery_risk_features": """SELECT shipping_mode, market, late_delivery_risk AS label, count(*) AS rows,
-        round(sum(discount_rate), 4) AS discount_rate, round(sum(quantity), 4) AS quantity,
-        round(sum(unit_price), 4) AS unit_price, round(sum(discount_rate * quantity), 4) AS disc_x_qty,
-        round(sum(unit_price * quantity), 4) AS price_x_qty, round(sum(round(ln(1 + unit_price), 6)), 4) AS log_price
+        round(sum(discount_rate), 2) AS discount_rate, round(sum(quantity), 2) AS quantity,
+        round(sum(unit_price), 2) AS unit_price, round(sum(discount_rate * quantity), 2) AS disc_x_qty,
+        round(sum(unit_price * quantity), 2) AS price_x_qty, round(sum(round(ln(1 + unit_price), 6)), 2) AS log_price
         FROM tx GROUP BY 1, 2, 3""",
     "ltv_features": "SELECT * FROM ltv_table",
     "margin_risk_features": """SELECT shipping_mode, market, customer_segment, category_name,
         CASE WHEN profit < 0 THEN 1 ELSE 0 END AS label, count(*) AS rows,
-        round(sum(discount_rate), 4) AS discount_rate, round(sum(unit_price), 4) AS unit_price
+        MONEY(discount_rate) AS discount_rate, round(sum(unit_price), 2) AS unit_price
         FROM tx GROUP BY 1, 2, 3, 4, 5""",
     "churn_features": """SELECT customer_id, total_revenue, total_profit, cast(order_count AS double) AS order_count,
         avg_discount, clv_score, cast(churn_risk AS int) AS label FROM clv""",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS
-from profitlens.functions.arithmetic import mean, percent_or_zero, ratio, total
+from profitlens.functions.arithmetic import money_mean, percent_or_zero, ratio, total
 
 BRACKETS_PER_UNIT = 20  # brackets of five percent
 
@@ -36,7 +36,7 @@ def discount_curve(tx: DataFrame) -> DataFrame:
     return (
         tx.filter((F.col("discount_rate") > 0) & (F.col("discount_rate") <= 1))
         .groupBy(bracket.alias("bracket"))
-        .agg(mean("profit").alias("avg_profit"))
+        .agg(money_mean("profit").alias("avg_profit"))
         .select(
             ((F.col("bracket") - 1) / F.lit(float(BRACKETS_PER_UNIT))).alias("bracket_low"),
             (F.col("bracket") / F.lit(float(BRACKETS_PER_UNIT))).alias("bracket_high"),
@@ -73,7 +73,7 @@ def discount_buckets(tx: DataFrame) -> DataFrame:
         .agg(
             F.count("profit").alias("orders"),
             total("profit").alias("total_profit"),
-            mean("profit").alias("avg_profit"),
+            money_mean("profit").alias("avg_profit"),
         )
         .filter(F.col("orders") > 0)
         .select(

@@ -138,6 +138,9 @@ def product_quadrants(products: DataFrame, min_sales: float = 1000.0) -> DataFra
     )
 
 
+MONEY = "decimal(28,4)"  # running totals add up exactly, wherever the slices are cut
+
+
 # --- concentration ------------------------------------------------------------
 
 
@@ -147,18 +150,19 @@ def pareto_curve(customers: DataFrame) -> DataFrame:
         customers.filter(F.col("total_profit") > 0)
         .select("customer_id", "total_profit")
         .withColumn("_one", F.lit(1).cast("bigint"))
+        .withColumn("_money", F.col("total_profit").cast(MONEY))
     )
     whole = winners.agg(total("total_profit")).scalar()
     return (
         running_totals(
             winners,
             by="total_profit",
-            totals={"total_profit": "cumulative_profit", "_one": "customer_rank"},
+            totals={"_money": "_cumulative", "_one": "customer_rank"},
             tie="customer_id",
             descending=True,
         )
+        .withColumn("cumulative_profit", F.col("_cumulative").cast("double"))
         .withColumn("cumulative_pct", F.round(F.col("cumulative_profit") / whole, 6))
-        .withColumn("cumulative_profit", F.round("cumulative_profit", 4))
         .select("customer_id", "total_profit", "customer_rank", "cumulative_profit", "cumulative_pct")
     )
 
@@ -188,13 +192,17 @@ def abc_classification(
     Loss makers are part of the whole, so the share can pass 1 and fall again.
     """
     whole = products.agg(total("total_profit")).scalar()
-    share = F.round(F.try_divide(F.col("_cumulative"), whole), 6)
+    share = F.round(F.try_divide(F.col("_cumulative").cast("double"), whole), 6)
     return (
         running_totals(
-            products, by="total_profit", totals={"total_profit": "_cumulative"}, tie="product_name", descending=True
+            products.withColumn("_money", F.col("total_profit").cast(MONEY)),
+            by="total_profit",
+            totals={"_money": "_cumulative"},
+            tie="product_name",
+            descending=True,
         )
         .withColumn("cumulative_profit_pct", share)
-        .drop("_cumulative")
+        .drop("_money", "_cumulative")
         .withColumn(
             "abc_class",
             F.when(F.col("cumulative_profit_pct") <= a_share, ABC_A)
