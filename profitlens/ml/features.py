@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from profitlens.config import DEFAULTS
 from profitlens.functions.arithmetic import zero_if_not_finite
 from profitlens.functions.ordered import quantile_lookup
-from profitlens.operators.aggregates import customer_agg, customer_modes
+from profitlens.operators.aggregates import customer_agg
 from profitlens.operators.sampling import ROW_IDENTITY, row_share
 from profitlens.session import stage
 
@@ -89,12 +89,12 @@ def margin_risk_features(tx: DataFrame) -> FeatureSet:
 
 def ltv_features(tx: DataFrame, quantile: float = 0.75) -> FeatureSet:
     """Customers with habits and usual place; the label is high sales, which is no feature itself."""
-    customers = customer_agg(tx, with_segment=False).select(
-        "customer_id", "total_sales", "order_count", "avg_discount"
+    places = ("customer_segment", "market", "order_region")
+    base = stage(
+        customer_agg(tx, usual=places).drop("total_profit", "avg_profit_ratio", "customer_value_index"), "ltv_base"
     )
-    base = stage(customers.join(customer_modes(tx), "customer_id", "left"), "ltv_base")
     high = quantile_lookup(base, ["total_sales"], (quantile,))["total_sales"][0]
-    categorical = _present(base, ("customer_segment", "market", "order_region"))
+    categorical = _present(base, places)
     numeric = ("avg_discount", "order_count")
     table = base.select(
         "customer_id",

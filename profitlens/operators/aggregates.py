@@ -23,9 +23,9 @@ def most_frequent(column: str) -> Column:
     return F.mode(column, True)
 
 
-def customer_agg(tx: DataFrame, with_segment: bool = True) -> DataFrame:
-    """Sales, profit, discount, orders and value per customer, with the usual segment."""
-    keep_segment = with_segment and "customer_segment" in tx.columns
+def customer_agg(tx: DataFrame, usual: tuple[str, ...] = ("customer_segment",)) -> DataFrame:
+    """Sales, profit, discount, orders and value per customer, with their usual segment or more."""
+    usual = tuple(c for c in usual if c in tx.columns)
     totals = (
         tx.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
@@ -35,14 +35,12 @@ def customer_agg(tx: DataFrame, with_segment: bool = True) -> DataFrame:
             mean("discount_rate").alias("avg_discount"),
             order_count(tx).alias("order_count"),
             mean("profit_ratio").alias("avg_profit_ratio"),
-            *([most_frequent("customer_segment").alias("customer_segment")] if keep_segment else []),
+            *[most_frequent(c).alias(c) for c in usual],
         )
     )
     value = ratio_or_zero(F.col("total_profit"), F.col("order_count"))
     columns = ["customer_id", "total_sales", "total_profit", "avg_discount", "order_count", "avg_profit_ratio"]
-    return totals.select(
-        *columns, value.alias("customer_value_index"), *(["customer_segment"] if keep_segment else [])
-    )
+    return totals.select(*columns, value.alias("customer_value_index"), *usual)
 
 
 def customer_modes(
@@ -57,10 +55,9 @@ def customer_modes(
 
 
 def customer_with_segment(tx: DataFrame) -> DataFrame:
-    """Customer totals joined to their usual segment; both sides are grouped by the join key."""
-    return customer_agg(tx, with_segment=False).join(
-        customer_modes(tx, ("customer_segment",)), "customer_id", "left"
-    )
+    """Customer totals joined to their usual segment, which is staged to be computed on its own."""
+    usual = stage(customer_modes(tx, ("customer_segment",)), "customer_segments")
+    return customer_agg(tx, usual=()).join(usual, "customer_id", "left")
 
 
 def category_agg(tx: DataFrame) -> DataFrame:

@@ -20,45 +20,74 @@ from profitlens.operators.aggregates import order_count
 from profitlens.session import stage
 
 
-def category_margin_mean(tx: DataFrame) -> DataFrame:
-    """Mean of the category means of the profit ratio, in percent (one row)."""
-    if "category_name" not in tx.columns:
-        return tx.sparkSession.range(1).select(F.lit(0.0).alias("average_category_margin_pct"))
-    return (
-        tx.filter(F.col("category_name").isNotNull())
-        .groupBy("category_name")
-        .agg(mean("profit_ratio").alias("m"))
-        .agg((mean("m") * 100).alias("average_category_margin_pct"))
+def macro_kpis(tx: DataFrame) -> DataFrame:
+    """Revenue, profit, margins, order value, customers and orders in one row.
+
+    Each row is unfolded to one row for its category with the amounts, one for
+    its customer and one for its order. Grouped by those keys, mostly before
+    the shuffle, they give category means and distinct counts in a single pass.
+    """
+    undiscounted = F.col("discount_rate") == 0
+    nothing = F.lit(None).cast("double")
+    amounts = {
+        "revenue": F.col("sales"),
+        "profit": F.col("profit"),
+        "revenue0": F.when(undiscounted, F.col("sales")),
+        "profit0": F.when(undiscounted, F.col("profit")),
+        "benefit": F.col("benefit_per_order") if "benefit_per_order" in tx.columns else nothing,
+        "profit_ratio": F.col("profit_ratio") if "profit_ratio" in tx.columns else nothing,
+    }
+    category = F.col("category_name") if "category_name" in tx.columns else F.lit(None)
+
+    def unfolded(kind: str, text: Column, number: Column, filled: bool) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            text.cast("string").alias("text"),
+            number.cast("bigint").alias("number"),
+            *[(value if filled else nothing).cast("double").alias(name) for name, value in amounts.items()],
+        )
+
+    kinds = [
+        unfolded("category", category, F.lit(None), True),
+        unfolded("customer", F.lit(None), F.col("customer_id"), False),
+    ]
+    if "order_id" in tx.columns:
+        kinds.append(unfolded("order", F.lit(None), F.col("order_id"), False))
+    grouped = (
+        tx.select(F.inline(F.array(*kinds)))
+        .groupBy("kind", "text", "number")
+        .agg(
+            *[total(name).alias(name) for name in amounts if name != "profit_ratio"],
+            mean("profit_ratio").alias("margin"),
+            F.count("*").alias("rows"),
+        )
     )
 
+    def distinct(kind: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("number").isNotNull())
 
-def macro_kpis(tx: DataFrame) -> DataFrame:
-    """Revenue, profit, margins, order value, customers and orders in one row."""
-    undiscounted = F.col("discount_rate") == 0
-    has_benefit = "benefit_per_order" in tx.columns
-    sums = tx.agg(
-        total("sales").alias("revenue"),
-        total("profit").alias("profit"),
-        total(F.when(undiscounted, F.col("sales"))).alias("revenue0"),
-        total(F.when(undiscounted, F.col("profit"))).alias("profit0"),
-        (total("benefit_per_order") if has_benefit else F.lit(None).cast("double")).alias("benefit"),
-        F.countDistinct("customer_id").alias("customers"),
-        (order_count(tx) if "order_id" in tx.columns else F.count("*")).alias("orders"),
+    rows = F.coalesce(F.sum(F.when(F.col("kind") == "category", F.col("rows"))), F.lit(0))
+    sums = grouped.agg(
+        *[total(name).alias(name) for name in ("revenue", "profit", "revenue0", "profit0", "benefit")],
+        mean(F.when(F.col("text").isNotNull(), F.col("margin"))).alias("category_margin"),
+        distinct("customer").alias("customers"),
+        (distinct("order") if "order_id" in tx.columns else rows).alias("orders"),
     )
     margin = percent_or_zero(F.col("profit"), F.col("revenue"))
     margin0 = percent_or_zero(F.col("profit0"), F.col("revenue0"))
+    benefit = F.col("benefit") if "benefit_per_order" in tx.columns else nothing
     return sums.select(
         F.round("revenue", 2).alias("total_revenue"),
         F.round("profit", 2).alias("total_profit"),
         F.round(margin, 4).alias("profit_margin_pct"),
         F.round(margin0, 4).alias("margin_zero_discount_pct"),
         F.round(margin0 - margin, 4).alias("discount_impact_ratio_pct"),
-        F.round(category_margin_mean(tx).scalar(), 4).alias("average_category_margin_pct"),
+        F.round(F.coalesce(F.col("category_margin"), F.lit(0.0)) * 100, 4).alias("average_category_margin_pct"),
         F.round(F.coalesce(ratio(F.col("revenue"), F.col("orders")), F.lit(0.0)), 2).alias("average_order_value"),
         F.col("customers").alias("n_unique_customers"),
         F.col("orders").alias("n_orders"),
-        F.col("benefit").alias("benefit_per_order_total"),
-        F.round(F.col("benefit") - F.col("profit"), 2).alias("benefit_vs_profit_delta"),
+        benefit.alias("benefit_per_order_total"),
+        F.round(benefit - F.col("profit"), 2).alias("benefit_vs_profit_delta"),
     )
 
 
@@ -233,7 +262,10 @@ def filtered_kpis(tx: DataFrame) -> DataFrame:
 
 
 def discount_leak(kpis: DataFrame, selection: DataFrame) -> DataFrame:
-    """Revenue of a selection lost to discounts, at the company-wide discount impact."""
+    """Revenue of a selection lost to discounts, at the company-wide discount impact.
+
+    ``kpis`` is the one-row KPI table, staged or read from where it was written.
+    """
     impact = kpis.select("discount_impact_ratio_pct").scalar()
     return selection.withColumn("discount_leak", F.round(F.col("revenue") * impact / 100, 4))
 
@@ -242,16 +274,28 @@ def correlation_matrix(
     tx: DataFrame,
     columns: tuple[str, ...] = ("discount_rate", "profit", "sales", "quantity", "profit_ratio"),
 ) -> DataFrame:
-    """All pairwise correlations as a long table, computed in one pass."""
+    """All pairwise correlations as a long table, in one pass over the rows.
+
+    Rows are unfolded to pairs and combined right there: one small group per
+    pair keeps the aggregate compiled, which many columns side by side do not.
+    """
     columns = tuple(c for c in columns if c in tx.columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = tx.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{a}|{b}`").alias("correlation"))
-        for a, b in pairs
-        for x, y in dict.fromkeys(((a, b), (b, a)))
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    pairs = F.array(*[
+        F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"),
+            F.col(a).cast("double").alias("va"), F.col(b).cast("double").alias("vb"),
+        )
+        for i, a in enumerate(columns)
+        for b in columns[i:]
+    ])
+    found = tx.select(F.inline(pairs)).groupBy("a", "b").agg(pearson("va", "vb").alias("correlation"))
+    both_ways = F.array_distinct(
+        F.array(
+            F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
+            F.struct(F.col("b").alias("x"), F.col("a").alias("y")),
+        )
+    )
+    return found.select(F.inline(both_ways), "correlation")
 
 
 def discount_profit_correlation(tx: DataFrame) -> DataFrame:

@@ -136,7 +136,10 @@ def cap_sensitivity(
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Counts in equal-width bins between the smallest and largest value."""
+    """Counts in equal-width bins between the smallest and largest value.
+
+    Reads the column twice: stage it when it is costly to compute.
+    """
     df = df.filter(F.col(value).isNotNull())
     span = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
     width = (span["high"] - span["low"]) / F.lit(float(bins))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.config import DEFAULTS
 from profitlens.functions.arithmetic import percent_or_zero, total
 from profitlens.operators.filters import kept_columns
+from profitlens.session import stage
 
 # Columns the sample keeps.
 SAMPLE_COLUMNS = (
@@ -51,11 +52,10 @@ def sample_rows(
         "_range", F.floor(F.col("_share") * HASH_RANGES)
     )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most HASH_RANGES + 1 rows; staged, so that each pass is planned on its own.
+    sizes = stage(ranged.groupBy("_range").agg(F.count("*").alias("n")), "hash_ranges")
     last = (
-        # At most HASH_RANGES + 1 rows.
-        ranged.groupBy("_range")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .filter(F.col("before") < rows)
         .agg(F.max("_range"))
     )

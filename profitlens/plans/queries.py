@@ -46,7 +46,7 @@ tx = star.transactions
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(aggregates.customer_agg(tx(spark, folder), with_segment=False), "customers")
+    return stage(aggregates.customer_agg(tx(spark, folder), usual=()), "customers")
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
@@ -475,12 +475,12 @@ def discount_profit_correlation(spark, folder):
 
 @query()
 def profit_histogram(spark, folder):
-    return pricing.histogram(tx(spark, folder).select("profit"), "profit", 60)
+    return pricing.histogram(stage(tx(spark, folder).select("profit"), "profit"), "profit", 60)
 
 
 @query()
 def loss_histogram(spark, folder):
-    return pricing.histogram(tx(spark, folder).select("profit").filter(F.col("profit") < 0), "profit", 30)
+    return pricing.histogram(stage(tx(spark, folder).select("profit").filter(F.col("profit") < 0), "losses"), "profit", 30)
 
 
 @query()
@@ -502,14 +502,14 @@ def filtered_kpis(spark, folder):
 def filtered_discount_leak(spark, folder):
     items = tx(spark, folder)
     selection = kpis.filtered_kpis(filters.cross_filter(items, **SELECTION))
-    return kpis.discount_leak(kpis.macro_kpis(items), selection)
+    return kpis.discount_leak(stage(kpis.macro_kpis(items), "macro_kpis"), selection)
 
 
 @query()
 def sample_scaled_kpis(spark, folder):
     items = tx(spark, folder).select(*sampling.ROW_IDENTITY, "profit", "customer_segment", "market")
     sample = stage(sampling.sample_rows(items, 15000), "ui_sample")
-    full = items.agg(F.count("*")).scalar()
+    full = stage(items.agg(F.count("*").alias("n")), "full_rows").scalar()
     return sampling.sample_scaled_kpis(sample, filters.cross_filter(sample, **SELECTION), full)
 
 
@@ -716,13 +716,13 @@ def elasticity_band(spark, folder):
 
 @query()
 def top_customers_profit(spark, folder):
-    table = aggregates.customer_agg(tx(spark, folder), with_segment=False)
+    table = aggregates.customer_agg(tx(spark, folder), usual=())
     return ranking.top(table, "total_profit", "customer_id", 10).select("customer_id", "total_sales", "total_profit")
 
 
 @query()
 def bottom_customers(spark, folder):
-    table = aggregates.customer_agg(tx(spark, folder), with_segment=False)
+    table = aggregates.customer_agg(tx(spark, folder), usual=())
     return ranking.top(table, "total_profit", "customer_id", 5, lowest=True).select("customer_id", "total_profit")
 
 
@@ -763,12 +763,12 @@ def high_risk_orders(spark, folder):
 
 @query()
 def risk_histogram(spark, folder):
-    return pricing.histogram(rule_score(tx(spark, folder)).select("risk_score"), "risk_score", 50)
+    return pricing.histogram(stage(rule_score(tx(spark, folder)).select("risk_score"), "risk"), "risk_score", 50)
 
 
 @query()
 def top_ltv_customers(spark, folder):
-    table = customer_rule_score(aggregates.customer_agg(tx(spark, folder), with_segment=False))
+    table = customer_rule_score(aggregates.customer_agg(tx(spark, folder), usual=()))
     return ranking.top(table, "ltv_score", "customer_id", 10).select(
         "customer_id",
         ranking.dollars(F.col("total_sales")).alias("total_sales"),
@@ -779,7 +779,7 @@ def top_ltv_customers(spark, folder):
 
 @query()
 def high_risk_revenue(spark, folder):
-    table = customer_rule_score(aggregates.customer_agg(tx(spark, folder), with_segment=False))
+    table = customer_rule_score(aggregates.customer_agg(tx(spark, folder), usual=()))
     return ranking.high_risk_revenue(table, "ltv_score", "total_sales", 0.5)
 
 
@@ -876,7 +876,7 @@ def model_gates(spark, folder):
     margin = metrics.roc_auc(items.withColumn("score", -F.col("unit_price")), "score", "loss")
     table = mlf.ltv_features(tx(spark, folder)).table
     ltv = metrics.roc_auc(table, "order_count", "label")
-    both = margin.select(F.col("auc").alias("margin_auc"), ltv.scalar().alias("ltv_auc"))
+    both = margin.select(F.col("auc").alias("margin_auc"), stage(ltv, "ltv_auc").scalar().alias("ltv_auc"))
     return both.withColumns(metrics.model_gates(F.col("margin_auc"), F.col("ltv_auc")))
 
 
