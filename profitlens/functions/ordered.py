@@ -201,8 +201,22 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return found.select("metric", F.array(*quantiles).alias("quantiles"))
 
 
-def quantile_lookup(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> Column:
-    """The quantiles as one map value, ``lookup[column][i]``, usable in any expression."""
+SMALL_ROWS = 200_000
+
+
+def quantile_lookup(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], small_rows: int | None = None
+) -> Column:
+    """The quantiles as one value, ``lookup[column][i]``, usable in any expression.
+
+    Up to ``small_rows`` rows, which is counted first, one aggregate holds all
+    values; beyond that ``exact_quantiles`` keeps the work distributed. ``df``
+    should be a staged table: counting and reading it again has to be cheap.
+    """
+    if df.count() <= (SMALL_ROWS if small_rows is None else small_rows):
+        return df.agg(
+            F.struct(*[F.percentile(F.col(c).cast("double"), list(shares)).alias(c) for c in columns])
+        ).scalar()
     found = exact_quantiles(df, columns, shares)
     # One entry per named column.
     return found.agg(F.map_from_entries(F.collect_list(F.struct("metric", "quantiles")))).scalar()

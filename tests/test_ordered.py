@@ -82,6 +82,16 @@ def scores(spark, values, **options):
     return [r["s"] for r in df.withColumn("s", quartile_score(F.col("v"), edges, **options)).orderBy("i").collect()]
 
 
+@pytest.mark.parametrize("small_rows", [0, 10_000], ids=["distributed", "one aggregate"])
+def test_lookup_is_the_same_either_way(spark, small_rows):
+    values = [v for _, v in hot(1001, 8)]
+    df = spark.createDataFrame([(v, v * 2) for v in values], "x double, y double")
+    found = quantile_lookup(df, ["x", "y"], (0.25, 0.5), small_rows=small_rows)
+    row = df.select(found["x"].alias("x"), found["y"].alias("y")).first()
+    assert row["x"] == pytest.approx(list(np.quantile(values, (0.25, 0.5))), abs=1e-12)
+    assert row["y"] == pytest.approx(list(np.quantile([v * 2 for v in values], (0.25, 0.5))), abs=1e-12)
+
+
 def test_equal_values_share_a_quartile(spark):
     assert scores(spark, [1, 2, 2, 2, 3, 4, 5, 6]) == [1, 1, 1, 1, 3, 3, 4, 4]
     assert scores(spark, [1, 2, 2, 2, 3, 4, 5, 6], lowest_first=False) == [4, 4, 4, 4, 2, 2, 1, 1]

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from profitlens.functions import ordered
 from profitlens.plans.queries import all_queries
 
 QUERIES = all_queries()
@@ -27,8 +28,9 @@ def test_no_python_rows_and_no_cross_joins(spark, data, name):
 
 
 @pytest.mark.parametrize("name", ["rfm_segments", "abc_classification", "pareto_curve", "product_quadrants", "outliers_iqr"])
-def test_ordered_work_is_partitioned(spark, data, name):
+def test_ordered_work_is_partitioned(spark, data, name, monkeypatch):
     """Windows over values are partitioned by slice; only slice sums are windowed as a whole."""
+    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
     for window in re.findall(r"Window \[.*?windowspecdefinition\((.*?)\)", plan_of(QUERIES[name](spark, data))):
         assert "slice" in window or "metric" in window
 
