@@ -1,26 +1,35 @@
 """Running totals and exact quantiles over tables of any size.
 
-A window ordered over a whole table runs in one task. Here the ordered values
-are first cut into slices at approximate quantiles of the data itself. Each
-slice is summed, the few slice sums are accumulated, and the running total
-inside a slice starts from what the slices before it add up to. Where the cuts
-fall changes only the balance between tasks, never the result.
+A window ordered over a whole table runs in one task. That is fine for a table
+whose size was checked; beyond it the ordered values are cut into slices at
+quantiles of a sample. Each slice is summed, the few slice sums are
+accumulated, and the running total inside a slice starts from what the slices
+before it add up to. Where the cuts fall changes only the balance between
+tasks, never the result.
 
 A value that many rows share would fill one slice. Such a value is a cut
 itself, and the rows equal to a cut form slices of their own, divided by the
 leading digits of the md5 of the row key. Ties are ordered by that md5 for
 this reason.
+
+The tables are read several times: stage them when they are costly to compute.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+SMALL_ROWS = 1_000_000  # what one task may order
+SMALL_VALUES = 200_000  # what one aggregate may hold
+SAMPLE_ROWS = 4_000_000  # what the cuts are taken from
+SKETCH_ACCURACY = 100_000
 MAX_SLICES = 1024
 TIE_SLICES = 256
+SEED = 42
 
 
 def slice_count(spark: SparkSession) -> int:
@@ -32,55 +41,53 @@ def slice_count(spark: SparkSession) -> int:
     return max(16, min(MAX_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _cuts(by: str, slices: int) -> Column:
-    shares = [i / slices for i in range(1, slices)]
-    return F.array_distinct(F.percentile_approx(by, shares, 20 * slices))
-
-
-def _cuts_at_or_below(cuts: Column, value: Column, slices: int) -> Column:
-    """How many of the sorted cuts are <= value (binary search)."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(slices.bit_length()))])
+def sample_cuts(df: DataFrame, rows: int, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float]]:
+    """Approximate quantiles of each column, sorted and distinct.
 
-    def step(found: Column, width: Column) -> Column:
-        fits = (found + width <= F.size(cuts)) & (F.get(cuts, found + width - 1) <= value)
-        return F.when(fits, found + width).otherwise(found)
+    A sample of bounded size keeps the sketches small that meet in one task,
+    and at most one number per share comes to the driver.
+    """
+    sample = df if rows <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / rows, SEED)
+    found = sample.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), list(shares), SKETCH_ACCURACY).alias(c) for c in columns]
+    ).first()
+    return {c: sorted(set(found[c] or [])) for c in columns}
 
-    return F.aggregate(steps, F.lit(0), step)
 
+def with_slices(df: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Add ``_slice_<column>``, the slice a value falls in, and ``_at_cut_<column>``.
 
-def _with_slice(df: DataFrame, by: str, tie: str | None, group: Sequence[str], slices: int) -> DataFrame:
-    if group:
-        # One row per group; the groups are a fixed list of column names.
-        cuts = df.groupBy(*group).agg(_cuts(by, slices).alias("_cuts"))
-        df = df.join(F.broadcast(cuts), list(group))
-    else:
-        df = df.withColumn("_cuts", df.agg(_cuts(by, slices)).scalar())
-    df = df.withColumn("_below", _cuts_at_or_below(F.col("_cuts"), F.col(by), slices))
-    at_cut = (F.col("_below") > 0) & (F.get("_cuts", F.col("_below") - 1) == F.col(by))
-    tie_slice = F.lit(0)
-    if tie is not None:
-        df = df.withColumn("_tie", F.md5(F.col(tie).cast("string")))
-        tie_slice = F.conv(F.substring("_tie", 1, 2), 16, 10).cast("int")
-    return (
-        df.withColumn("_slice", F.col("_below") * 2 - at_cut.cast("int"))
-        .withColumn("_tie_slice", F.when(at_cut, tie_slice).otherwise(F.lit(0)))
-        .drop("_cuts", "_below")
-    )
+    Values equal to a cut have a slice of their own, between their neighbours.
+    """
+    cut = {c: edges for c, edges in cuts.items() if edges}
+    added = {f"_at_or_below_{c}": F.lit(0) for c in cuts if c not in cut}
+    if cut:
+        infinity = float("inf")
+        df = Bucketizer(
+            splitsArray=[[-infinity, *edges, infinity] for edges in cut.values()],
+            inputCols=list(cut),
+            outputCols=[f"_at_or_below_{c}" for c in cut],
+            handleInvalid="keep",
+        ).transform(df)
+    df = df.withColumns({**added, **{f"_at_or_below_{c}": F.col(f"_at_or_below_{c}").cast("int") for c in cut}})
+    for c, edges in cuts.items():
+        position, at_cut = F.col(f"_at_or_below_{c}"), F.lit(False)
+        if edges:
+            sorted_edges = F.expr(f"array({', '.join(f'double({edge!r})' for edge in edges)})")
+            at_cut = F.coalesce(F.get(sorted_edges, position - 1) == F.col(c).cast("double"), F.lit(False))
+        df = df.withColumn(f"_at_cut_{c}", at_cut).withColumn(
+            f"_slice_{c}", position * 2 - F.col(f"_at_cut_{c}").cast("int")
+        )
+    return df
 
 
-def _slice_sums(sliced: DataFrame, group: Sequence[str], totals: dict[str, str], descending: bool) -> DataFrame:
-    """Per slice: its sums, the sums of all slices before it, and of the whole group."""
-    slice_order = F.col("_slice").desc() if descending else F.col("_slice")
-    whole = Window.partitionBy(*group)
-    before = whole.orderBy(slice_order, "_tie_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sliced.groupBy(*group, "_slice", "_tie_slice").agg(
-        *[F.sum(c).alias(f"_in_{c}") for c in totals]
-    )
-    return sums.select(
-        *group, "_slice", "_tie_slice",
-        *[F.col(f"_in_{c}") for c in totals],
-        *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in totals],
-        *[F.sum(f"_in_{c}").over(whole).alias(f"_all_{c}") for c in totals],
+def _with_slice(df: DataFrame, by: str, tie: str | None, cuts: Sequence[float]) -> DataFrame:
+    sliced = with_slices(df, {by: list(cuts)}).withColumnRenamed(f"_slice_{by}", "_slice")
+    if tie is None:
+        return sliced.withColumn("_tie_slice", F.lit(0))
+    first_digits = F.conv(F.substring("_tie", 1, 2), 16, 10).cast("int")
+    return sliced.withColumn("_tie", F.md5(F.col(tie).cast("string"))).withColumn(
+        "_tie_slice", F.when(F.col(f"_at_cut_{by}"), first_digits).otherwise(F.lit(0))
     )
 
 
@@ -92,6 +99,7 @@ def running_totals(
     descending: bool = False,
     group: Sequence[str] = (),
     slices: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add a running total of each column in ``totals`` (column -> name of the result).
 
@@ -103,61 +111,69 @@ def running_totals(
     without a value are left out.
     """
     slices = slices or slice_count(df.sparkSession)
-    sliced = _with_slice(df.filter(F.col(by).isNotNull()), by, tie, group, slices)
-    sums = _slice_sums(sliced, group, totals, descending)
+    valued = df.filter(F.col(by).isNotNull())
+    rows = valued.count()
+    up_to_here = (Window.unboundedPreceding, Window.currentRow)
     order = [F.col(by).desc() if descending else F.col(by)] + (["_tie"] if tie else [])
-    inside = (
-        Window.partitionBy(*group, "_slice", "_tie_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if rows <= (SMALL_ROWS if small_rows is None else small_rows):
+        keyed = valued.withColumn("_tie", F.md5(F.col(tie).cast("string"))) if tie else valued
+        whole = Window.partitionBy(*group).orderBy(*order).rowsBetween(*up_to_here)
+        return keyed.withColumns({name: F.sum(c).over(whole) for c, name in totals.items()}).select(
+            *df.columns, *totals.values()
+        )
+
+    cuts = sample_cuts(valued, rows, [by], [i / slices for i in range(1, slices)])[by]
+    sliced = _with_slice(valued, by, tie, cuts)
+    slice_order = F.col("_slice").desc() if descending else F.col("_slice")
+    before = (
+        Window.partitionBy(*group).orderBy(slice_order, "_tie_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # Bounded, see slice_count.
+    sums = (
+        sliced.groupBy(*group, "_slice", "_tie_slice")
+        .agg(*[F.sum(c).alias(f"_in_{c}") for c in totals])
+        .select(
+            *group,
+            "_slice",
+            "_tie_slice",
+            *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in totals],
+        )
     )
+    inside = Window.partitionBy(*group, "_slice", "_tie_slice").orderBy(*order).rowsBetween(*up_to_here)
     return (
-        # The slice sums are bounded, see slice_count.
         sliced.join(F.broadcast(sums), [*group, "_slice", "_tie_slice"])
         .withColumns({name: F.col(f"_before_{c}") + F.sum(c).over(inside) for c, name in totals.items()})
         .select(*df.columns, *totals.values())
     )
 
 
-# How far around a wanted share the cuts lie. The slice between them is what gets
-# sorted, and the sketch that places the cuts is ten times finer.
-BRACKET = 5e-5
-SKETCH_ACCURACY = 200_000
-
-
-def _brackets(column: str, shares: Sequence[float]) -> Column:
-    around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-BRACKET, BRACKET)})
-    return F.percentile_approx(F.col(column).cast("double"), around, SKETCH_ACCURACY)
-
-
-def _slice_around(cuts: Column, n_cuts: int, value: Column) -> Column:
-    """Number of the slice: cuts below the value, with values equal to a cut on their own."""
-    at_or_below = sum(((F.get(cuts, F.lit(i)) <= value).cast("int") for i in range(n_cuts)), F.lit(0))
-    below = sum(((F.get(cuts, F.lit(i)) < value).cast("int") for i in range(n_cuts)), F.lit(0))
-    return at_or_below + below
+# Cuts around a wanted share: as fine as the sample is uncertain there, out to
+# where the true quantile can no longer be.
+CUT_STEP = 6e-5
+CUTS_EACH_SIDE = 16
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """Quantiles with linear interpolation: one row per column, ``(metric, quantiles)``.
 
-    A sketch brackets each wanted rank closely. Counting rows per slice tells
-    exactly which slices hold the ranks; only the values in those are grouped,
-    shuffled and sorted. A badly placed bracket would cost time, not exactness.
-    ``df`` is read three times, with these columns only: stage it when it is
-    costly to compute.
+    Cuts lie closely around each wanted share. Counting rows per slice tells
+    exactly which slices hold the wanted ranks; only the values in those are
+    grouped, shuffled and sorted. Badly placed cuts would cost time, not
+    exactness.
     """
-    n_cuts = len({min(1.0, max(0.0, s + d)) for s in shares for d in (-BRACKET, BRACKET)})
-    cuts = df.agg(F.struct(*[_brackets(c, shares).alias(c) for c in columns])).scalar()
+    around = sorted({
+        min(1.0, max(0.0, s + i * CUT_STEP)) for s in shares for i in range(-CUTS_EACH_SIDE, CUTS_EACH_SIDE + 1)
+    })
+    cuts = sample_cuts(df, df.count(), columns, around)
     sliced = (
-        df.select(*columns)
-        .withColumn("_cuts", cuts)
+        with_slices(df.select(*columns), cuts)
         .select(
             F.inline(
                 F.array(*[
                     F.struct(
                         F.lit(c).alias("metric"),
                         F.col(c).cast("double").alias("value"),
-                        _slice_around(F.col("_cuts")[c], n_cuts, F.col(c)).alias("slice"),
+                        F.col(f"_slice_{c}").alias("slice"),
                     )
                     for c in columns
                 ])
@@ -167,7 +183,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     )
     whole = Window.partitionBy("metric")
     before = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 2 * n_cuts + 1 rows per column.
+    # At most two rows per cut and one more.
     slices = (
         sliced.groupBy("metric", "slice")
         .agg(F.count("*").alias("rows"))
@@ -201,19 +217,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return found.select("metric", F.array(*quantiles).alias("quantiles"))
 
 
-SMALL_ROWS = 200_000
-
-
 def quantile_lookup(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], small_rows: int | None = None
 ) -> Column:
     """The quantiles as one value, ``lookup[column][i]``, usable in any expression.
 
-    Up to ``small_rows`` rows, which is counted first, one aggregate holds all
-    values; beyond that ``exact_quantiles`` keeps the work distributed. ``df``
-    should be a staged table: counting and reading it again has to be cheap.
+    Up to ``small_rows`` rows one aggregate holds all values; beyond that
+    ``exact_quantiles`` keeps the work distributed.
     """
-    if df.count() <= (SMALL_ROWS if small_rows is None else small_rows):
+    if df.count() <= (SMALL_VALUES if small_rows is None else small_rows):
         return df.agg(
             F.struct(*[F.percentile(F.col(c).cast("double"), list(shares)).alias(c) for c in columns])
         ).scalar()

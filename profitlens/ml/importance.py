@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +11,21 @@ from profitlens.config import DEFAULTS
 from profitlens.functions.ordered import running_totals
 from profitlens.ml.features import FeatureSet
 from profitlens.ml.metrics import roc_auc
-from profitlens.ml.models import score
 from profitlens.operators.sampling import row_share
 from profitlens.session import stage
 
 
 def permutation_importance(
-    model: PipelineModel, features: FeatureSet, repeats: int = 15, n: int = 10, seed: int = DEFAULTS.seed
+    scorer: Callable[[DataFrame, str], DataFrame],
+    features: FeatureSet,
+    repeats: int = 15,
+    n: int = 10,
+    seed: int = DEFAULTS.seed,
 ) -> DataFrame:
     """Loss of AUC when one feature is replaced by that of another row.
 
+    ``scorer(table, name)`` adds the model's probability under that name.
+
     Rows are numbered in hash order. In each repeat a row takes its replacement
     values from the row a fixed distance further on, round the end: a
     permutation in random order, and an equi-join on a unique number.
@@ -52,8 +58,8 @@ def permutation_importance(
         for changed in columns
     ])
     changed = shifted.join(others, "_other").select("repeat", features.label, F.inline(variants))
-    permuted = roc_auc(score(model, changed, "_p"), "_p", features.label, group=("repeat", "feature"))
-    base = roc_auc(score(model, numbered, "_p"), "_p", features.label).scalar()
+    permuted = roc_auc(scorer(changed, "_p"), "_p", features.label, group=("repeat", "feature"))
+    base = stage(roc_auc(scorer(numbered, "_p"), "_p", features.label), "base_auc").scalar()
     return (
         permuted.groupBy("feature")
         .agg((base - F.avg("auc")).alias("importance"))

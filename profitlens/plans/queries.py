@@ -13,6 +13,7 @@ from profitlens.ml import features as mlf
 from profitlens.ml import importance, metrics, models, report, tuning
 from profitlens.operators import aggregates, cleaning, filters, kpis, pricing, ranking, sampling, segments
 from profitlens.plans import batch
+from profitlens.plans import models as training
 from profitlens.session import stage, staged_path
 from profitlens.sources import csv, star, tables
 
@@ -886,11 +887,7 @@ def _staged(features: mlf.FeatureSet, name: str) -> mlf.FeatureSet:
 
 @query()
 def margin_risk_scores(spark, folder):
-    features = _staged(mlf.margin_risk_features(tx(spark, folder)), "margin_features")
-    train, _ = mlf.holdout_split(features, 0.25)
-    model = models.fit_trees(features.with_table(train), QUICK)
-    scored = models.score(model, features.table, "margin_risk_probability")
-    return models.with_flag(scored, "margin_risk_probability", "margin_risk_flag")
+    return training.score_margin_risk(tx(spark, folder), QUICK)
 
 
 @query()
@@ -911,13 +908,11 @@ def ltv_scores(spark, folder):
 
 @query()
 def churn_scores(spark, folder):
-    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))), "churn_features")
-    if not mlf.enough_data(features, 50, min_positives=10):
-        return features.table.limit(0).withColumn("churn_probability", F.lit(None).cast("double"))
-    train, _ = mlf.holdout_split(features, 0.25)
-    model = models.fit_trees(features.with_table(train), QUICK)
-    return models.score(model, features.table, "churn_probability").select(
-        "customer_id", "total_revenue", "order_count", "churn_probability", F.col("label").alias("churn_risk")
+    scored = training.score_churn(kpis.customer_clv(tx(spark, folder)), QUICK)
+    if scored is not None:
+        return scored
+    return spark.createDataFrame(
+        [], "customer_id bigint, total_revenue double, order_count double, churn_probability double, churn_risk int"
     )
 
 
@@ -956,14 +951,15 @@ def permutation_importance(spark, folder):
     features = _staged(mlf.ltv_features(tx(spark, folder)), "ltv_features")
     train, test = mlf.holdout_split(features, 0.20)
     model = models.fit_trees(features.with_table(train), QUICK.smaller(4, 3))
-    return importance.permutation_importance(model, features.with_table(test), repeats=3)
+    return importance.permutation_importance(models.scorer(model), features.with_table(test), repeats=3)
 
 
 @query()
 def model_report(spark, folder):
     _, result = report.train_and_report(
-        mlf.ltv_features(tx(spark, folder)), QUICK.smaller(3, 3), "customer_ltv", folds=3, min_rows=50
+        mlf.ltv_features(tx(spark, folder)), QUICK.smaller(3, 3), "customer_ltv", folds=3, min_rows=50, repeats=1
     )
     path = staged_path(spark, "model_report.json")
     tables.write_json(result, path)
-    return spark.read.schema(result.schema).json(path)
+    written = spark.read.schema(result.schema).json(path)
+    return written.withColumns({c: F.to_json(c) for c in ("settings", "feature_importance")})

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from profitlens.ml import features as f
 from profitlens.ml import importance, metrics, models, report, tuning
+from profitlens.plans.models import run_models
 from profitlens.session import stage
 from profitlens.sources import star
 
@@ -96,7 +97,7 @@ def test_importance_finds_the_only_useful_feature(spark):
     table = spark.createDataFrame(rows, "id long, useful double, noise double, label int")
     features = f.FeatureSet(table, ("useful", "noise"), (), "label", ("id",))
     model = models.fit_trees(features, SMALL)
-    got = dict(importance.permutation_importance(model, features, repeats=2).collect())
+    got = dict(importance.permutation_importance(models.scorer(model), features, repeats=2).collect())
     assert got["useful"] > 0.3 and abs(got["noise"]) < 0.02
 
 
@@ -117,6 +118,23 @@ def test_report_needs_enough_rows(spark):
     assert model is None and row.first()["holdout_auc"] == 0.0
 
 
+def test_all_models_are_written(spark, data, tmp_path):
+    quick = models.TreeSettings(trees=2, depth=2, learning_rate=0.3, row_share=1.0)
+    space = tuning.SearchSpace(trees=(1, 2), depth=(1, 2), learning_rate=(0.1, 0.3))
+    run_models(
+        star.transactions(spark, data), str(tmp_path), margin=quick, churn=quick, delivery_space=space, ltv_space=space,
+        delivery_trials=1, ltv_trials=1, folds=2, repeats=1,
+    )
+    orders = spark.read.parquet(str(tmp_path / "margin_risk_scored_orders.parquet"))
+    assert orders.filter("margin_risk_probability BETWEEN 0 AND 1 AND margin_risk_flag IN (0, 1)").count() == orders.count() > 0
+    customers = spark.read.parquet(str(tmp_path / "customer_ltv_scored.parquet"))
+    assert {"customer_id", "total_profit", "ltv_probability", "high_value_label"} <= set(customers.columns)
+    found = spark.read.schema(report.REPORT_SCHEMA).json(str(tmp_path / "model_report.json")).collect()
+    assert {r["model"] for r in found} == {"delivery_risk", "customer_ltv"}
+    assert all(r["settings"]["trees"] in ("1", "2") and r["feature_importance"] for r in found)
+    assert spark.read.option("header", True).csv(str(tmp_path / "customer_ltv_trials.csv")).count() == 1
+
+
 def test_high_sales_label_and_no_leak(spark, data):
     features = f.ltv_features(star.transactions(spark, data))
     assert "total_sales" not in features.features

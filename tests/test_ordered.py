@@ -7,7 +7,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from profitlens.functions.ordered import QUARTERS, exact_quantiles, quantile_lookup, quartile_score, running_totals
+from profitlens.functions import ordered
+from profitlens.functions.ordered import (
+    QUARTERS,
+    _with_slice,
+    exact_quantiles,
+    quantile_lookup,
+    quartile_score,
+    running_totals,
+    sample_cuts,
+    with_slices,
+)
 
 
 def md5(value):
@@ -35,25 +45,25 @@ def hot(n, seed):
     [hot(3000, 1), [(i, 5.0) for i in range(500)], [(i, float(i)) for i in range(700)], [(1, 2.5)], []],
     ids=["hot value", "one value", "all distinct", "one row", "no rows"],
 )
-def test_running_total_equals_one_ordered_pass(spark, rows, descending):
+@pytest.mark.parametrize("small_rows", [0, 10_000], ids=["sliced", "one window"])
+def test_running_total_equals_one_ordered_pass(spark, rows, descending, small_rows):
     df = spark.createDataFrame(rows, "k long, v double").repartition(5)
-    got = running_totals(df, "v", {"v": "sum_so_far"}, tie="k", descending=descending, slices=16)
+    got = running_totals(df, "v", {"v": "sum_so_far"}, tie="k", descending=descending, slices=16, small_rows=small_rows)
     assert got.columns == ["k", "v", "sum_so_far"]
     assert {r["k"]: r["sum_so_far"] for r in got.collect()} == pytest.approx(brute_force(rows, descending))
 
 
 def test_a_hot_value_is_split_over_many_slices(spark):
-    from profitlens.functions.ordered import _with_slice
-
     df = spark.createDataFrame(hot(6000, 2), "k long, v double")
-    sizes = [r["count"] for r in _with_slice(df, "v", "k", (), 16).groupBy("_slice", "_tie_slice").count().collect()]
+    cuts = sample_cuts(df, 6000, ["v"], [i / 16 for i in range(1, 16)])["v"]
+    sizes = [r["count"] for r in _with_slice(df, "v", "k", cuts).groupBy("_slice", "_tie_slice").count().collect()]
     assert max(sizes) < 6000 / 8
 
 
 def test_running_total_per_group(spark):
     rows = [("a", float(i)) for i in range(50)] + [("b", float(i)) for i in range(30)]
     df = spark.createDataFrame(rows, "g string, v double").withColumn("one", F.lit(1).cast("long"))
-    got = running_totals(df, "v", {"one": "n"}, group=("g",), slices=8).groupBy("g").agg(F.max("n")).collect()
+    got = running_totals(df, "v", {"one": "n"}, group=("g",), slices=8, small_rows=0).groupBy("g").agg(F.max("n")).collect()
     assert dict(got) == {"a": 50, "b": 30}
 
 
@@ -76,6 +86,22 @@ def test_quantiles_interpolate_like_numpy(spark, values):
     assert got["y"] == pytest.approx(list(np.quantile([-v for v in values], shares)), abs=1e-12)
 
 
+def test_quantiles_stay_exact_with_a_poor_sample(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLE_ROWS", 50)
+    values = [v for _, v in hot(3000, 9)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantiles(df, ["x"], (0.1, 0.5)).first()["quantiles"]
+    assert got == pytest.approx(list(np.quantile(values, (0.1, 0.5))), abs=1e-12)
+
+
+def test_slices_follow_the_order_of_values(spark):
+    values = [-3.0, -1.0, -0.5, 1e-7, 2.0, 2.5, 9.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    sliced = with_slices(df, {"v": [-1.0, 1e-7, 2.0]})
+    got = [tuple(r) for r in sliced.orderBy("v").select("_slice_v", "_at_cut_v").collect()]
+    assert got == [(0, False), (1, True), (2, False), (3, True), (5, True), (6, False), (6, False)]
+
+
 def scores(spark, values, **options):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i long, v double")
     edges = quantile_lookup(df, ["v"], QUARTERS)["v"]

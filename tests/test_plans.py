@@ -31,6 +31,7 @@ def test_no_python_rows_and_no_cross_joins(spark, data, name):
 def test_ordered_work_is_partitioned(spark, data, name, monkeypatch):
     """Windows over values are partitioned by slice; only slice sums are windowed as a whole."""
     monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    monkeypatch.setattr(ordered, "SMALL_VALUES", 0)
     for window in re.findall(r"Window \[.*?windowspecdefinition\((.*?)\)", plan_of(QUERIES[name](spark, data))):
         assert "slice" in window or "metric" in window
 
