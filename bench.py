@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from profitlens.plans.queries import all_queries  # noqa: E402
-from profitlens.session import local_session  # noqa: E402
+from profitlens.session import drop_staged, local_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -61,6 +61,11 @@ def seconds(spark, build) -> float:
     return time.perf_counter() - start
 
 
+def scale() -> float | str:
+    name = Path(FOLDER).name.removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=CPUS)
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,10 +79,11 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "sf": Path(FOLDER).name.removeprefix("sf"),
+                "sf": scale(),
             }
         )
     )
+    drop_staged(spark)
     spark.stop()
 
 

@@ -160,15 +160,15 @@ COMMON = {
     "pareto": """
         SELECT customer_id, total_profit, row_number() OVER w AS customer_rank,
           cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double) AS cumulative_profit,
-          round(cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double)
-            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double), 6) AS cumulative_pct
+          cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double)
+            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double) AS cumulative_pct
         FROM customers WHERE total_profit > 0
         WINDOW w AS (ORDER BY total_profit DESC, md5(cast(customer_id AS varchar)) ROWS UNBOUNDED PRECEDING)""",
     "abc_shares": """
         SELECT product_name, total_profit,
-          round(cast(sum(cast(total_profit AS decimal(28, 4)))
+          cast(sum(cast(total_profit AS decimal(28, 4)))
               OVER (ORDER BY total_profit DESC, md5(product_name) ROWS UNBOUNDED PRECEDING) AS double)
-            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double), 6) AS cumulative_profit_pct FROM products""",
+            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double) AS cumulative_profit_pct FROM products""",
     "abc": """
         SELECT *, CASE WHEN cumulative_profit_pct <= 0.70 THEN 'A (Top 70%)'
           WHEN cumulative_profit_pct <= 0.90 THEN 'B (70–90%)' ELSE 'C (Bottom 10%)' END AS abc_class FROM abc_shares""",

@@ -162,7 +162,7 @@ def pareto_curve(customers: DataFrame) -> DataFrame:
             descending=True,
         )
         .withColumn("cumulative_profit", F.col("_cumulative").cast("double"))
-        .withColumn("cumulative_pct", F.round(F.col("cumulative_profit") / whole, 6))
+        .withColumn("cumulative_pct", F.col("cumulative_profit") / whole)
         .select("customer_id", "total_profit", "customer_rank", "cumulative_profit", "cumulative_pct")
     )
 
@@ -192,7 +192,7 @@ def abc_classification(
     Loss makers are part of the whole, so the share can pass 1 and fall again.
     """
     whole = products.agg(total("total_profit")).scalar()
-    share = F.round(F.try_divide(F.col("_cumulative").cast("double"), whole), 6)
+    share = F.try_divide(F.col("_cumulative").cast("double"), whole)
     return (
         running_totals(
             products.withColumn("_money", F.col("total_profit").cast(MONEY)),

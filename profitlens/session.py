@@ -21,6 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -29,16 +32,27 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="profitlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="profitlens-")
+    return _fallback[context.applicationId]
+
+
+def staged_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/profitlens/{spark.sparkContext.applicationId}"
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/profitlens/{uuid.uuid4().hex}/{name}"
+    return f"{staged_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it when no result is needed any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

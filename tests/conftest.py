@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from profitlens.session import local_session  # noqa: E402
+from profitlens.session import drop_staged, local_session  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ def spark():
     session = local_session(4, shuffle_partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_staged(session)
     session.stop()
 
 

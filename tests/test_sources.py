@@ -72,6 +72,28 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert files and all(shared_folder(spark).replace("file:", "") in f for f in files)
 
 
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+class FakeSession:
+    """Stands in for a session without the setting."""
+
+    def __init__(self, master):
+        self.sparkContext = FakeContext(master)
+        self.conf = {}
+
+
+def test_only_a_local_master_may_use_a_temporary_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+    local.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
+    assert shared_folder(local) == "hdfs://shared"
+
+
 def test_batch_writes_every_table(spark, data, tmp_path):
     raw = star.transactions(spark, data)
     paths = run_batch(raw, str(tmp_path), Thresholds(sample_rows=200))
