@@ -85,9 +85,5 @@ def pearson(x: Column | str, y: Column | str) -> Column:
 
     ``corr`` divides by zero on a constant column in ANSI mode.
     """
-    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
-    return F.round(
-        F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)), 6
-    )
+    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+    return F.round(F.try_divide(F.regr_sxy(y, x), spread), 6)

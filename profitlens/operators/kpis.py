@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +25,9 @@ from profitlens.session import stage
 def macro_kpis(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margins, order value, customers and orders in one row.
 
-    Each row is unfolded to one row for its category with the amounts, one for
-    its customer and one for its order. Grouped by those keys, mostly before
-    the shuffle, they give category means and distinct counts in a single pass.
+    Each row counts once for its category, with the amounts, once for its
+    customer and once for its order. Grouped by those keys, mostly before the
+    shuffle, they give category means and distinct counts in a single pass.
     """
     undiscounted = F.col("discount_rate") == 0
     nothing = F.lit(None).cast("double")
@@ -35,43 +37,37 @@ def macro_kpis(tx: DataFrame) -> DataFrame:
         "revenue0": F.when(undiscounted, F.col("sales")),
         "profit0": F.when(undiscounted, F.col("profit")),
         "benefit": F.col("benefit_per_order") if "benefit_per_order" in tx.columns else nothing,
-        "profit_ratio": F.col("profit_ratio") if "profit_ratio" in tx.columns else nothing,
     }
     category = F.col("category_name") if "category_name" in tx.columns else F.lit(None)
-
-    def unfolded(kind: str, text: Column, number: Column, filled: bool) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            text.cast("string").alias("text"),
+    profit_ratio = F.col("profit_ratio") if "profit_ratio" in tx.columns else nothing
+    kind, by_category, by_customer, by_order = F.col("kind"), 0, 1, 2
+    kinds = [by_category, by_customer] + ([by_order] if "order_id" in tx.columns else [])
+    number = F.when(kind == by_customer, F.col("customer_id"))
+    if by_order in kinds:
+        number = number.when(kind == by_order, F.col("order_id"))
+    grouped = (
+        tx.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
+        .groupBy(
+            "kind",
+            F.when(kind == by_category, category.cast("string")).alias("text"),
             number.cast("bigint").alias("number"),
-            *[(value if filled else nothing).cast("double").alias(name) for name, value in amounts.items()],
         )
-
-    kinds = [
-        unfolded("category", category, F.lit(None), True),
-        unfolded("customer", F.lit(None), F.col("customer_id"), False),
-    ]
-    if "order_id" in tx.columns:
-        kinds.append(unfolded("order", F.lit(None), F.col("order_id"), False))
-    grouped = (
-        tx.select(F.inline(F.array(*kinds)))
-        .groupBy("kind", "text", "number")
         .agg(
-            *[total(name).alias(name) for name in amounts if name != "profit_ratio"],
-            mean("profit_ratio").alias("margin"),
+            *[total(F.when(kind == by_category, value)).alias(name) for name, value in amounts.items()],
+            mean(F.when(kind == by_category, profit_ratio)).alias("margin"),
             F.count("*").alias("rows"),
         )
     )
 
-    def distinct(kind: str) -> Column:
-        return F.count_if((F.col("kind") == kind) & F.col("number").isNotNull())
+    def distinct(key: int) -> Column:
+        return F.count_if((kind == key) & F.col("number").isNotNull())
 
-    rows = F.coalesce(F.sum(F.when(F.col("kind") == "category", F.col("rows"))), F.lit(0))
+    rows = F.coalesce(F.sum(F.when(kind == by_category, F.col("rows"))), F.lit(0))
     sums = grouped.agg(
-        *[total(name).alias(name) for name in ("revenue", "profit", "revenue0", "profit0", "benefit")],
+        *[total(name).alias(name) for name in amounts],
         mean(F.when(F.col("text").isNotNull(), F.col("margin"))).alias("category_margin"),
-        distinct("customer").alias("customers"),
-        (distinct("order") if "order_id" in tx.columns else rows).alias("orders"),
+        distinct(by_customer).alias("customers"),
+        (distinct(by_order) if by_order in kinds else rows).alias("orders"),
     )
     margin = percent_or_zero(F.col("profit"), F.col("revenue"))
     margin0 = percent_or_zero(F.col("profit0"), F.col("revenue0"))
@@ -274,28 +270,29 @@ def correlation_matrix(
     tx: DataFrame,
     columns: tuple[str, ...] = ("discount_rate", "profit", "sales", "quantity", "profit_ratio"),
 ) -> DataFrame:
-    """All pairwise correlations as a long table, in one pass over the rows.
+    """All pairwise correlations as a long table, in one pass.
 
-    Rows are unfolded to pairs and combined right there: one small group per
-    pair keeps the aggregate compiled, which many columns side by side do not.
+    Each row is taken once per pair and combined right there: few groups and
+    few aggregates, which stay compiled where one aggregate per pair side by
+    side does not.
     """
     columns = tuple(c for c in columns if c in tx.columns)
-    pairs = F.array(*[
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            F.col(a).cast("double").alias("va"), F.col(b).cast("double").alias("vb"),
-        )
-        for i, a in enumerate(columns)
-        for b in columns[i:]
-    ])
-    found = tx.select(F.inline(pairs)).groupBy("a", "b").agg(pearson("va", "vb").alias("correlation"))
-    both_ways = F.array_distinct(
-        F.array(
-            F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
-            F.struct(F.col("b").alias("x"), F.col("a").alias("y")),
-        )
+    pairs = list(combinations_with_replacement(columns, 2))
+    first = second = F
+    for i, (a, b) in enumerate(pairs):
+        first = first.when(F.col("pair") == i, F.col(a).cast("double"))
+        second = second.when(F.col("pair") == i, F.col(b).cast("double"))
+    found = (
+        tx.withColumn("pair", F.explode(F.array(*[F.lit(i) for i in range(len(pairs))])))
+        .select("pair", first.alias("_x"), second.alias("_y"))
+        .groupBy("pair")
+        .agg(pearson("_x", "_y").alias("correlation"))
     )
-    return found.select(F.inline(both_ways), "correlation")
+    names = F.array(*[
+        F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in dict.fromkeys([(a, b), (b, a)])])
+        for a, b in pairs
+    ])
+    return found.select(F.inline(F.get(names, F.col("pair"))), "correlation")
 
 
 def discount_profit_correlation(tx: DataFrame) -> DataFrame:
