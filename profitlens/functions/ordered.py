@@ -217,39 +217,39 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return found.select("metric", F.array(*quantiles).alias("quantiles"))
 
 
-def quantile_lookup(
+def quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], small_rows: int | None = None
-) -> Column:
-    """The quantiles as one value, ``lookup[column][i]``, usable in any expression.
+) -> dict[str, list[float | None]]:
+    """The quantiles of each column as numbers, to be used as literals that scans can push down.
 
     Up to ``small_rows`` rows one aggregate holds all values; beyond that
-    ``exact_quantiles`` keeps the work distributed.
+    ``exact_quantiles`` keeps the work distributed. Only the results, one number
+    per column and share, come to the driver.
     """
+    nothing: list[float | None] = [None] * len(shares)
     if df.count() <= (SMALL_VALUES if small_rows is None else small_rows):
-        return df.agg(
-            F.struct(*[F.percentile(F.col(c).cast("double"), list(shares)).alias(c) for c in columns])
-        ).scalar()
-    found = exact_quantiles(df, columns, shares)
-    # One entry per named column.
-    return found.agg(F.map_from_entries(F.collect_list(F.struct("metric", "quantiles")))).scalar()
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), list(shares)).alias(c) for c in columns]).first()
+        return {c: row[c] or nothing for c in columns}
+    found = {r["metric"]: r["quantiles"] for r in exact_quantiles(df, columns, shares).collect()}
+    return {c: found.get(c, nothing) for c in columns}
 
 
 QUARTERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 COLLAPSED_SCORE = 2
 
 
-def quartile_score(value: Column, edges: Column, lowest_first: bool = True) -> Column:
+def quartile_score(value: Column, edges: Sequence[float | None], lowest_first: bool = True) -> Column:
     """Score 1..4 by the quartile a value falls in; 4..1 when the lowest values are best.
 
     A quartile includes its upper edge, so equal values share a score. When two
     edges coincide the whole column scores 2.
     """
+    if len(set(edges)) < len(QUARTERS):
+        return F.lit(COLLAPSED_SCORE)
     scores = (1, 2, 3, 4) if lowest_first else (4, 3, 2, 1)
-    quartile = (
-        F.when(value <= F.get(edges, F.lit(1)), scores[0])
-        .when(value <= F.get(edges, F.lit(2)), scores[1])
-        .when(value <= F.get(edges, F.lit(3)), scores[2])
+    return (
+        F.when(value <= edges[1], scores[0])
+        .when(value <= edges[2], scores[1])
+        .when(value <= edges[3], scores[2])
         .when(value.isNotNull(), scores[3])
     )
-    collapsed = F.size(F.array_distinct(edges)) < len(QUARTERS)
-    return F.when(collapsed, F.lit(COLLAPSED_SCORE)).otherwise(quartile)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS
 from profitlens.functions.arithmetic import zero_if_not_finite
-from profitlens.functions.ordered import quantile_lookup
+from profitlens.functions.ordered import quantiles
 from profitlens.operators.aggregates import customer_agg
 from profitlens.operators.sampling import ROW_IDENTITY, row_share
 from profitlens.session import stage
@@ -93,7 +93,7 @@ def ltv_features(tx: DataFrame, quantile: float = 0.75) -> FeatureSet:
     base = stage(
         customer_agg(tx, usual=places).drop("total_profit", "avg_profit_ratio", "customer_value_index"), "ltv_base"
     )
-    high = quantile_lookup(base, ["total_sales"], (quantile,))["total_sales"][0]
+    high = F.lit(quantiles(base, ["total_sales"], (quantile,))["total_sales"][0])
     categorical = _present(base, places)
     numeric = ("avg_discount", "order_count")
     table = base.select(

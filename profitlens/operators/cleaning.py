@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.config import DEFAULTS, Thresholds
 from profitlens.functions.arithmetic import holds
 from profitlens.functions.dates import parsed_moment, whole_days
-from profitlens.functions.ordered import quantile_lookup
+from profitlens.functions.ordered import quantiles
 from profitlens.schema import CRITICAL_COLUMNS, OUTLIER_COLUMNS, TEXT_COLUMNS
 from profitlens.session import stage
 from profitlens.sources.csv import DATE_FORMATS
@@ -61,59 +61,54 @@ def nonnegative_sales(df: DataFrame) -> DataFrame:
     return df.filter(F.col("sales") >= 0)
 
 
-def zscore_ok(df: DataFrame, columns: Sequence[str], limit: float) -> Column:
+def zscore_rule(df: DataFrame, columns: Sequence[str], limit: float) -> Column:
     """Whether all columns lie within ``limit`` population standard deviations of the mean.
 
-    Unknown scores fail, and so does a column without spread.
+    Unknown scores fail, and all rows do when a column has no spread. One
+    aggregate brings back two numbers per column.
     """
     stats = df.agg(
-        F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("dev")).alias(c) for c in columns])
-    ).scalar()
+        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"dev_{c}") for c in columns]
+    ).first()
     ok = F.lit(True)
     for c in columns:
-        ok = ok & (F.abs(F.try_divide(F.col(c) - stats[c]["mean"], stats[c]["dev"])) < limit)
+        if not stats[f"dev_{c}"]:
+            return F.lit(False)
+        ok = ok & (F.abs((F.col(c) - stats[f"mean_{c}"]) / stats[f"dev_{c}"]) < limit)
     return holds(ok)
 
 
-def iqr_ok(df: DataFrame, columns: Sequence[str], factor: float) -> Column:
+def iqr_rule(df: DataFrame, columns: Sequence[str], factor: float) -> Column:
     """Whether all columns lie within ``factor`` interquartile ranges of the quartiles."""
-    quartiles = quantile_lookup(df, columns, (0.25, 0.75))
     ok = F.lit(True)
-    for c in columns:
-        low, high = quartiles[c][0], quartiles[c][1]
+    for c, (low, high) in quantiles(df, columns, (0.25, 0.75)).items():
+        if low is None:
+            return F.lit(False)
         spread = (high - low) * factor
-        ok = ok & (F.col(c) >= low - spread) & (F.col(c) <= high + spread)
+        ok = ok & F.col(c).between(low - spread, high + spread)
     return holds(ok)
 
 
-def outliers_zscore(df: DataFrame, limit: float = DEFAULTS.zscore_limit) -> DataFrame:
-    return df.filter(zscore_ok(df, present(df, OUTLIER_COLUMNS), limit))
-
-
-def outliers_iqr(df: DataFrame, factor: float = DEFAULTS.iqr_factor) -> DataFrame:
-    return df.filter(iqr_ok(df, present(df, OUTLIER_COLUMNS), factor))
-
+def outlier_rule(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[str, Column]:
+    """The z-score rule, or the quartile rule when the former would remove too many rows."""
+    columns = present(df, OUTLIER_COLUMNS)
+    by_zscore = zscore_rule(df, columns, settings.zscore_limit)
+    kept = df.agg(F.avg(by_zscore.cast("int"))).first()[0]
+    if kept is not None and 1 - kept > settings.zscore_max_removed_share:
+        return "IQR", iqr_rule(df, columns, settings.iqr_factor)
+    return "Z-score", by_zscore
 
-def outlier_method(df: DataFrame, settings: Thresholds = DEFAULTS) -> str:
-    """``Z-score``, or ``IQR`` when the z-score would remove too many rows.
 
-    Runs one aggregate and brings back one number, so that the costly quartiles
-    are only planned when they are needed.
-    """
-    ok = zscore_ok(df, present(df, OUTLIER_COLUMNS), settings.zscore_limit)
-    kept = df.agg(F.avg(ok.cast("int"))).first()[0]
-    return "IQR" if kept is not None and 1 - kept > settings.zscore_max_removed_share else "Z-score"
+def outliers_zscore(df: DataFrame, limit: float = DEFAULTS.zscore_limit) -> DataFrame:
+    return df.filter(zscore_rule(df, present(df, OUTLIER_COLUMNS), limit))
 
 
-def not_outlier(df: DataFrame, method: str, settings: Thresholds = DEFAULTS) -> Column:
-    columns = present(df, OUTLIER_COLUMNS)
-    if method == "IQR":
-        return iqr_ok(df, columns, settings.iqr_factor)
-    return zscore_ok(df, columns, settings.zscore_limit)
+def outliers_iqr(df: DataFrame, factor: float = DEFAULTS.iqr_factor) -> DataFrame:
+    return df.filter(iqr_rule(df, present(df, OUTLIER_COLUMNS), factor))
 
 
 def outliers_adaptive(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
-    return df.filter(not_outlier(df, outlier_method(df, settings), settings))
+    return df.filter(outlier_rule(df, settings)[1])
 
 
 def clean_with_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[DataFrame, DataFrame]:
@@ -129,8 +124,7 @@ def clean_with_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[D
         complete = complete & F.col(c).isNotNull()
     adds_up = money_adds_up(df, settings.financial_tolerance)
     valid = distinct.filter(complete & adds_up)
-    method = outlier_method(valid, settings)
-    usual = not_outlier(valid, method, settings)
+    method, usual = outlier_rule(valid, settings)
     report = distinct.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("initial_rows"),
         F.lit(len(df.columns)).cast("bigint").alias("initial_cols"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from profitlens.config import DEFAULTS
 from profitlens.functions.arithmetic import min_max, ratio_or_zero, total
 from profitlens.functions.dates import whole_days
-from profitlens.functions.ordered import QUARTERS, quantile_lookup, quartile_score, running_totals
+from profitlens.functions.ordered import QUARTERS, quantiles, quartile_score, running_totals
 from profitlens.operators.aggregates import order_count
 
 # Lowest total score of each segment.
@@ -36,7 +36,7 @@ def rfm_segments(base: DataFrame) -> DataFrame:
         snapshot = base.agg(F.max("last_order")).scalar()
         base = base.withColumn("recency", whole_days(F.col("last_order"), snapshot)).drop("last_order")
     measures = [c for c in ("recency", "frequency", "monetary") if c in base.columns]
-    edges = quantile_lookup(base, measures, QUARTERS)
+    edges = quantiles(base, measures, QUARTERS)
     # Few days since the last order is good, few orders and low sales are not.
     scored = base.withColumns({
         f"{c}_score": quartile_score(F.col(c), edges[c], lowest_first=c != "recency") for c in measures
@@ -69,8 +69,8 @@ VIP, BLEEDER, LOW_VALUE, STANDARD = (
 
 
 def customer_segmentation(customers: DataFrame, quantile: float = DEFAULTS.bleeder_quantile) -> DataFrame:
-    """Value matrix: high or low sales against profit or loss."""
-    high = F.col("total_sales") >= quantile_lookup(customers, ["total_sales"], (quantile,))["total_sales"][0]
+    """Value matrix: high or low sales against profit or loss. ``customers`` is read twice."""
+    high = F.col("total_sales") >= F.lit(quantiles(customers, ["total_sales"], (quantile,))["total_sales"][0])
     gain = F.col("total_profit") > 0
     return customers.withColumn(
         "segment_class",
@@ -129,9 +129,9 @@ STARS, NICHE, CASH_COWS, DOGS = (
 def product_quadrants(products: DataFrame, min_sales: float = 1000.0) -> DataFrame:
     """Quadrant by median units and median margin of the products that sell enough."""
     selling = product_margin(products).filter(F.col("total_sales") > min_sales)
-    medians = quantile_lookup(selling, ["units_sold", "margin"], (0.5,))
-    volume = F.col("units_sold") >= medians["units_sold"][0]
-    margin = F.col("margin") >= medians["margin"][0]
+    medians = quantiles(selling, ["units_sold", "margin"], (0.5,))
+    volume = F.col("units_sold") >= F.lit(medians["units_sold"][0])
+    margin = F.col("margin") >= F.lit(medians["margin"][0])
     return selling.withColumn(
         "quadrant",
         F.when(volume & margin, STARS).when(~volume & margin, NICHE).when(volume & ~margin, CASH_COWS).otherwise(DOGS),

@@ -45,14 +45,14 @@ def test_zscore_uses_the_population_deviation_and_drops_unknown(spark):
 
 def test_constant_column_falls_back_to_quartiles(spark):
     df = outlier_table(spark, [5.0] * 40)
-    assert cleaning.outlier_method(df) == "IQR"
+    assert cleaning.outlier_rule(df)[0] == "IQR"
     assert cleaning.outliers_adaptive(df).count() == 40
 
 
 def test_quartile_rule_takes_over(spark):
     df = outlier_table(spark, [10.0, 11.0, 12.0, 13.0] * 10 + [500.0] * 3)
     settings = Thresholds(zscore_limit=1.0)
-    assert cleaning.outlier_method(df, settings) == "IQR"
+    assert cleaning.outlier_rule(df, settings)[0] == "IQR"
     assert cleaning.outliers_adaptive(df, settings).count() == 40
 
 

@@ -12,7 +12,7 @@ from profitlens.functions.ordered import (
     QUARTERS,
     _with_slice,
     exact_quantiles,
-    quantile_lookup,
+    quantiles,
     quartile_score,
     running_totals,
     sample_cuts,
@@ -104,7 +104,7 @@ def test_slices_follow_the_order_of_values(spark):
 
 def scores(spark, values, **options):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i long, v double")
-    edges = quantile_lookup(df, ["v"], QUARTERS)["v"]
+    edges = quantiles(df, ["v"], QUARTERS)["v"]
     return [r["s"] for r in df.withColumn("s", quartile_score(F.col("v"), edges, **options)).orderBy("i").collect()]
 
 
@@ -112,8 +112,7 @@ def scores(spark, values, **options):
 def test_lookup_is_the_same_either_way(spark, small_rows):
     values = [v for _, v in hot(1001, 8)]
     df = spark.createDataFrame([(v, v * 2) for v in values], "x double, y double")
-    found = quantile_lookup(df, ["x", "y"], (0.25, 0.5), small_rows=small_rows)
-    row = df.select(found["x"].alias("x"), found["y"].alias("y")).first()
+    row = quantiles(df, ["x", "y"], (0.25, 0.5), small_rows=small_rows)
     assert row["x"] == pytest.approx(list(np.quantile(values, (0.25, 0.5))), abs=1e-12)
     assert row["y"] == pytest.approx(list(np.quantile([v * 2 for v in values], (0.25, 0.5))), abs=1e-12)
 
@@ -123,5 +122,11 @@ def test_equal_values_share_a_quartile(spark):
     assert scores(spark, [1, 2, 2, 2, 3, 4, 5, 6], lowest_first=False) == [4, 4, 4, 4, 2, 2, 1, 1]
 
 
+@pytest.mark.parametrize("small_rows", [-1, 10], ids=["distributed", "one aggregate"])
+def test_no_values_no_quantiles(spark, small_rows):
+    df = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    assert quantiles(df, ["x", "y"], (0.5,), small_rows=small_rows) == {"x": [None], "y": [1.0]}
+
+
 def test_collapsed_edges_score_two(spark):
     assert scores(spark, [1, 1, 1, 1, 1, 2, 3, 9]) == [2] * 8

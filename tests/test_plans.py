@@ -27,7 +27,7 @@ def test_no_python_rows_and_no_cross_joins(spark, data, name):
         assert forbidden not in plan
 
 
-@pytest.mark.parametrize("name", ["rfm_segments", "abc_classification", "pareto_curve", "product_quadrants", "outliers_iqr"])
+@pytest.mark.parametrize("name", ["rfm_segments", "abc_classification", "pareto_curve"])
 def test_ordered_work_is_partitioned(spark, data, name, monkeypatch):
     """Windows over values are partitioned by slice; only slice sums are windowed as a whole."""
     monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
