@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitlens.llm import decontamination, packing, secrets, simhash, toxicity
+from profitlens.llm import decontamination, language, licenses, packing, secrets, sharding, simhash, topk, toxicity, warc
+
+SHARD_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +41,20 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.archive_and_index(table(spark, folder, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"), SHARD_BYTES)
+
+
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.find_licenses(docs, keep=["doc_id"])
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
@@ -53,6 +69,14 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    profiles = language.learn(docs.filter(key_remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), profiles, keep=["doc_id"])
+    held_out = F.coalesce(key_remainder("doc_id", 3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.find_secrets(docs, keep=["doc_id"])
@@ -75,11 +99,90 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
+    "op4_sharding": op4_sharding,
+    "op5_licenses": op5_licenses,
     "op6_decontamination": op6_decontamination,
+    "op7_language": op7_language,
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
+    "op10_topk": op10_topk,
+}
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+        WITH sized AS (
+            SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        largest AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM sized)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id < first_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id < first_id THEN first_id END AS refers_to
+        FROM largest
+    """,
+    # the bucket of a row is the shallowest prefix of its hash that fits, or that holds one hash only
+    "op4_sharding": f"""
+        WITH hashed AS (
+            SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+                CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+            FROM documents),
+        levels AS (SELECT h, n_bytes, unnest(range(0, 61)) AS depth FROM hashed),
+        buckets AS (
+            SELECT depth, h >> (60 - depth) AS bucket FROM levels GROUP BY ALL
+            HAVING sum(n_bytes) <= {SHARD_BYTES} OR min(h) = max(h)),
+        placed AS (
+            SELECT hashed.doc_id, hashed.n_bytes, hashed.h, min(buckets.depth) AS depth
+            FROM hashed JOIN buckets ON (hashed.h >> (60 - buckets.depth)) = buckets.bucket
+            GROUP BY ALL)
+        SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth,
+            CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), CAST(depth AS INTEGER), '0') END AS shard,
+            CAST(0 AS BIGINT) AS part
+        FROM placed
+    """,
+    "op6_decontamination": f"""
+        WITH split AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
+        items AS (SELECT item_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark),
+        item_windows AS (
+            SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS p
+            FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM items WHERE len(w) > 0)),
+        lengths AS (SELECT DISTINCT n FROM item_windows),
+        doc_windows AS (
+            SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS p
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, lengths WHERE len(w) >= n)),
+        found AS (SELECT doc_id, item_id, n, i FROM doc_windows JOIN item_windows USING (n, p)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+        matched AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM found GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM split LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)
+    """,
+    "op10_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }
-ORACLE_SQL: dict[str, str] = {}
