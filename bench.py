@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -67,7 +68,7 @@ def scale() -> float | str:
 
 
 def main() -> None:
-    spark = local_session(CPUS, shuffle_partitions=CPUS)
+    spark = local_session(tempfile.mkdtemp(prefix="bench-"), CPUS, shuffle_partitions=CPUS)
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
     seconds(spark, queries["market_agg"])  # start-up is not part of any query

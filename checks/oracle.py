@@ -55,9 +55,9 @@ COMMON = {
         FROM faulty""",
     "customers": """
         SELECT customer_id, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
-          round(sum(discount_rate), 6) / count(discount_rate) AS avg_discount,
+          fsum(discount_rate) / count(discount_rate) AS avg_discount,
           count(DISTINCT order_id) AS order_count,
-          round(sum(profit_ratio), 6) / count(profit_ratio) AS avg_profit_ratio
+          fsum(profit_ratio) / count(profit_ratio) AS avg_profit_ratio
         FROM tx GROUP BY customer_id""",
     "segment_modes": """
         SELECT customer_id, customer_segment FROM (
@@ -67,7 +67,7 @@ COMMON = {
     "products": """
         SELECT product_name, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
           MONEY(quantity) AS units_sold,
-          round(sum(discount_rate), 6) / count(discount_rate) AS avg_discount,
+          fsum(discount_rate) / count(discount_rate) AS avg_discount,
           CASE WHEN sum(quantity) > 0 THEN MONEY(profit) / MONEY(quantity) ELSE 0 END
             AS profit_per_unit
         FROM tx GROUP BY product_name""",
@@ -85,7 +85,7 @@ COMMON = {
         FROM tx WHERE order_date IS NOT NULL GROUP BY 1""",
     "categories": """
         SELECT category_name, MONEY(sales) AS total_sales, MONEY(profit) AS total_profit,
-          round(sum(profit_ratio), 6) / count(profit_ratio) AS avg_profit_ratio,
+          fsum(profit_ratio) / count(profit_ratio) AS avg_profit_ratio,
           MONEY(quantity) AS units_sold, count(sales) AS volume
         FROM tx GROUP BY category_name""",
     "health": """
@@ -96,7 +96,7 @@ COMMON = {
             AS health_score
         FROM categories""",
     "elasticity": """
-        SELECT customer_segment, round(corr(discount_rate, profit), 6) AS discount_profit_correlation
+        SELECT customer_segment, corr(discount_rate, profit) AS discount_profit_correlation
         FROM tx GROUP BY customer_segment""",
     "sums": """
         SELECT MONEY(sales) AS revenue, MONEY(profit) AS profit,
@@ -105,11 +105,11 @@ COMMON = {
           MONEY(benefit_per_order) AS benefit,
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM tx""",
     "category_margin": """
-        SELECT round(sum(m), 6) / count(m) * 100 AS average FROM (
-          SELECT round(sum(profit_ratio), 6) / count(profit_ratio) AS m FROM tx GROUP BY category_name)""",
+        SELECT fsum(m) / count(m) * 100 AS average FROM (
+          SELECT fsum(profit_ratio) / count(profit_ratio) AS m FROM tx GROUP BY category_name)""",
     "kpis": """
-        SELECT cast(round(cast(revenue AS decimal(30, 4)), 2) AS double) AS total_revenue,
-          cast(round(cast(profit AS decimal(30, 4)), 2) AS double) AS total_profit,
+        SELECT round(revenue, 2) AS total_revenue,
+          round(profit, 2) AS total_profit,
           round(profit / revenue * 100, 4) AS profit_margin_pct,
           round(profit0 / revenue0 * 100, 4) AS margin_zero_discount_pct,
           round(profit0 / revenue0 * 100 - profit / revenue * 100, 4) AS discount_impact_ratio_pct,
@@ -150,25 +150,24 @@ COMMON = {
           units_sold / (SELECT MONEY(units_sold) FROM products) AS volume_contribution
         FROM products""",
     "efficient": """
-        SELECT *, round(
+        SELECT *,
           0.4 * (margin - min(margin) OVER ()) / (max(margin) OVER () - min(margin) OVER ())
           + 0.3 * (profit_density - min(profit_density) OVER ())
               / (max(profit_density) OVER () - min(profit_density) OVER ())
           + 0.3 * (volume_contribution - min(volume_contribution) OVER ())
-              / (max(volume_contribution) OVER () - min(volume_contribution) OVER ()), 6) AS product_efficiency_index
+              / (max(volume_contribution) OVER () - min(volume_contribution) OVER ()) AS product_efficiency_index
         FROM rated""",
     "pareto": """
         SELECT customer_id, total_profit, row_number() OVER w AS customer_rank,
-          cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double) AS cumulative_profit,
-          cast(sum(cast(total_profit AS decimal(28, 4))) OVER w AS double)
-            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double) AS cumulative_pct
+          sum(total_profit) OVER w AS cumulative_profit,
+          sum(total_profit) OVER w
+            / sum(total_profit) OVER () AS cumulative_pct
         FROM customers WHERE total_profit > 0
         WINDOW w AS (ORDER BY total_profit DESC, md5(cast(customer_id AS varchar)) ROWS UNBOUNDED PRECEDING)""",
     "abc_shares": """
         SELECT product_name, total_profit,
-          cast(sum(cast(total_profit AS decimal(28, 4)))
-              OVER (ORDER BY total_profit DESC, md5(product_name) ROWS UNBOUNDED PRECEDING) AS double)
-            / cast(sum(cast(total_profit AS decimal(28, 4))) OVER () AS double) AS cumulative_profit_pct FROM products""",
+          sum(total_profit) OVER (ORDER BY total_profit DESC, md5(product_name) ROWS UNBOUNDED PRECEDING)
+            / sum(total_profit) OVER () AS cumulative_profit_pct FROM products""",
     "abc": """
         SELECT *, CASE WHEN cumulative_profit_pct <= 0.70 THEN 'A (Top 70%)'
           WHEN cumulative_profit_pct <= 0.90 THEN 'B (70–90%)' ELSE 'C (Bottom 10%)' END AS abc_class FROM abc_shares""",
@@ -208,7 +207,7 @@ COMMON = {
         FROM customers JOIN wide_modes USING (customer_id)""",
     "clv": """
         SELECT customer_id, total_sales AS total_revenue, total_profit, order_count, avg_discount,
-          round(total_profit * (1 + ln(1 + order_count)), 4) AS clv_score, order_count <= 3 AS churn_risk
+          total_profit * (1 + ln(1 + order_count)) AS clv_score, order_count <= 3 AS churn_risk
         FROM customers""",
     "distinct_rows": "SELECT *, count(*) AS copies FROM faulty GROUP BY ALL",
     "tagged": """
@@ -238,14 +237,14 @@ def _needed(body: str) -> list[str]:
 
 
 def _money_sums(text: str) -> str:
-    """Write out ``MONEY(x)``: the sum of x at four decimals, added up exactly."""
+    """Write out ``MONEY(x)``: the sum of x, 0 without values."""
     while (start := text.find("MONEY(")) >= 0:
         end, depth = start + len("MONEY("), 1
         while depth:
             depth += {"(": 1, ")": -1}.get(text[end], 0)
             end += 1
         value = text[start + len("MONEY(") : end - 1]
-        text = f"{text[:start]}cast(coalesce(sum(cast({value} AS decimal(18, 4))), 0) AS double){text[end:]}"
+        text = f"{text[:start]}coalesce(fsum({value}), 0){text[end:]}"
     return text
 
 
@@ -281,7 +280,7 @@ def _iqr(factor: float) -> str:
 def _whatif(cap: float) -> str:
     return f"""
       SELECT current_profit, n AS breaching_orders, n / orders * 100 AS breach_pct, recovered,
-        round(current_profit + recovered, 4) AS simulated_profit,
+        current_profit + recovered AS simulated_profit,
         recovered / greatest(abs(current_profit), 1.0) * 100 AS recovery_rate_pct
       FROM (SELECT MONEY(profit) AS current_profit, count(*) AS orders,
         count(*) FILTER (discount_rate > {cap}) AS n,
@@ -301,7 +300,7 @@ def _caps(caps: tuple[float, ...], current: float) -> str:
 
 def _histogram(source: str, value: str, bins: int) -> str:
     return f"""
-      SELECT bin, round(low + bin * width, 6) AS bin_low, round(low + (bin + 1) * width, 6) AS bin_high, count(*) AS orders
+      SELECT bin, low + bin * width AS bin_low, low + (bin + 1) * width AS bin_high, count(*) AS orders
       FROM (SELECT cast(least(floor((v - low) / width), {bins - 1}) AS bigint) AS bin, low, width
         FROM (SELECT v, min(v) OVER () AS low, (max(v) OVER () - min(v) OVER ()) / {bins}.0::double AS width
           FROM (SELECT {value} AS v FROM {source})))
@@ -311,8 +310,8 @@ def _histogram(source: str, value: str, bins: int) -> str:
 def _auc(source: str, score: str, label: str) -> str:
     """Mann-Whitney form, from ranks with ties at their mean."""
     return f"""
-      SELECT round((sum(CASE WHEN {label} = 1 THEN rnk ELSE 0 END) - p * (p + 1) / 2.0::double)
-          / (p::double * (n - p)), 6) AS auc
+      SELECT (sum(CASE WHEN {label} = 1 THEN rnk ELSE 0 END) - p * (p + 1) / 2.0::double)
+          / (p::double * (n - p)) AS auc
       FROM (SELECT {label}, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0::double AS rnk,
         sum({label}) OVER () AS p, count(*) OVER () AS n FROM {source})
       GROUP BY p, n"""
@@ -408,8 +407,8 @@ BODIES: dict[str, str] = {
         FROM customers JOIN segment_modes USING (customer_id)""",
     "customer_modes": "SELECT customer_id, customer_segment, shipping_mode, category_name FROM wide_modes",
     "category_agg": """SELECT category_name, total_sales, total_profit, avg_profit_ratio, units_sold,
-        total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double) AS revenue_share,
-        (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double)) * (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double))
+        total_sales / sum(total_sales) OVER () AS revenue_share,
+        (total_sales / sum(total_sales) OVER ()) * (total_sales / sum(total_sales) OVER ())
           AS hhi_contribution FROM categories""",
     "product_agg": "SELECT * FROM products",
     "market_agg": "SELECT * FROM markets",
@@ -429,12 +428,12 @@ BODIES: dict[str, str] = {
     "geo_markers": """SELECT *, least(greatest(order_count / 10.0::double, 3.0::double), 15.0::double) AS radius,
         CASE WHEN total_profit >= 0 THEN 'green' ELSE 'red' END AS color FROM nodes""",
     "correlation_matrix": " UNION ALL ".join(
-        f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 6) AS correlation FROM tx"
+        f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS correlation FROM tx"
         for a in ("discount_rate", "profit", "sales", "quantity", "profit_ratio")
         for b in ("discount_rate", "profit", "sales", "quantity", "profit_ratio")
     ),
     "discount_profit_correlation":
-        "SELECT round(round(corr(discount_rate, profit), 6), 4) AS discount_profit_correlation FROM tx",
+        "SELECT round(corr(discount_rate, profit), 4) AS discount_profit_correlation FROM tx",
     "profit_histogram": _histogram("tx", "profit", 60),
     "loss_histogram": _histogram("(SELECT * FROM tx WHERE profit < 0)", "profit", 30),
     "loss_order_share": """SELECT count(*) AS orders, count(*) FILTER (profit < 0) AS loss_orders,
@@ -442,9 +441,9 @@ BODIES: dict[str, str] = {
         count(*) FILTER (profit < 0) / count(*) * 100 > 20 AS is_critical FROM tx""",
     "margin_bridge": """SELECT step_no, step, amount FROM (
         SELECT 1 AS step_no, 'Gross Revenue' AS step, total_revenue AS amount FROM kpis
-        UNION ALL SELECT 2, 'Costs & COGS', -round(total_revenue - total_profit
-            - round(discount_impact_ratio_pct / 100 * total_revenue, 4), 4) FROM kpis
-        UNION ALL SELECT 3, 'Discount Leak', -round(discount_impact_ratio_pct / 100 * total_revenue, 4) FROM kpis
+        UNION ALL SELECT 2, 'Costs & COGS', -(total_revenue - total_profit
+            - discount_impact_ratio_pct / 100 * total_revenue) FROM kpis
+        UNION ALL SELECT 3, 'Discount Leak', -(discount_impact_ratio_pct / 100 * total_revenue) FROM kpis
         UNION ALL SELECT 4, 'Net Profit', total_profit FROM kpis)""",
     "filtered_kpis": """SELECT revenue, profit, profit / revenue * 100 AS margin_pct,
         revenue / orders AS average_order_value, customers, orders
@@ -452,7 +451,7 @@ BODIES: dict[str, str] = {
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM selected)""",
     "filtered_discount_leak": """SELECT revenue, profit, profit / revenue * 100 AS margin_pct,
         revenue / orders AS average_order_value, customers, orders,
-        round(revenue * (SELECT discount_impact_ratio_pct FROM kpis) / 100, 4) AS discount_leak
+        revenue * (SELECT discount_impact_ratio_pct FROM kpis) / 100 AS discount_leak
         FROM (SELECT MONEY(sales) AS revenue, MONEY(profit) AS profit,
           count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders FROM selected)""",
     "cohort_retention": """SELECT cohort, months_later, customers, cohort_size, customers / cohort_size AS retention FROM (
@@ -463,19 +462,19 @@ BODIES: dict[str, str] = {
         JOIN (SELECT strftime(f, '%Y-%m') AS cohort, count(*) AS cohort_size
           FROM (SELECT min(order_date) AS f FROM tx GROUP BY customer_id) GROUP BY 1) USING (cohort)""",
     "rolling_trend": """SELECT month, monthly_revenue, monthly_profit,
-        round(avg(monthly_revenue) OVER w, 4) AS rolling_revenue, round(avg(monthly_profit) OVER w, 4) AS rolling_profit
+        avg(monthly_revenue) OVER w AS rolling_revenue, avg(monthly_profit) OVER w AS rolling_profit
         FROM months WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
     "running_best": """SELECT month, monthly_revenue, max(monthly_revenue) OVER (ORDER BY month) AS best_so_far FROM months""",
     # pricing
     "discount_curve": """SELECT (b - 1) / 20.0::double AS bracket_low, b / 20.0::double AS bracket_high,
-        round(MONEY(profit) / count(profit), 4) AS avg_profit
+        MONEY(profit) / count(profit) AS avg_profit
         FROM (SELECT cast(ceil(round(discount_rate * 20, 6)) AS bigint) AS b, profit FROM tx
           WHERE discount_rate > 0 AND discount_rate <= 1) GROUP BY b""",
     "discount_sensitivity": """SELECT round(discount_rate * 20) / 20 AS discount_bracket, count(*) AS order_count,
-        round(sum(profit_ratio), 6) / count(*) AS avg_margin, MONEY(sales) AS total_revenue
+        fsum(profit_ratio) / count(*) AS avg_margin, MONEY(sales) AS total_revenue
         FROM tx WHERE discount_rate <= 0.30 GROUP BY 1 ORDER BY 1""",
     "discount_buckets": """SELECT discount_bucket, bucket_no, count(profit) AS orders, MONEY(profit) AS total_profit,
-        round(MONEY(profit) / count(profit), 4) AS avg_profit
+        MONEY(profit) / count(profit) AS avg_profit
         FROM tx JOIN (VALUES (-0.01, 0.05, '0–5%', 1), (0.05, 0.10, '5–10%', 2), (0.10, 0.15, '10–15%', 3),
           (0.15, 0.20, '15–20%', 4), (0.20, 0.25, '20–25%', 5), (0.25, 0.30, '25–30%', 6), (0.30, 0.50, '30–50%', 7),
           (0.50, 1.00, '50%+', 8)) AS b(low, high, discount_bucket, bucket_no)
@@ -500,8 +499,8 @@ BODIES: dict[str, str] = {
     "customer_segmentation": "SELECT * FROM matrix",
     "segment_distribution": "SELECT segment_class, count(*) AS customers FROM matrix GROUP BY 1",
     "n_bleeders": "SELECT count(*) FILTER (segment_class LIKE 'Bleeder%') AS n_bleeders FROM matrix",
-    "median_customer_sales": """SELECT count(*) AS customers, round(median(total_sales), 6) AS median_sales,
-        round(median(total_profit), 6) AS median_profit FROM customers""",
+    "median_customer_sales": """SELECT count(*) AS customers, median(total_sales) AS median_sales,
+        median(total_profit) AS median_profit FROM customers""",
     "customer_tier": """SELECT customer_id, total_sales, order_count,
         CASE WHEN total_sales > 5000 AND order_count >= 10 THEN 'VIP' WHEN total_sales > 1000 THEN 'Loyal'
           ELSE 'Occasional' END AS tier FROM customers""",
@@ -526,7 +525,7 @@ BODIES: dict[str, str] = {
     "insights": """SELECT
         (SELECT round(MONEY(CASE WHEN discount_rate > 0.05::double THEN sales * (discount_rate - 0.05::double) END), 2)
           FROM tx) AS revenue_at_risk,
-        (SELECT round(round(corr(discount_rate, profit), 6), 4) FROM tx) AS discount_profit_correlation,
+        (SELECT round(corr(discount_rate, profit), 4) FROM tx) AS discount_profit_correlation,
         (SELECT round(count(*) FILTER (cumulative_pct <= 0.80) / (SELECT count(*) FROM customers) * 100, 2) FROM pareto)
           AS pareto_pct,
         (SELECT count(*) FROM matrix WHERE segment_class LIKE 'Bleeder%') AS n_bleeders,
@@ -547,8 +546,8 @@ BODIES: dict[str, str] = {
     "top_products_pei": """SELECT product_name, total_sales, product_efficiency_index FROM efficient
         WHERE total_sales > 1000 ORDER BY product_efficiency_index DESC, product_name LIMIT 10""",
     "top_categories": """SELECT category_name, total_sales, total_profit, avg_profit_ratio, units_sold,
-        total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double) AS revenue_share,
-        (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double)) * (total_sales / cast(sum(cast(total_sales AS decimal(28, 4))) OVER () AS double))
+        total_sales / sum(total_sales) OVER () AS revenue_share,
+        (total_sales / sum(total_sales) OVER ()) * (total_sales / sum(total_sales) OVER ())
           AS hhi_contribution FROM categories ORDER BY total_profit DESC, category_name LIMIT 15""",
     "loss_products": """SELECT product_name, total_profit FROM products WHERE total_profit < 0
         ORDER BY total_profit, product_name LIMIT 12""",
@@ -569,14 +568,14 @@ BODIES: dict[str, str] = {
     "health_ranking": "SELECT * FROM health ORDER BY health_score DESC, category_name",
     # features and metrics
     "delivery_risk_features": """SELECT shipping_mode, market, late_delivery_risk AS label, count(*) AS rows,
-        round(sum(discount_rate), 2) AS discount_rate, round(sum(quantity), 2) AS quantity,
-        round(sum(unit_price), 2) AS unit_price, round(sum(discount_rate * quantity), 2) AS disc_x_qty,
-        round(sum(unit_price * quantity), 2) AS price_x_qty, round(sum(round(ln(1 + unit_price), 6)), 2) AS log_price
+        fsum(discount_rate) AS discount_rate, fsum(quantity) AS quantity,
+        fsum(unit_price) AS unit_price, fsum(discount_rate * quantity) AS disc_x_qty,
+        fsum(unit_price * quantity) AS price_x_qty, sum(ln(1 + unit_price)) AS log_price
         FROM tx GROUP BY 1, 2, 3""",
     "ltv_features": "SELECT * FROM ltv_table",
     "margin_risk_features": """SELECT shipping_mode, market, customer_segment, category_name,
         CASE WHEN profit < 0 THEN 1 ELSE 0 END AS label, count(*) AS rows,
-        MONEY(discount_rate) AS discount_rate, round(sum(unit_price), 2) AS unit_price
+        MONEY(discount_rate) AS discount_rate, fsum(unit_price) AS unit_price
         FROM tx GROUP BY 1, 2, 3, 4, 5""",
     "churn_features": """SELECT customer_id, total_revenue, total_profit, cast(order_count AS double) AS order_count,
         avg_discount, clv_score, cast(churn_risk AS int) AS label FROM clv""",
@@ -586,7 +585,7 @@ BODIES: dict[str, str] = {
         for c in ENCODED
     ),
     "roc_auc": _auc("tx", "sales", "late_delivery_risk"),
-    "brier_score": """SELECT round(avg((risk_score - late_delivery_risk) * (risk_score - late_delivery_risk)), 6) AS brier
+    "brier_score": """SELECT avg((risk_score - late_delivery_risk) * (risk_score - late_delivery_risk)) AS brier
         FROM risky""",
     "model_gates": f"""SELECT margin_auc, ltv_auc, margin_auc > 0.80 AND ltv_auc > 0.60 AND ltv_auc < 0.99 AS production_grade,
         margin_auc < 0.60 AS needs_rebuild, ltv_auc > 0.99 AS label_leakage

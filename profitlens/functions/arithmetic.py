@@ -1,8 +1,8 @@
 """Column expressions for totals, means, ratios and scaling.
 
 A sum of doubles depends on the order of addition, that is on the partitioning.
-Money is summed exactly, in whole ten-thousandths; sums behind a mean are
-rounded to six decimals. What is derived from them needs no further rounding.
+Totals are therefore added up in whole numbers, and means are built on totals.
+Nothing is rounded here: what is shown or compared is rounded there.
 """
 
 from __future__ import annotations
@@ -10,31 +10,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LARGE = float(1 << 24)  # values are whole multiples of this, whole numbers below it, and two fractions
+PART = float(1 << 24)  # the first fraction counts in steps of 2^-24, the other in steps of 2^-48
+LIMIT = float(1 << 86)
 
-MONEY_DIGITS = 4
-MONEY_UNITS = 10_000
+
+def finite(value: Column) -> Column:
+    """NaN, infinite values and those of 2^86 or more become null."""
+    return F.when(F.abs(value) < F.lit(LIMIT), value)
 
 
 def total(value: Column | str) -> Column:
-    """Exact sum of the values at four decimals; 0 for a group without values.
+    """Exact sum of the values to 2^-48 (4e-15) each; 0 for a group without values.
 
-    Whole units and ten-thousandths are added up as integers, which costs no
-    more than one sum of doubles, where a decimal sum costs four times as much.
+    Every value is cut into four whole numbers that integer sums add up in any
+    order. Values that are not finite do not count.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    whole = F.floor(value).cast("bigint")
-    parts = F.rint((value - F.floor(value)) * MONEY_UNITS).cast("bigint")
-    exact = F.sum(whole) + F.sum(parts) / F.lit(float(MONEY_UNITS))
-    return F.round(F.coalesce(exact, F.lit(0.0)), MONEY_DIGITS)
-
-
-def money_mean(value: Column | str) -> Column:
-    return F.try_divide(total(value), F.count(value))
+    value = finite((F.col(value) if isinstance(value, str) else value).cast("double"))
+    large = (value / F.lit(LARGE)).cast("bigint")
+    rest = value - large * F.lit(LARGE)
+    whole = rest.cast("bigint")
+    fraction = (rest - whole) * F.lit(PART)
+    coarse = fraction.cast("bigint")
+    fine = F.rint((fraction - coarse) * F.lit(PART)).cast("bigint")
+    below_one = (F.sum(coarse) + F.sum(fine) / F.lit(PART)) / F.lit(PART)
+    return F.coalesce(F.sum(large) * F.lit(LARGE) + (F.sum(whole) + below_one), F.lit(0.0))
 
 
 def mean(value: Column | str) -> Column:
     """Mean over the present values; null when there are none."""
-    return F.try_divide(F.round(F.sum(value), 6), F.count(value))
+    value = F.col(value) if isinstance(value, str) else value
+    return F.try_divide(total(value), F.count(finite(value.cast("double"))))
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -86,4 +92,4 @@ def pearson(x: Column | str, y: Column | str) -> Column:
     ``corr`` divides by zero on a constant column in ANSI mode.
     """
     spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return F.round(F.try_divide(F.regr_sxy(y, x), spread), 6)
+    return F.try_divide(F.regr_sxy(y, x), spread)

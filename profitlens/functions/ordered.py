@@ -1,10 +1,11 @@
 """Running totals and exact quantiles over tables of any size.
 
-A window ordered over a whole table runs in one task. That is fine for a table
-whose size was checked; beyond it the ordered values are cut into slices at
-quantiles of a sample. Each slice is summed, the few slice sums are
-accumulated, and the running total inside a slice starts from what the slices
-before it add up to. Where the cuts fall changes only the balance between
+There is one way for every size. Ordered values are cut into slices at
+quantiles of a sample. For a running total each slice is summed, the slice sums
+are accumulated, and the total inside a slice starts from what the slices
+before it add up to. For a quantile the slices are counted, and only the one
+that holds the wanted rank is sorted, after it has been cut again as long as it
+is too large for one task. Where the cuts fall changes only the balance between
 tasks, never the result.
 
 A value that many rows share would fill one slice. Such a value is a cut
@@ -17,28 +18,31 @@ The tables are read several times: stage them when they are costly to compute.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000  # what one task may order
-SMALL_VALUES = 200_000  # what one aggregate may hold
+from profitlens.functions.arithmetic import null_if_nan
+
+SLICE_ROWS = 1_000_000  # what one task sorts
 SAMPLE_ROWS = 4_000_000  # what the cuts are taken from
 SKETCH_ACCURACY = 100_000
-MAX_SLICES = 1024
-TIE_SLICES = 256
+LEAST_SLICES = 16
 SEED = 42
 
 
-def slice_count(spark: SparkSession) -> int:
-    """As many slices as shuffle partitions, within fixed limits.
+def slice_count(rows: int) -> int:
+    """Slices of about a quarter of what one task sorts."""
+    return max(LEAST_SLICES, math.ceil(4 * rows / SLICE_ROWS))
 
-    The limit bounds the broadcast table of slice sums: at most
-    ``MAX_SLICES * (TIE_SLICES + 1) + 1`` rows per group.
-    """
-    return max(16, min(MAX_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+def tie_digits(rows: int) -> int:
+    """Leading hexadecimal digits that divide even a value shared by all rows into slices for one task."""
+    return max(1, math.ceil(math.log(max(1, 4 * rows / SLICE_ROWS), 16)) + 1)
 
 
 def sample_cuts(df: DataFrame, rows: int, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float]]:
@@ -81,11 +85,11 @@ def with_slices(df: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     return df
 
 
-def _with_slice(df: DataFrame, by: str, tie: str | None, cuts: Sequence[float]) -> DataFrame:
+def _with_slice(df: DataFrame, by: str, tie: str | None, cuts: Sequence[float], digits: int = 2) -> DataFrame:
     sliced = with_slices(df, {by: list(cuts)}).withColumnRenamed(f"_slice_{by}", "_slice")
     if tie is None:
         return sliced.withColumn("_tie_slice", F.lit(0))
-    first_digits = F.conv(F.substring("_tie", 1, 2), 16, 10).cast("int")
+    first_digits = F.conv(F.substring("_tie", 1, digits), 16, 10).cast("int")
     return sliced.withColumn("_tie", F.md5(F.col(tie).cast("string"))).withColumn(
         "_tie_slice", F.when(F.col(f"_at_cut_{by}"), first_digits).otherwise(F.lit(0))
     )
@@ -99,7 +103,6 @@ def running_totals(
     descending: bool = False,
     group: Sequence[str] = (),
     slices: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """Add a running total of each column in ``totals`` (column -> name of the result).
 
@@ -110,25 +113,18 @@ def running_totals(
     ``tie``. Without ``tie`` the values of ``by`` have to be distinct. Rows
     without a value are left out.
     """
-    slices = slices or slice_count(df.sparkSession)
     valued = df.filter(F.col(by).isNotNull())
     rows = valued.count()
+    slices = slices or slice_count(rows)
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
     order = [F.col(by).desc() if descending else F.col(by)] + (["_tie"] if tie else [])
-    if rows <= (SMALL_ROWS if small_rows is None else small_rows):
-        keyed = valued.withColumn("_tie", F.md5(F.col(tie).cast("string"))) if tie else valued
-        whole = Window.partitionBy(*group).orderBy(*order).rowsBetween(*up_to_here)
-        return keyed.withColumns({name: F.sum(c).over(whole) for c, name in totals.items()}).select(
-            *df.columns, *totals.values()
-        )
-
     cuts = sample_cuts(valued, rows, [by], [i / slices for i in range(1, slices)])[by]
-    sliced = _with_slice(valued, by, tie, cuts)
+    sliced = _with_slice(valued, by, tie, cuts, tie_digits(rows))
     slice_order = F.col("_slice").desc() if descending else F.col("_slice")
     before = (
         Window.partitionBy(*group).orderBy(slice_order, "_tie_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # Bounded, see slice_count.
+    # A row per slice; both sides of the join below are dealt out by slice, as the window inside slices needs.
     sums = (
         sliced.groupBy(*group, "_slice", "_tie_slice")
         .agg(*[F.sum(c).alias(f"_in_{c}") for c in totals])
@@ -141,7 +137,7 @@ def running_totals(
     )
     inside = Window.partitionBy(*group, "_slice", "_tie_slice").orderBy(*order).rowsBetween(*up_to_here)
     return (
-        sliced.join(F.broadcast(sums), [*group, "_slice", "_tie_slice"])
+        sliced.join(sums, [*group, "_slice", "_tie_slice"])
         .withColumns({name: F.col(f"_before_{c}") + F.sum(c).over(inside) for c, name in totals.items()})
         .select(*df.columns, *totals.values())
     )
@@ -153,85 +149,110 @@ CUT_STEP = 6e-5
 CUTS_EACH_SIDE = 16
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Quantiles with linear interpolation: one row per column, ``(metric, quantiles)``.
-
-    Cuts lie closely around each wanted share. Counting rows per slice tells
-    exactly which slices hold the wanted ranks; only the values in those are
-    grouped, shuffled and sorted. Badly placed cuts would cost time, not
-    exactness.
+@dataclass
+class Stretch:
+    """An open interval of a column's values that holds wanted ranks: ``before`` rows lie below, ``rows`` in it."""
+
+    column: str
+    low: float = -math.inf
+    high: float = math.inf
+    before: int = 0
+    rows: int = 0
+    ranks: list[int] = field(default_factory=list)
+
+    def holds(self) -> Column:
+        value, inside = F.col(self.column), F.col(self.column).isNotNull()
+        if math.isfinite(self.low):
+            inside = inside & (value > F.lit(self.low))
+        return inside & (value < F.lit(self.high)) if math.isfinite(self.high) else inside
+
+
+def _narrowed(values: DataFrame, stretches: list[Stretch], shares: Sequence[float], found: dict) -> list[Stretch]:
+    """Cut stretches at sampled quantiles and count: ranks that fall on a cut are found, the others in a narrower stretch."""
+    columns = sorted({s.column for s in stretches})
+    held = {c: [s for s in stretches if s.column == c] for c in columns}
+    inside = {c: F.lit(False) for c in columns}
+    for s in stretches:
+        inside[s.column] = inside[s.column] | s.holds()
+    # each value only where it is still open
+    values = values.select(*[F.when(inside[c], F.col(c)).alias(c) for c in columns])
+    cuts = sample_cuts(values, max(sum(s.rows for s in own) for own in held.values()), columns, shares)
+    bounds = {c: {b for s in held[c] for b in (s.low, s.high) if math.isfinite(b)} for c in columns}
+    cuts = {c: sorted(bounds[c].union(cuts[c])) for c in columns}
+    pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"), F.col(f"_slice_{c}").alias("slice")) for c in columns]
+    counted = with_slices(values, cuts).select(F.inline(F.array(*pairs))).filter("value is not null").groupBy("metric", "slice").count()
+    sizes = {(r["metric"], r["slice"]): r["count"] for r in counted.collect()}  # two rows per cut at most
+    narrower = []
+    for stretch in stretches:
+        edges = cuts[stretch.column]
+        first = 2 * edges.index(stretch.low) + 2 if math.isfinite(stretch.low) else 0
+        last = 2 * edges.index(stretch.high) if math.isfinite(stretch.high) else 2 * len(edges)
+        before = stretch.before
+        for number in range(first, last + 1):
+            rows = sizes.get((stretch.column, number), 0)
+            ranks = [r for r in stretch.ranks if before <= r < before + rows]
+            if ranks and number % 2:
+                found[stretch.column].update(dict.fromkeys(ranks, edges[number // 2]))
+            elif ranks:
+                low = edges[number // 2 - 1] if number else -math.inf
+                high = edges[number // 2] if number < 2 * len(edges) else math.inf
+                narrower.append(Stretch(stretch.column, low, high, before, rows, ranks))
+            before += rows
+    return narrower
+
+
+def _sorted_out(values: DataFrame, stretches: list[Stretch], found: dict) -> None:
+    """Find the ranks of stretches that one task each can sort."""
+    pairs = [
+        F.struct(F.lit(i).alias("stretch"), F.when(s.holds(), F.col(s.column)).alias("value")) for i, s in enumerate(stretches)
+    ]
+    up_to_here = Window.partitionBy("stretch").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (
+        values.select(F.inline(F.array(*pairs))).filter("value is not null")
+        .groupBy("stretch", "value").agg(F.count("*").alias("n")).withColumn("reached", F.sum("n").over(up_to_here))
+    )
+    wanted = F.lit(False)
+    for i, s in enumerate(stretches):
+        for rank in s.ranks:
+            at = F.lit(rank - s.before)
+            wanted = wanted | ((F.col("stretch") == i) & (F.col("reached") > at) & (F.col("reached") - F.col("n") <= at))
+    for row in reached.filter(wanted).collect():  # a row per wanted rank at most
+        s = stretches[row["stretch"]]
+        hit = [r for r in s.ranks if row["reached"] - row["n"] <= r - s.before < row["reached"]]
+        found[s.column].update(dict.fromkeys(hit, row["value"]))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, as numbers to be used as literals that scans can push down.
+
+    Cuts lie closely around each wanted share first; a slice that still holds
+    more than ``SLICE_ROWS`` is cut again. Null and NaN do not count. Only
+    counts, cuts and results come to the driver, a bounded number per column
+    and share.
     """
+    values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    rows = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    ranks = {c: [(rows[c] - 1) * float(s) for s in shares] for c in columns if rows[c]}
+    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
     around = sorted({
         min(1.0, max(0.0, s + i * CUT_STEP)) for s in shares for i in range(-CUTS_EACH_SIDE, CUTS_EACH_SIDE + 1)
     })
-    cuts = sample_cuts(df, df.count(), columns, around)
-    sliced = (
-        with_slices(df.select(*columns), cuts)
-        .select(
-            F.inline(
-                F.array(*[
-                    F.struct(
-                        F.lit(c).alias("metric"),
-                        F.col(c).cast("double").alias("value"),
-                        F.col(f"_slice_{c}").alias("slice"),
-                    )
-                    for c in columns
-                ])
-            )
-        )
-        .filter(F.col("value").isNotNull())
-    )
-    whole = Window.partitionBy("metric")
-    before = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most two rows per cut and one more.
-    slices = (
-        sliced.groupBy("metric", "slice")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        .withColumn("all_rows", F.sum("rows").over(whole))
-    )
-    ranks = [(F.col("all_rows") - 1) * F.lit(float(s)) for s in shares]
-    wanted = [edge(r) for r in ranks for edge in (F.floor, F.ceil)]
-    holds_rank = F.lit(False)
-    for rank in wanted:
-        holds_rank = holds_rank | ((F.col("before") <= rank) & (rank < F.col("before") + F.col("rows")))
-
-    inside = (
-        Window.partitionBy("metric", "slice")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    reached = (
-        sliced.join(F.broadcast(slices.filter(holds_rank)), ["metric", "slice"])
-        .groupBy("metric", "slice", "before", "all_rows", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("reached", F.col("before") + F.sum("n").over(inside))
-    )
-    found = reached.groupBy("metric", "all_rows").agg(
-        *[F.min(F.when(F.col("reached") > rank, F.col("value"))).alias(f"v{i}") for i, rank in enumerate(wanted)]
-    )
-    quantiles = []
-    for i, rank in enumerate(ranks):
-        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        quantiles.append(low + (high - low) * (rank - F.floor(rank)))
-    return found.select("metric", F.array(*quantiles).alias("quantiles"))
-
-
-def quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], small_rows: int | None = None
-) -> dict[str, list[float | None]]:
-    """The quantiles of each column as numbers, to be used as literals that scans can push down.
-
-    Up to ``small_rows`` rows one aggregate holds all values; beyond that
-    ``exact_quantiles`` keeps the work distributed. Only the results, one number
-    per column and share, come to the driver.
-    """
-    nothing: list[float | None] = [None] * len(shares)
-    if df.count() <= (SMALL_VALUES if small_rows is None else small_rows):
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), list(shares)).alias(c) for c in columns]).first()
-        return {c: row[c] or nothing for c in columns}
-    found = {r["metric"]: r["quantiles"] for r in exact_quantiles(df, columns, shares).collect()}
-    return {c: found.get(c, nothing) for c in columns}
+    open_stretches = [
+        Stretch(c, rows=rows[c], ranks=sorted({edge(r) for r in own for edge in (math.floor, math.ceil)})) for c, own in ranks.items()
+    ]
+    while open_stretches:
+        open_stretches = _narrowed(values, open_stretches, around, found)
+        ready = [s for s in open_stretches if s.rows <= SLICE_ROWS]
+        if ready:
+            _sorted_out(values, ready, found)
+        open_stretches = [s for s in open_stretches if s.rows > SLICE_ROWS]
+        around = [i / 256 for i in range(257)]
+
+    def between(column: str, rank: float) -> float:
+        low, high = found[column][math.floor(rank)], found[column][math.ceil(rank)]
+        return low + (high - low) * (rank - math.floor(rank))
+
+    return {c: [between(c, r) for r in ranks[c]] if c in ranks else [None] * len(shares) for c in columns}
 
 
 QUARTERS = (0.0, 0.25, 0.5, 0.75, 1.0)

@@ -60,7 +60,7 @@ def delivery_risk_features(tx: DataFrame) -> FeatureSet:
     if {"unit_price", "quantity"} <= set(numeric):
         derived["price_x_qty"] = F.col("unit_price") * F.col("quantity")
     if "unit_price" in numeric:
-        derived["log_price"] = F.round(F.log1p("unit_price"), 6)
+        derived["log_price"] = F.log1p("unit_price")
     identity = _present(tx, ROW_IDENTITY)
     extra = [c for c in (*identity, "profit") if c not in numeric and c in tx.columns and c not in categorical]
     table = tx.select(

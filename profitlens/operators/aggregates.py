@@ -137,7 +137,7 @@ def places_agg(tx: DataFrame, keys: tuple[str, ...] = ("market", "order_region",
     """
     keys = tuple(k for k in keys if k in tx.columns)
     finest = tx.groupBy(*keys).agg(
-        F.sum("sales").alias("sales"), F.sum("profit").alias("profit"), F.count("sales").alias("n")
+        total("sales").alias("sales"), total("profit").alias("profit"), F.count("sales").alias("n")
     )
     pairs = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(k).alias("value")) for k in keys])
     return (

@@ -120,8 +120,8 @@ def rolling_trend(tx: DataFrame, months: int = 3) -> DataFrame:
         "month",
         "monthly_revenue",
         "monthly_profit",
-        F.round(F.avg("monthly_revenue").over(last), 4).alias("rolling_revenue"),
-        F.round(F.avg("monthly_profit").over(last), 4).alias("rolling_profit"),
+        F.avg("monthly_revenue").over(last).alias("rolling_revenue"),
+        F.avg("monthly_profit").over(last).alias("rolling_profit"),
     )
 
 
@@ -166,7 +166,7 @@ def customer_clv(tx: DataFrame, churn_max_orders: int = DEFAULTS.churn_max_order
         )
     )
     score = F.col("total_profit") * (1 + F.log1p(F.col("order_count").cast("double")))
-    return base.withColumn("clv_score", F.round(score, 4)).withColumn(
+    return base.withColumn("clv_score", score).withColumn(
         "churn_risk", F.col("order_count") <= churn_max_orders
     )
 
@@ -216,8 +216,8 @@ BRIDGE_STEPS = ("Gross Revenue", "Costs & COGS", "Discount Leak", "Net Profit")
 def margin_bridge(kpis: DataFrame) -> DataFrame:
     """From revenue to profit in four steps, out of the one-row KPI table."""
     revenue, profit = F.col("total_revenue"), F.col("total_profit")
-    leak = F.round(F.col("discount_impact_ratio_pct") / 100 * revenue, 4)
-    amounts = (revenue, -F.round(revenue - profit - leak, 4), -leak, profit)
+    leak = F.col("discount_impact_ratio_pct") / 100 * revenue
+    amounts = (revenue, -(revenue - profit - leak), -leak, profit)
     steps = F.array(*[
         F.struct(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"), amount.alias("amount"))
         for i, (name, amount) in enumerate(zip(BRIDGE_STEPS, amounts))
@@ -263,7 +263,7 @@ def discount_leak(kpis: DataFrame, selection: DataFrame) -> DataFrame:
     ``kpis`` is the one-row KPI table, staged or read from where it was written.
     """
     impact = kpis.select("discount_impact_ratio_pct").scalar()
-    return selection.withColumn("discount_leak", F.round(F.col("revenue") * impact / 100, 4))
+    return selection.withColumn("discount_leak", F.col("revenue") * impact / 100)
 
 
 def correlation_matrix(

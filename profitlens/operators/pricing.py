@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS
-from profitlens.functions.arithmetic import money_mean, percent_or_zero, ratio, total
+from profitlens.functions.arithmetic import mean, percent_or_zero, ratio, total
 
 BRACKETS_PER_UNIT = 20  # brackets of five percent
 
@@ -36,11 +36,11 @@ def discount_curve(tx: DataFrame) -> DataFrame:
     return (
         tx.filter((F.col("discount_rate") > 0) & (F.col("discount_rate") <= 1))
         .groupBy(bracket.alias("bracket"))
-        .agg(money_mean("profit").alias("avg_profit"))
+        .agg(mean("profit").alias("avg_profit"))
         .select(
             ((F.col("bracket") - 1) / F.lit(float(BRACKETS_PER_UNIT))).alias("bracket_low"),
             (F.col("bracket") / F.lit(float(BRACKETS_PER_UNIT))).alias("bracket_high"),
-            F.round("avg_profit", 4).alias("avg_profit"),
+            "avg_profit",
         )
     )
 
@@ -52,7 +52,7 @@ def discount_sensitivity(tx: DataFrame, up_to: float = 0.30) -> DataFrame:
         .groupBy((F.round(F.col("discount_rate") * BRACKETS_PER_UNIT) / BRACKETS_PER_UNIT).alias("discount_bracket"))
         .agg(
             F.count("*").alias("order_count"),
-            ratio(F.round(F.sum("profit_ratio"), 6), F.count("*")).alias("avg_margin"),
+            ratio(total("profit_ratio"), F.count("*")).alias("avg_margin"),
             total("sales").alias("total_revenue"),
         )
         .orderBy("discount_bracket")
@@ -73,12 +73,12 @@ def discount_buckets(tx: DataFrame) -> DataFrame:
         .agg(
             F.count("profit").alias("orders"),
             total("profit").alias("total_profit"),
-            money_mean("profit").alias("avg_profit"),
+            mean("profit").alias("avg_profit"),
         )
         .filter(F.col("orders") > 0)
         .select(
             F.get(labels, F.col("bucket_no") - 1).alias("discount_bucket"),
-            "bucket_no", "orders", "total_profit", F.round("avg_profit", 4).alias("avg_profit"),
+            "bucket_no", "orders", "total_profit", "avg_profit",
         )
     )
 
@@ -107,7 +107,7 @@ def discount_whatif(tx: DataFrame, cap: float = DEFAULTS.discount_cap) -> DataFr
         "breaching_orders",
         percent_or_zero(F.col("breaching_orders"), F.col("orders")).alias("breach_pct"),
         "recovered",
-        F.round(F.col("current_profit") + F.col("recovered"), 4).alias("simulated_profit"),
+        (F.col("current_profit") + F.col("recovered")).alias("simulated_profit"),
         (F.col("recovered") / F.greatest(F.abs("current_profit"), F.lit(1.0)) * 100).alias("recovery_rate_pct"),
     )
 
@@ -150,8 +150,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         .agg(F.count("*").alias("orders"))
         .select(
             "bin",
-            F.round(span["low"] + F.col("bin") * width, 6).alias("bin_low"),
-            F.round(span["low"] + (F.col("bin") + 1) * width, 6).alias("bin_high"),
+            (span["low"] + F.col("bin") * width).alias("bin_low"),
+            (span["low"] + (F.col("bin") + 1) * width).alias("bin_high"),
             "orders",
         )
     )

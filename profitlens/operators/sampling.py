@@ -82,8 +82,8 @@ def sample_scaled_kpis(
         total("sales").alias("sales"), total("profit").alias("profit"), F.count("*").alias("n")
     ).withColumn("scale", F.try_divide(full_rows, sample.agg(F.count("*")).scalar()))
     return sums.select(
-        F.round(F.col("sales") * F.col("scale"), 4).alias("estimated_revenue"),
-        F.round(F.col("profit") * F.col("scale"), 4).alias("estimated_profit"),
+        (F.col("sales") * F.col("scale")).alias("estimated_revenue"),
+        (F.col("profit") * F.col("scale")).alias("estimated_profit"),
         percent_or_zero(F.col("profit"), F.col("sales")).alias("margin_pct"),
         F.floor(F.col("n") * F.col("scale")).cast("bigint").alias("estimated_orders"),
     )

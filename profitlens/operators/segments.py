@@ -115,7 +115,7 @@ def product_efficiency(products: DataFrame) -> DataFrame:
         (F.lit(w) * min_max(F.col(c), span[f"min_{c}"], span[f"max_{c}"]) for c, w in weights.items()),
         F.lit(0.0),
     )
-    return rated.withColumn("product_efficiency_index", F.round(index, 6))
+    return rated.withColumn("product_efficiency_index", index)
 
 
 STARS, NICHE, CASH_COWS, DOGS = (
@@ -138,7 +138,7 @@ def product_quadrants(products: DataFrame, min_sales: float = 1000.0) -> DataFra
     )
 
 
-MONEY = "decimal(28,4)"  # running totals add up exactly, wherever the slices are cut
+MONEY = "decimal(38,12)"  # running totals add up exactly, wherever the slices are cut
 
 
 # --- concentration ------------------------------------------------------------

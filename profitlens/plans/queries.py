@@ -188,7 +188,7 @@ def sql_query(spark, folder):
     tx(spark, folder).createOrReplaceTempView("transactions")
     return tables.run_sql(
         spark,
-        "SELECT market, count(*) AS orders, cast(sum(cast(sales AS decimal(18, 4))) AS double) AS total_sales FROM transactions "
+        "SELECT market, count(*) AS orders, sum(sales) AS total_sales FROM transactions "
         "WHERE sales > :min_sales AND customer_segment = :segment GROUP BY market",
         {"min_sales": 1000.0, "segment": "BUILDING"},
     )
@@ -620,8 +620,8 @@ def median_customer_sales(spark, folder):
     medians = segments.quantiles(table, ["total_sales", "total_profit"], (0.5,))
     return table.agg(
         F.count("*").alias("customers"),
-        F.round(F.lit(medians["total_sales"][0]), 6).alias("median_sales"),
-        F.round(F.lit(medians["total_profit"][0]), 6).alias("median_profit"),
+        F.lit(medians["total_sales"][0]).alias("median_sales"),
+        F.lit(medians["total_profit"][0]).alias("median_profit"),
     )
 
 
@@ -813,7 +813,7 @@ def delivery_risk_features(spark, folder):
     return table.groupBy("shipping_mode", "market", "label").agg(
         F.count("*").alias("rows"),
         *[
-            F.round(F.sum(c), 2).alias(c)
+            total(c).alias(c)
             for c in ("discount_rate", "quantity", "unit_price", "disc_x_qty", "price_x_qty", "log_price")
         ],
     )
@@ -830,7 +830,7 @@ def margin_risk_features(spark, folder):
     return table.groupBy("shipping_mode", "market", "customer_segment", "category_name", "label").agg(
         F.count("*").alias("rows"),
         total("discount_rate").alias("discount_rate"),
-        F.round(F.sum("unit_price"), 2).alias("unit_price"),
+        total("unit_price").alias("unit_price"),
     )
 
 

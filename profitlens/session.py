@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and for the bench; a cluster brings its own."""
+def local_session(folder: str, cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+    """A session for tests and for the bench, which stages tables in ``folder``; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("profitlens")
@@ -17,28 +17,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
 
 
-_fallback: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: the one the cluster names in ``spark.checkpoint.dir``.
+    """Folder all executors can reach: the one named in ``spark.checkpoint.dir`` or with ``name_shared_folder``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")
 
-    Only a local master, where driver and executors share one disk, may fall
-    back to a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
+
+def name_shared_folder(spark: SparkSession, choose: Callable[[], str]) -> None:
+    """Use the chosen folder on a single machine whose session names none; a cluster has to name its own."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _fallback:
-        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="profitlens-")
-    return _fallback[context.applicationId]
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(choose())
 
 
 def staged_root(spark: SparkSession) -> str:

@@ -11,8 +11,8 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(str(tmp_path_factory.mktemp("shared")), 4, shuffle_partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     drop_staged(session)

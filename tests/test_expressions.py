@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from profitlens.functions import arithmetic as a
 from profitlens.functions.dates import month_of, parsed_moment, whole_days
-from profitlens.operators import kpis
+from profitlens.operators import aggregates, kpis
 
 
 def one(df):
@@ -13,10 +13,34 @@ def one(df):
 
 
 def test_total_is_exact_for_any_order(spark):
-    values = [(0.1,)] * 1000 + [(1e12,), (-1e12,), (-2.5,), (2.9999999999,), (None,)]
+    values = [(0.1,)] * 1000 + [(1e12,), (-1e12,), (-2.5,), (3e19,), (-3e19,), (-1e-9,), (None,)]
     df = spark.createDataFrame(values, "v double")
-    assert one(df.agg(a.total("v"))) == 100.5
-    assert one(df.repartition(7).orderBy("v").agg(a.total("v"))) == 100.5
+    found = {one(df.repartition(n).orderBy(order).agg(a.total("v"))) for n in (1, 7) for order in ("v", F.rand(n))}
+    assert len(found) == 1
+    assert found.pop() == pytest.approx(97.5 - 1e-9, abs=1e-11)
+
+
+def test_total_keeps_every_digit(spark):
+    small = spark.range(100_000).select(F.lit(0.00004).alias("v"))
+    assert one(small.agg(a.total("v"))) == pytest.approx(4.0, abs=1e-9)
+    assert one(small.agg(a.mean("v"))) == pytest.approx(0.00004, abs=1e-14)
+    large = spark.range(1000).select((F.lit(1e9) + F.lit(0.0625)).alias("v"))
+    assert one(large.agg(a.total("v"))) == 1000 * (1e9 + 0.0625)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf"), 1e300])
+def test_what_is_not_finite_does_not_count(spark, bad):
+    df = spark.createDataFrame([(1.5,), (bad,), (2.5,)], "v double")
+    assert one(df.agg(a.total("v"))) == 4.0
+    assert one(df.agg(a.mean("v"))) == 2.0
+
+
+def test_places_add_up_to_the_market(spark):
+    rows = [(f"m{i % 2}", f"r{i % 7}", 1e9 + 0.1 * (i % 13), 0.00004) for i in range(20_000)]
+    tx = spark.createDataFrame(rows, "market string, order_region string, sales double, profit double")
+    places = aggregates.places_agg(tx).filter("dimension = 'market'").orderBy("value").collect()
+    markets = aggregates.market_agg(tx).orderBy("market").collect()
+    assert [r["total_sales"] for r in places] == pytest.approx([r["total_sales"] for r in markets], rel=1e-15)
 
 
 def test_total_of_nothing_is_zero_and_mean_is_null(spark):

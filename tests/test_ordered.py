@@ -11,7 +11,6 @@ from profitlens.functions import ordered
 from profitlens.functions.ordered import (
     QUARTERS,
     _with_slice,
-    exact_quantiles,
     quantiles,
     quartile_score,
     running_totals,
@@ -45,10 +44,10 @@ def hot(n, seed):
     [hot(3000, 1), [(i, 5.0) for i in range(500)], [(i, float(i)) for i in range(700)], [(1, 2.5)], []],
     ids=["hot value", "one value", "all distinct", "one row", "no rows"],
 )
-@pytest.mark.parametrize("small_rows", [0, 10_000], ids=["sliced", "one window"])
-def test_running_total_equals_one_ordered_pass(spark, rows, descending, small_rows):
+@pytest.mark.parametrize("slices", [None, 40])
+def test_running_total_equals_one_ordered_pass(spark, rows, descending, slices):
     df = spark.createDataFrame(rows, "k long, v double").repartition(5)
-    got = running_totals(df, "v", {"v": "sum_so_far"}, tie="k", descending=descending, slices=16, small_rows=small_rows)
+    got = running_totals(df, "v", {"v": "sum_so_far"}, tie="k", descending=descending, slices=slices)
     assert got.columns == ["k", "v", "sum_so_far"]
     assert {r["k"]: r["sum_so_far"] for r in got.collect()} == pytest.approx(brute_force(rows, descending))
 
@@ -63,7 +62,7 @@ def test_a_hot_value_is_split_over_many_slices(spark):
 def test_running_total_per_group(spark):
     rows = [("a", float(i)) for i in range(50)] + [("b", float(i)) for i in range(30)]
     df = spark.createDataFrame(rows, "g string, v double").withColumn("one", F.lit(1).cast("long"))
-    got = running_totals(df, "v", {"one": "n"}, group=("g",), slices=8, small_rows=0).groupBy("g").agg(F.max("n")).collect()
+    got = running_totals(df, "v", {"one": "n"}, group=("g",), slices=8).groupBy("g").agg(F.max("n")).collect()
     assert dict(got) == {"a": 50, "b": 30}
 
 
@@ -81,17 +80,25 @@ def test_running_total_per_group(spark):
 def test_quantiles_interpolate_like_numpy(spark, values):
     shares = (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)
     df = spark.createDataFrame([(float(v), float(-v)) for v in values] + [(None, None)], "x double, y double")
-    got = {r["metric"]: r["quantiles"] for r in exact_quantiles(df.repartition(3), ["x", "y"], shares).collect()}
+    got = quantiles(df.repartition(3), ["x", "y"], shares)
     assert got["x"] == pytest.approx(list(np.quantile(values, shares)), abs=1e-12)
     assert got["y"] == pytest.approx(list(np.quantile([-v for v in values], shares)), abs=1e-12)
 
 
-def test_quantiles_stay_exact_with_a_poor_sample(spark, monkeypatch):
+@pytest.mark.parametrize("slice_rows", [1, 20, 1_000_000])
+def test_quantiles_stay_exact_with_a_poor_sample_and_tight_slices(spark, monkeypatch, slice_rows):
     monkeypatch.setattr(ordered, "SAMPLE_ROWS", 50)
+    monkeypatch.setattr(ordered, "SLICE_ROWS", slice_rows)
     values = [v for _, v in hot(3000, 9)]
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, ["x"], (0.1, 0.5)).first()["quantiles"]
-    assert got == pytest.approx(list(np.quantile(values, (0.1, 0.5))), abs=1e-12)
+    df = spark.createDataFrame([(v, v / 7) for v in values], "x double, y double")
+    got = quantiles(df, ["x", "y"], (0.1, 0.5, 0.97))
+    assert got["x"] == pytest.approx(list(np.quantile(values, (0.1, 0.5, 0.97))), abs=1e-12)
+    assert got["y"] == pytest.approx(list(np.quantile([v / 7 for v in values], (0.1, 0.5, 0.97))), abs=1e-12)
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    assert quantiles(df, ["x"], (0.0, 0.5, 1.0))["x"] == [1.0, 2.0, 3.0]
 
 
 def test_slices_follow_the_order_of_values(spark):
@@ -108,24 +115,14 @@ def scores(spark, values, **options):
     return [r["s"] for r in df.withColumn("s", quartile_score(F.col("v"), edges, **options)).orderBy("i").collect()]
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000], ids=["distributed", "one aggregate"])
-def test_lookup_is_the_same_either_way(spark, small_rows):
-    values = [v for _, v in hot(1001, 8)]
-    df = spark.createDataFrame([(v, v * 2) for v in values], "x double, y double")
-    row = quantiles(df, ["x", "y"], (0.25, 0.5), small_rows=small_rows)
-    assert row["x"] == pytest.approx(list(np.quantile(values, (0.25, 0.5))), abs=1e-12)
-    assert row["y"] == pytest.approx(list(np.quantile([v * 2 for v in values], (0.25, 0.5))), abs=1e-12)
-
-
 def test_equal_values_share_a_quartile(spark):
     assert scores(spark, [1, 2, 2, 2, 3, 4, 5, 6]) == [1, 1, 1, 1, 3, 3, 4, 4]
     assert scores(spark, [1, 2, 2, 2, 3, 4, 5, 6], lowest_first=False) == [4, 4, 4, 4, 2, 2, 1, 1]
 
 
-@pytest.mark.parametrize("small_rows", [-1, 10], ids=["distributed", "one aggregate"])
-def test_no_values_no_quantiles(spark, small_rows):
+def test_no_values_no_quantiles(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
-    assert quantiles(df, ["x", "y"], (0.5,), small_rows=small_rows) == {"x": [None], "y": [1.0]}
+    assert quantiles(df, ["x", "y"], (0.5,)) == {"x": [None], "y": [1.0]}
 
 
 def test_collapsed_edges_score_two(spark):

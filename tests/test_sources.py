@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from profitlens.config import Thresholds
 from profitlens.plans.batch import run_batch
-from profitlens.session import shared_folder, stage
+from profitlens.session import name_shared_folder, shared_folder, stage
 from profitlens.sources import csv, star, tables
 
 HEADER = "Customer Id,Market,BENEFIT_PER_ORDER,Sales,order date (DateOrders),Customer City,Unknown Column\n"
@@ -74,7 +74,13 @@ def test_staged_tables_go_to_the_shared_folder(spark):
 
 class FakeContext:
     def __init__(self, master):
-        self.master, self.applicationId = master, f"app-{master}"
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
 
 class FakeSession:
@@ -85,11 +91,14 @@ class FakeSession:
         self.conf = {}
 
 
-def test_only_a_local_master_may_use_a_temporary_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession("yarn"))
-    local = FakeSession("local[2]")
-    assert shared_folder(local) == shared_folder(local)
+def test_the_shared_folder_has_to_be_named():
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(FakeSession(master))
+    cluster, local = FakeSession("yarn"), FakeSession("local[2]")
+    for session in (cluster, local):
+        name_shared_folder(session, lambda: "/some/folder")
+    assert cluster.sparkContext.folder is None and shared_folder(local) == "/some/folder"
     local.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
     assert shared_folder(local) == "hdfs://shared"
 
