@@ -3,8 +3,8 @@
 Writing: every capture becomes one WARC/1.1 record. Of captures with equal
 payloads of ``least_bytes`` or more, the one with the largest key is a response
 and the others are revisits that refer to it. Records are ended by the line
-separator of Spark's text writer, so the files are plain archives that the
-writer commits like any other output.
+separator of Spark's text writer, so the files are gzipped archives that the
+writer commits like any other output; offsets count unzipped bytes.
 
 Reading: archives are read back, lengths and digests are verified, and each
 record becomes an index line.
@@ -26,6 +26,7 @@ empty table writes no record and reads back empty.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
 from collections.abc import Iterator
@@ -115,7 +116,7 @@ def write_archives(
     held = captures.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload") + 700).alias("bytes")).first()
     per_file = max(1, int(settings.archive_bytes * held["n"] / held["bytes"])) if held["n"] else 1
     writer = record_text(_decided(captures, settings)).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", per_file)
-    writer.text(path)
+    writer.option("compression", "gzip").text(path)
 
 
 # --- reading ------------------------------------------------------------------
@@ -176,7 +177,7 @@ def read_archives(spark, path: str) -> DataFrame:
         for batch in batches:
             for archive, content in zip(batch.column(0), batch.column(1), strict=True):
                 name = archive.as_py().rsplit("/", 1)[-1]
-                yield _arrow(list(parse_archive(name, content.as_py())), LINES)
+                yield _arrow(list(parse_archive(name, gzip.decompress(content.as_py()))), LINES)
 
     return files.mapInArrow(run, LINES)
 
