@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.llm.text import cut, extended, word_starts, words
+from profitlens.llm.text import cut, extended, slices, word_starts, words
 from profitlens.session import stage
 
 RESULT = T.StructType([
@@ -270,8 +270,10 @@ def _scan_block(
     results = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in RESULT])
     schema = extended(T.StructType([f for f in docs.schema if f.name in own]), results)
     own = [f.name for f in schema][: len(schema) - len(RESULT)]
-    earlier = [F.col(f"`{c}`") for c in results.names[1:]] if add_to else []
-    source = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text}`").cast("binary").alias("_utf8"), *earlier)
+    earlier = [F.col(f"`{c}`").alias(f"earlier{i}") for i, c in enumerate(results.names[1:])] if add_to else []
+    # numbered, as names with dots cannot enter an Arrow pass
+    shown = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)]
+    source = docs.select(*shown, F.col(f"`{text}`").cast("binary").alias("utf8"), *earlier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(held: list[pa.RecordBatch], texts: list[bytes | None]) -> Iterator[pa.RecordBatch]:
@@ -292,16 +294,14 @@ def _scan_block(
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(own))] + arrays, [f.name for f in schema])
 
         held, texts, size = [], [], 0
-        for whole in batches:
-            for start in range(0, max(1, whole.num_rows), 256):
-                batch = whole.slice(start, 256)
-                held.append(batch)
-                new = batch.column(len(own)).to_pylist()
-                texts += new
-                size += sum(len(t) for t in new if t) // 6  # about a word
-                if size >= settings.shard_words:
-                    yield from emit(held, texts)
-                    held, texts, size = [], [], 0
+        for batch in (part for whole in batches for part in slices(whole, 256)):
+            held.append(batch)
+            new = batch.column(len(own)).to_pylist()
+            texts += new
+            size += sum(len(t) for t in new if t) // 6  # about a word
+            if size >= settings.shard_words:
+                yield from emit(held, texts)
+                held, texts, size = [], [], 0
         if held:
             yield from emit(held, texts)
 
@@ -362,22 +362,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", siz
     schema, counts = docs.schema, size in docs.columns
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, spans = batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
             for i, (data, own) in enumerate(zip(texts, spans, strict=True)):
                 if own:
                     at = word_starts(data.encode())
                     texts[i] = cut(data.encode(), [(at[a][0], at[b - 1][1]) for a, b in own]).decode()
-            columns = {c: batch.column(c) for c in untouched}
+            columns = {c: batch.column(i) for i, c in enumerate(untouched)}
             columns[text] = pa.array(texts, pa.string())
             if counts:
-                sizes = batch.column("_size").to_pylist()
+                sizes = batch.column("size").to_pylist()
                 sizes = [len(t) if own else n for t, own, n in zip(texts, spans, sizes, strict=True)]
-                columns[size] = pa.array(sizes, batch.column("_size").type)
+                columns[size] = pa.array(sizes, batch.column("size").type)
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], [f.name for f in schema])
 
-    shown = [F.col(f"`{c}`") for c in untouched] + [F.col(f"`{text}`").alias("_text"), F.col("_fm_removal_spans").alias("_spans")]
+    shown = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(untouched)]
+    shown += [F.col(f"`{text}`").alias("text"), F.col("_fm_removal_spans").alias("spans")]
     if counts:
-        shown.append(F.col(f"`{size}`").alias("_size"))
+        shown.append(F.col(f"`{size}`").alias("size"))
     return found.select(*shown).mapInArrow(remove, schema)
 

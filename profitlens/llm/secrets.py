@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.llm.text import add_columns, code_points, cut
+from profitlens.llm.text import add_columns, code_points, cut, slices
 
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LONG_RUN = 32
@@ -183,7 +183,7 @@ def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", ma
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             columns = {f.name: batch.column(i) for i, f in enumerate(schema)}
             texts = columns[text].to_pylist()
             sizes = columns[size].to_pylist() if counts else []
@@ -199,7 +199,8 @@ def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", ma
                 columns[size] = pa.array(sizes, columns[size].type)
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], [f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    # numbered, as names with dots cannot enter an Arrow pass
+    return docs.toDF(*[f"c{i}" for i in range(len(schema))]).mapInArrow(run, schema)
 
 
 def spans_text(spans: str) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.llm.text import add_columns
+from profitlens.llm.text import add_columns, columns_of
 from profitlens.session import stage
 
 
@@ -324,12 +324,12 @@ def keep_one_each(
     rows, placed = classes(docs, key, text, settings)
     named = rows.join(placed, rows["fp"] == placed["print"]).filter(F.col("key") == F.col("component_id"))
     named = named.groupBy("key").agg(F.count("*").alias("_copies")).withColumnRenamed("key", "_id")
-    kept = docs.join(named, F.col(f"`{key}`") == F.col("_id"))
-    single = kept.filter("_copies = 1").select(*docs.columns)
+    kept, own = docs.join(named, F.col(f"`{key}`") == F.col("_id")), columns_of(docs)
+    single = kept.filter("_copies = 1").select(*own)
     # few rows: repeated keys, and rows without key
-    several = kept.filter("_copies > 1").select(*docs.columns).unionByName(docs.filter(F.col(f"`{key}`").isNull()))
+    several = kept.filter("_copies > 1").select(*own).unionByName(docs.filter(F.col(f"`{key}`").isNull()))
     several = with_fingerprints(several, text, "_fp", shingle=settings.shingle)
-    several = several.join(placed, (F.col("_fp") == F.col("print")) & F.col("component_id").eqNullSafe(F.col(f"`{key}`")))
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    several = several.withColumn("_rank", F.row_number().over(Window.partitionBy("root").orderBy(tie)))
-    return single.unionByName(several.filter("_rank = 1").select(*docs.columns))
+    placed = placed.toDF("_print", "_root", "_component")
+    several = several.join(placed, (F.col("_fp") == F.col("_print")) & F.col("_component").eqNullSafe(F.col(f"`{key}`")))
+    ranked = several.withColumn("_rank", F.row_number().over(Window.partitionBy("_root").orderBy(F.xxhash64(*own))))
+    return single.unionByName(ranked.filter("_rank = 1").select(*own))

@@ -6,7 +6,7 @@ import string
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,17 @@ def extended(schema: T.StructType, added: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name.lower() not in new] + list(added))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that what is computed for a part can go before the next one."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def add_columns(
     df: DataFrame,
     text: str,
@@ -75,18 +86,20 @@ def add_columns(
     """One Arrow pass that appends columns computed from whole texts.
 
     ``compute`` is called once per task and returns a function from the texts
-    of a batch, in UTF-8, to one array per added field. ``keep`` names the
+    of a small batch, in UTF-8, to one array per added field. ``keep`` names the
     columns returned beside them (all by default), so that texts that nobody
     needs later are not sent back.
     """
     kept = [f for f in df.schema if keep is None or f.name in set(keep)]
     schema = extended(T.StructType(kept), added)
     wanted = [f.name for f in schema][: len(schema) - len(added)]
-    source = df.select(*[F.col(f"`{c}`") for c in wanted], F.col(f"`{text}`").cast("binary").alias("_utf8"))
+    # numbered, as names with dots cannot enter an Arrow pass
+    shown = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(wanted)]
+    source = df.select(*shown, F.col(f"`{text}`").cast("binary").alias("utf8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = compute()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             arrays = function(batch.column(len(wanted)).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(wanted))] + arrays, [f.name for f in schema])
 

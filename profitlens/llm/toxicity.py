@@ -45,10 +45,10 @@ class FactorSettings:
 
     bits: int = 18
     factors: int = 6
-    stems: tuple[int, ...] = (4, 5, 6)
+    stems: tuple[int, ...] = (3, 4, 5, 6)
     fit_rows: int = 12_000
     least_documents: int = 3
-    least_chi2: float = 20.0
+    least_chi2: float = 30.0
     epochs: int = 8
     batch: int = 128
     rate: float = 0.2
@@ -78,7 +78,7 @@ def term_buckets(data: bytes | None, bits: int, stems: tuple[int, ...]) -> np.nd
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All buckets one after another, and the row each belongs to."""
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    return (np.concatenate(rows) if rows else np.zeros(0, np.int64)), of
+    return np.concatenate([*rows, np.zeros(0, np.int64)]), of
 
 
 def _margins(bias: float, weights: np.ndarray, factors: np.ndarray, terms: np.ndarray, of: np.ndarray, n: int):
@@ -159,17 +159,24 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, settings: FactorSe
     bits, stems = settings.bits, settings.stems
 
     def hashed():
-        return lambda texts: [pa.array([term_buckets(t, bits, stems).tolist() for t in texts], pa.list_(pa.int64()))]
+        def run(texts):
+            rows = [term_buckets(t, bits, stems) for t in texts]
+            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            return [pa.ListArray.from_arrays(ends, np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int32))]
+
+        return run
 
-    terms = T.StructType([T.StructField("terms", T.ArrayType(T.LongType()))])
+    terms = T.StructType([T.StructField("terms", T.ArrayType(T.IntegerType()))])
     sample = add_columns(usable, "text", hashed, terms, keep=["key", "label"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, float, list[int]]] = []
+        rows: list[tuple[str, float, np.ndarray]] = []
         for batch in batches:
-            rows += zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-        rows.sort(key=lambda r: (str(r[0]), r[1], r[2]))
-        model = fit_rows([np.array(r[2], np.int64) for r in rows], np.array([r[1] for r in rows]), settings)
+            held, ends = batch.column(2).values.to_numpy(), batch.column(2).offsets.to_numpy()
+            lists = [held[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            rows += zip(map(str, batch.column(0).to_pylist()), batch.column(1).to_pylist(), lists, strict=True)
+        rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+        model = fit_rows([r[2] for r in rows], np.array([r[1] for r in rows]), settings)
         packed = io.BytesIO()
         np.savez_compressed(packed, bias=model.bias, weights=model.weights, factors=model.factors)
         yield pa.RecordBatch.from_pydict({"model": pa.array([packed.getvalue()], pa.binary())})
@@ -183,12 +190,7 @@ def score(docs: DataFrame, model: FactorModel, text: str = "text", column: str =
     """``docs`` with the probability of label 1 of each whole text."""
 
     def scorer():
-        def run(texts):
-            parts = [texts[i : i + 512] for i in range(0, len(texts), 512)]
-            scores = [score_rows(model, [term_buckets(t, model.bits, model.stems) for t in part]) for part in parts]
-            return [pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())]
-
-        return run
+        return lambda texts: [pa.array(score_rows(model, [term_buckets(t, model.bits, model.stems) for t in texts]), pa.float64())]
 
     return add_columns(docs, text, scorer, T.StructType([T.StructField(column, T.DoubleType())]), keep)
 
