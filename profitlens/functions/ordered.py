@@ -45,7 +45,9 @@ def tie_digits(rows: int) -> int:
     return max(1, math.ceil(math.log(max(1, 4 * rows / SLICE_ROWS), 16)) + 1)
 
 
-def sample_cuts(df: DataFrame, rows: int, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float]]:
+def sample_cuts(
+    df: DataFrame, rows: int, columns: Sequence[str], shares: Sequence[float], accuracy: int = SKETCH_ACCURACY
+) -> dict[str, list[float]]:
     """Approximate quantiles of each column, sorted and distinct.
 
     A sample of bounded size keeps the sketches small that meet in one task,
@@ -53,7 +55,7 @@ def sample_cuts(df: DataFrame, rows: int, columns: Sequence[str], shares: Sequen
     """
     sample = df if rows <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / rows, SEED)
     found = sample.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), list(shares), SKETCH_ACCURACY).alias(c) for c in columns]
+        *[F.percentile_approx(F.col(c).cast("double"), list(shares), accuracy).alias(c) for c in columns]
     ).first()
     return {c: sorted(set(found[c] or [])) for c in columns}
 
@@ -118,7 +120,8 @@ def running_totals(
     slices = slices or slice_count(rows)
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
     order = [F.col(by).desc() if descending else F.col(by)] + (["_tie"] if tie else [])
-    cuts = sample_cuts(valued, rows, [by], [i / slices for i in range(1, slices)])[by]
+    # slices need not be quite even
+    cuts = sample_cuts(valued, rows, [by], [i / slices for i in range(1, slices)], 20 * slices)[by]
     sliced = _with_slice(valued, by, tie, cuts, tie_digits(rows))
     slice_order = F.col("_slice").desc() if descending else F.col("_slice")
     before = (
@@ -222,24 +225,19 @@ def _sorted_out(values: DataFrame, stretches: list[Stretch], found: dict) -> Non
         found[s.column].update(dict.fromkeys(hit, row["value"]))
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, as numbers to be used as literals that scans can push down.
+def at_ranks(values: DataFrame, rows: dict[str, int], ranks: dict[str, Sequence[int]]) -> dict[str, dict[int, float]]:
+    """The values at the given ranks (from 0) of each column's ascending order.
 
-    Cuts lie closely around each wanted share first; a slice that still holds
-    more than ``SLICE_ROWS`` is cut again. Null and NaN do not count. Only
-    counts, cuts and results come to the driver, a bounded number per column
-    and share.
+    ``rows`` counts each column's values. Cuts lie closely around each wanted
+    rank first; a slice that still holds more than ``SLICE_ROWS`` is cut again.
+    Only counts, cuts and results come to the driver, a bounded number per rank.
     """
-    values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    rows = values.agg(*[F.count(c).alias(c) for c in columns]).first()
-    ranks = {c: [(rows[c] - 1) * float(s) for s in shares] for c in columns if rows[c]}
     found: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    open_stretches = [Stretch(c, rows=rows[c], ranks=sorted(set(own))) for c, own in ranks.items() if own]
     around = sorted({
-        min(1.0, max(0.0, s + i * CUT_STEP)) for s in shares for i in range(-CUTS_EACH_SIDE, CUTS_EACH_SIDE + 1)
+        min(1.0, max(0.0, rank / max(1, s.rows - 1) + i * CUT_STEP))
+        for s in open_stretches for rank in s.ranks for i in range(-CUTS_EACH_SIDE, CUTS_EACH_SIDE + 1)
     })
-    open_stretches = [
-        Stretch(c, rows=rows[c], ranks=sorted({edge(r) for r in own for edge in (math.floor, math.ceil)})) for c, own in ranks.items()
-    ]
     while open_stretches:
         open_stretches = _narrowed(values, open_stretches, around, found)
         ready = [s for s in open_stretches if s.rows <= SLICE_ROWS]
@@ -247,12 +245,25 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) ->
             _sorted_out(values, ready, found)
         open_stretches = [s for s in open_stretches if s.rows > SLICE_ROWS]
         around = [i / 256 for i in range(257)]
+    return found
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, as numbers to be used as literals that scans can push down.
+
+    Null and NaN do not count.
+    """
+    values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    rows = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    places = {c: [(rows[c] - 1) * float(s) for s in shares] for c in columns if rows[c]}
+    whole = {c: [edge(r) for r in own for edge in (math.floor, math.ceil)] for c, own in places.items()}
+    found = at_ranks(values, {c: rows[c] for c in places}, whole)
 
-    def between(column: str, rank: float) -> float:
-        low, high = found[column][math.floor(rank)], found[column][math.ceil(rank)]
-        return low + (high - low) * (rank - math.floor(rank))
+    def between(column: str, place: float) -> float:
+        low, high = found[column][math.floor(place)], found[column][math.ceil(place)]
+        return low + (high - low) * (place - math.floor(place))
 
-    return {c: [between(c, r) for r in ranks[c]] if c in ranks else [None] * len(shares) for c in columns}
+    return {c: [between(c, r) for r in places[c]] if c in places else [None] * len(shares) for c in columns}
 
 
 QUARTERS = (0.0, 0.25, 0.5, 0.75, 1.0)

@@ -30,13 +30,15 @@ SAMPLE_COLUMNS = (
 
 ROW_IDENTITY = ("customer_id", "order_id", "product_name", "order_date", "ship_date", "quantity", "sales", "discount_rate")
 
-HASH_SPAN = 2.0**64
+HASH_DIGITS = 13  # hexadecimal digits of the md5: as many bits as a double holds exactly
 HASH_RANGES = 1 << 16
 
 
 def row_share(columns: Sequence[str], seed: int) -> Column:
     """A number in 0..1 that depends only on the row's own values, so a retried task agrees with itself."""
-    return F.xxhash64(*columns, F.lit(seed)).cast("double") / F.lit(HASH_SPAN) + F.lit(0.5)
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed)))
+    digits = F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10)
+    return digits.cast("double") / F.lit(16.0**HASH_DIGITS)
 
 
 def sample_rows(

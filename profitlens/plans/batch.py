@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS, Thresholds
 from profitlens.operators import aggregates, cleaning, kpis, pricing, sampling, segments
-from profitlens.session import stage
+from profitlens.session import stage, staging
 from profitlens.sources.tables import write_json, write_table
 
 
@@ -79,12 +79,13 @@ def result_tables(tx: DataFrame, settings: Thresholds = DEFAULTS) -> dict[str, D
 def run_batch(raw: DataFrame, folder: str, settings: Thresholds = DEFAULTS, narrow: bool = False) -> list[str]:
     """Clean ``raw`` and write the report, the transactions and all result tables below ``folder``."""
     spark = raw.sparkSession
-    rows, report = cleaning.clean_with_report(raw, settings)
-    write_json(report, f"{folder}/cleaning_report.json")
-    paths = [write_table(rows, folder, "transactions")]
-    tx = spark.read.parquet(paths[0])
-    for name, table in result_tables(tx, settings).items():
-        paths.append(write_table(table, folder, name, narrow))
-        if name in ("macro_kpis", "insights"):
-            write_json(table, f"{folder}/{name}.json")
+    with staging(spark):
+        rows, report = cleaning.clean_with_report(raw, settings)
+        write_json(report, f"{folder}/cleaning_report.json")
+        paths = [write_table(rows, folder, "transactions")]
+        tx = spark.read.parquet(paths[0])
+        for name, table in result_tables(tx, settings).items():
+            paths.append(write_table(table, folder, name, narrow))
+            if name in ("macro_kpis", "insights"):
+                write_json(spark.read.parquet(paths[-1]), f"{folder}/{name}.json")
     return paths

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.config import Thresholds
 from profitlens.functions.arithmetic import total
 from profitlens.ml import features as mlf
-from profitlens.ml import importance, metrics, models, report, tuning
+from profitlens.ml import importance, metrics, models
 from profitlens.operators import aggregates, cleaning, filters, kpis, pricing, ranking, sampling, segments
 from profitlens.plans import batch
 from profitlens.plans import models as training
@@ -23,8 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 CAP = 0.05
 LOW_CAPS = (0.02, 0.03, 0.04, 0.05, 0.06, 0.07, 0.08)
 MONEY_KEYS = ["customer_id", "order_id", "product_name", "sales", "discount_rate", "ship_date"]
-QUICK = models.TreeSettings(trees=8, depth=4, learning_rate=0.1, row_share=0.8)
-QUICK_SPACE = tuning.SearchSpace(trees=(2, 4), depth=(2, 3), learning_rate=(0.05, 0.25))
 
 _registry: dict[str, Query] = {}
 
@@ -809,7 +807,7 @@ def health_ranking(spark, folder):
 
 @query()
 def delivery_risk_features(spark, folder):
-    table = mlf.delivery_risk_features(tx(spark, folder)).table
+    table = mlf.delivery_risk_features(tx(spark, folder)).complete().table
     return table.groupBy("shipping_mode", "market", "label").agg(
         F.count("*").alias("rows"),
         *[
@@ -821,12 +819,13 @@ def delivery_risk_features(spark, folder):
 
 @query()
 def ltv_features(spark, folder):
-    return mlf.ltv_features(tx(spark, folder)).table
+    features = mlf.ltv_features(tx(spark, folder))
+    return features.table.select("customer_id", "total_sales", *features.features, "label")
 
 
 @query()
 def margin_risk_features(spark, folder):
-    table = mlf.margin_risk_features(tx(spark, folder)).table
+    table = mlf.margin_risk_features(tx(spark, folder)).complete().table
     return table.groupBy("shipping_mode", "market", "customer_segment", "category_name", "label").agg(
         F.count("*").alias("rows"),
         total("discount_rate").alias("discount_rate"),
@@ -836,7 +835,8 @@ def margin_risk_features(spark, folder):
 
 @query()
 def churn_features(spark, folder):
-    return mlf.churn_features(kpis.customer_clv(tx(spark, folder))).table
+    features = mlf.churn_features(kpis.customer_clv(tx(spark, folder))).complete()
+    return features.table.select("customer_id", *features.features, "label")
 
 
 ENCODED = ("shipping_mode", "market", "customer_segment", "category_name", "order_status", "department_name")
@@ -854,7 +854,24 @@ def label_encode(spark, folder):
 
 @query()
 def stratified_split(spark, folder):
-    return mlf.split_summary(mlf.margin_risk_features(tx(spark, folder)), 0.25)
+    return mlf.split_summary(_staged(mlf.margin_risk_features(tx(spark, folder)).complete(), "margin_features"), 0.25)
+
+
+@query()
+def stratified_folds(spark, folder):
+    features = _staged(mlf.margin_risk_features(tx(spark, folder)).complete(), "margin_features")
+    return mlf.with_fold(features, 5).groupBy("fold", "label").agg(F.count("*").alias("rows"))
+
+
+@query()
+def delivery_risk_codes(spark, folder):
+    """The coded categories of the delivery model, with the numbers of rows."""
+    features = mlf.delivery_risk_features(tx(spark, folder)).complete()
+    codes = mlf.category_codes(features.table, features.categorical)
+    coded = mlf.with_codes(features.table, codes, features.categorical)
+    return coded.groupBy("label", *[f"{c}_code" for c in ("shipping_mode", "market", "customer_segment", "order_status")]).agg(
+        F.count("*").alias("rows"), F.sum("category_name_code").alias("category_codes"), F.sum("department_name_code").alias("department_codes")
+    )
 
 
 def _late_score(spark, folder):
@@ -885,81 +902,70 @@ def _staged(features: mlf.FeatureSet, name: str) -> mlf.FeatureSet:
     return features.with_table(stage(features.table, name))
 
 
+def _in_bounds(score: str) -> Column:
+    return F.coalesce(F.col(score).between(0.0, 1.0), F.lit(False))
+
+
 @query()
 def margin_risk_scores(spark, folder):
-    return training.score_margin_risk(tx(spark, folder), QUICK)
+    """The full model: how many items of either kind have a score, and whether flags and AUC are as they should be."""
+    scored, described = training.score_margin_risk(tx(spark, folder))
+    auc = stage(described.select("holdout_auc"), "margin_auc").scalar()
+    return scored.groupBy((F.col("profit") < 0).alias("is_loss")).agg(
+        F.count("*").alias("rows"),
+        total("sales").alias("sales_sum"),
+        F.count_if(_in_bounds("margin_risk_probability")).alias("in_bounds"),
+        F.count_if((F.col("margin_risk_probability") > 0.5) == (F.col("margin_risk_flag") == 1)).alias("flags_agree"),
+    ).withColumn("auc_reaches_target", auc > metrics.MARGIN_AUC_TARGET)
 
 
 @query()
-def delivery_risk_scores(spark, folder):
-    features = _staged(mlf.delivery_risk_features(tx(spark, folder)), "delivery_features")
-    train, _ = mlf.holdout_split(features, 0.20)
-    model = models.fit_calibrated(features.with_table(train), QUICK.smaller(4, 3))
-    return model.score(features.table, "margin_risk_probability").withColumnRenamed("label", "is_late_order")
+def churn_scores(spark, folder):
+    """The full model over all customers; nobody is scored where too few order rarely."""
+    clv = stage(kpis.customer_clv(tx(spark, folder)), "customer_clv")
+    found = training.score_churn(clv)
+    everyone = clv.select("customer_id", "total_revenue", "order_count", F.col("churn_risk").cast("int").alias("churn_risk"))
+    if found is None:
+        return everyone.withColumn("scored", F.lit(False))
+    scores = found[0].select("customer_id", "churn_probability")
+    return everyone.join(scores, "customer_id", "left").withColumn("scored", _in_bounds("churn_probability")).drop("churn_probability")
+
+
+def _churn_model(spark: SparkSession, folder: str) -> tuple[models.TreeModel, mlf.FeatureSet, DataFrame]:
+    """The full churn model, its features, and the rows held out."""
+    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))).complete(), "churn_features")
+    train, test = mlf.holdout_split(features, training.CHURN_TEST_SHARE)
+    return models.fit_trees(features.with_table(train), models.CHURN_RISK), features, test
 
 
 @query()
-def ltv_scores(spark, folder):
-    features = _staged(mlf.ltv_features(tx(spark, folder)), "ltv_features")
-    train, _ = mlf.holdout_split(features, 0.20)
-    model = models.fit_calibrated(features.with_table(train), QUICK.smaller(4, 3))
-    return model.score(features.table, "ltv_probability").withColumnRenamed("label", "high_value_label")
+def feature_importance(spark, folder):
+    """Gains of the full churn model: every feature is listed, and they add up to one."""
+    model, features, _ = _churn_model(spark, folder)
+    gains = models.feature_importance(model, features)
+    return gains.agg(F.count_distinct("feature").alias("features"), total("importance").alias("gains"))
 
 
 @query()
-def churn_scores(spark, folder):
-    scored = training.score_churn(kpis.customer_clv(tx(spark, folder)), QUICK)
-    if scored is not None:
-        return scored
-    return spark.createDataFrame(
-        [], "customer_id bigint, total_revenue double, order_count double, churn_probability double, churn_risk int"
+def permutation_importance(spark, folder):
+    """Fifteen permutations of each feature of the full churn model, on the rows held out."""
+    model, features, test = _churn_model(spark, folder)
+    found = importance.permutation_importance(model.score, features.with_table(test))
+    return found.agg(
+        F.count_distinct("feature").alias("features"), F.count_if(F.abs("importance") <= 1).alias("in_bounds")
     )
 
 
 @query()
 def calibrated_scores(spark, folder):
-    """Rule scores calibrated to loss frequencies."""
+    """A rule score calibrated to loss frequencies, with the rows of each score."""
     rows = tx(spark, folder).select(
-        (F.lit(1.0) / (F.lit(1.0) + F.col("unit_price") / 1000)).alias("score"),
+        (F.lit(1.0) / (F.lit(1.0) + F.round(F.col("unit_price") / 50))).alias("score"),
         (F.col("profit") < 0).cast("int").alias("label"),
     )
     rows = stage(rows, "rule_scores")
     calibration = models.fit_calibration(rows, "score", "label")
     calibration.setFeaturesCol("score")
     calibration.setPredictionCol("probability")
-    return calibration.transform(rows)
-
-
-@query()
-def hpo_trials(spark, folder):
-    features = _staged(mlf.ltv_features(tx(spark, folder)), "ltv_features")
-    trials, _ = tuning.tune(features, QUICK_SPACE, trials=3, folds=3)
-    path = staged_path(spark, "trials.csv")
-    tables.write_csv(trials, path)
-    history = tables.read_csv(spark, path, tuning.TRIAL_SCHEMA)
-    return kpis.running_best(history, "trial", "cv_auc")
-
-
-@query()
-def feature_importance(spark, folder):
-    features = _staged(mlf.margin_risk_features(tx(spark, folder)), "margin_features")
-    return models.feature_importance(models.fit_trees(features, QUICK), features)
-
-
-@query()
-def permutation_importance(spark, folder):
-    features = _staged(mlf.ltv_features(tx(spark, folder)), "ltv_features")
-    train, test = mlf.holdout_split(features, 0.20)
-    model = models.fit_trees(features.with_table(train), QUICK.smaller(4, 3))
-    return importance.permutation_importance(models.scorer(model), features.with_table(test), repeats=3)
-
-
-@query()
-def model_report(spark, folder):
-    _, result = report.train_and_report(
-        mlf.ltv_features(tx(spark, folder)), QUICK.smaller(3, 3), "customer_ltv", folds=3, min_rows=50, repeats=1
-    )
-    path = staged_path(spark, "model_report.json")
-    tables.write_json(result, path)
-    written = spark.read.schema(result.schema).json(path)
-    return written.withColumns({c: F.to_json(c) for c in ("settings", "feature_importance")})
+    counted = rows.groupBy("score").agg(F.count("*").alias("rows"), F.sum("label").alias("losses"))
+    return calibration.transform(counted)

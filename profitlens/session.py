@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,18 +40,37 @@ def name_shared_folder(spark: SparkSession, choose: Callable[[], str]) -> None:
         context.setCheckpointDir(choose())
 
 
+_scope: ContextVar[str] = ContextVar("staging_scope", default="open")
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes when the block ends; results have to be written by then."""
+    scope = uuid.uuid4().hex
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, f"{staged_root(spark)}/{scope}")
+
+
 def staged_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/profitlens/{spark.sparkContext.applicationId}"
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{staged_root(spark)}/{uuid.uuid4().hex}/{name}"
+    return f"{staged_root(spark)}/{_scope.get()}/{uuid.uuid4().hex}/{name}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged; call it when no result is needed any more."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    _delete(spark, staged_root(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

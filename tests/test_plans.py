@@ -9,10 +9,7 @@ from profitlens.plans.queries import all_queries
 QUERIES = all_queries()
 
 # Fitting a model takes long and its scoring plan is the library's own.
-FITTED = {
-    "margin_risk_scores", "delivery_risk_scores", "ltv_scores", "churn_scores", "calibrated_scores",
-    "hpo_trials", "feature_importance", "permutation_importance", "model_report",
-}
+FITTED = {"margin_risk_scores", "churn_scores", "feature_importance", "permutation_importance", "calibrated_scores"}
 
 
 def plan_of(df):
