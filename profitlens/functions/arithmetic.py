@@ -76,6 +76,11 @@ def null_if_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def null_if_not_finite(value: Column) -> Column:
+    """NaN and infinite values become null."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def zero_if_not_finite(value: Column) -> Column:
     bad = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
     return F.when(bad, F.lit(0.0)).otherwise(value)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitlens.functions.arithmetic import null_if_nan
+from profitlens.functions.arithmetic import null_if_not_finite
 from profitlens.functions.dates import parsed_moment
 from profitlens.schema import OUR_NAMES, RAW_COLUMNS, TYPES, squash
 
@@ -36,33 +36,33 @@ def cast_tolerant(df: DataFrame) -> DataFrame:
             value = parsed_moment(value.cast("string"), DATE_FORMATS)
         else:
             value = value.try_cast(wanted)
-        casts[name] = null_if_nan(value) if wanted == "double" else value
+        casts[name] = null_if_not_finite(value) if wanted == "double" else value
     return df.withColumns(casts)
 
 
-def pick_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line is valid UTF-8, else Latin-1, which reads any byte.
-
-    The check stays on the executors and stops at the first bad line.
-    """
-    lines = spark.read.text(path)
-    return "ISO-8859-1" if not lines.filter(~F.is_valid_utf8("value")).isEmpty() else "UTF-8"
+def decoded(value: Column) -> Column:
+    """Text that was read byte by byte: UTF-8 where it is valid UTF-8, else Latin-1, which it is already."""
+    utf8 = F.encode(value, "ISO-8859-1").cast("string")
+    return F.when(F.is_valid_utf8(utf8), utf8).otherwise(value)
 
 
 def read_transactions_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """Known columns of a CSV export, with our names and types.
 
     Only the header is looked at when the plan is built; unknown columns are
-    pruned in the CSV scan.
+    pruned in the CSV scan. Without an encoding every value is read as it is
+    and decided on its own, in the same pass: UTF-8, or else Latin-1.
     """
     reader = (
         spark.read.option("header", True)
-        .option("encoding", encoding or pick_encoding(spark, path))
+        .option("encoding", encoding or "ISO-8859-1")
         .option("quote", '"')
         .option("escape", '"')
     )
     raw = reader.csv(path)
-    return cast_tolerant(normalise_columns(raw.select(*[f"`{c}`" for c in known_columns(raw.columns)])))
+    named = normalise_columns(raw.select(*[f"`{c}`" for c in known_columns(raw.columns)]))
+    texts = [c for c in named.columns if TYPES[c] == "string"]
+    return cast_tolerant(named if encoding else named.withColumns({c: decoded(F.col(c)) for c in texts}))
 
 
 def write_transactions_csv(df: DataFrame, path: str) -> None:

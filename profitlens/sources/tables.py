@@ -8,19 +8,27 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
+
+from profitlens.functions.arithmetic import null_if_not_finite
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The parquet table, or an empty one with the same columns if there is none."""
+    """The parquet table, or an empty one with the same columns if there is none; numbers that are not finite are null."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return finite_doubles(spark.read.schema(schema).parquet(path))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def finite_doubles(df: DataFrame) -> DataFrame:
+    """NaN and infinite values as null, so that no comparison takes NaN for a large number."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
+    return df.withColumns({c: null_if_not_finite(F.col(c)) for c in numbers}) if numbers else df
+
+
 def write_table(df: DataFrame, folder: str, name: str, narrow: bool = False) -> str:
     """One parquet table (Snappy) under ``folder``; returns its path."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
@@ -58,7 +66,7 @@ def register_views(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     names = []
     for path in paths:
         name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".parquet")
-        spark.read.parquet(path).createOrReplaceTempView(name)
+        finite_doubles(spark.read.parquet(path)).createOrReplaceTempView(name)
         names.append(name)
     return names
 
