@@ -96,10 +96,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def telling_terms(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSettings) -> np.ndarray:
     """Which buckets depend on the label, by the chi-squared statistic of their two-by-two table."""
-    terms, of = _flat(rows)
     size, n, positive = 1 << settings.bits, len(rows), labels.sum()
-    held = np.bincount(terms, minlength=size).astype(float)
-    both = np.bincount(terms, labels[of], size) if len(terms) else np.zeros(size)
+    held, both = np.zeros(size), np.zeros(size)
+    for start in range(0, n, 1_000):
+        terms, of = _flat(rows[start : start + 1_000])
+        held += np.bincount(terms, minlength=size)
+        both += np.bincount(terms, labels[start + of], size)
     spread = held * (n - held) * positive * (n - positive)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = np.where(spread > 0, n * (n * both - held * positive) ** 2 / spread, 0.0)
@@ -128,7 +130,7 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSetting
             grad_w = np.bincount(back, error[of], len(used)) + settings.penalty * len(chosen) * weights[used]
             pull = error[of][:, None] * (sums[of] - taken)
             grad_v = np.stack([np.bincount(back, pull[:, f], len(used)) for f in range(settings.factors)], axis=1)
-            grad_v += settings.penalty * len(chosen) * factors[used]
+            grad_v = grad_v + settings.penalty * len(chosen) * factors[used]
             seen_w[used] += grad_w * grad_w
             seen_v[used] += grad_v * grad_v
             weights[used] -= settings.rate * grad_w / np.sqrt(seen_w[used])

@@ -59,6 +59,13 @@ def test_odd_rows(spark):
     assert kept.schema == docs.schema
 
 
+def test_no_telling_term_leaves_the_share_of_labels():
+    rows = [toxicity.term_buckets(f"word{i}".encode(), 18, ()) for i in range(40)]
+    model = toxicity.fit_rows(rows, np.array([1.0] * 10 + [0.0] * 30), toxicity.FactorSettings())
+    assert not model.weights.any()
+    assert toxicity.score_rows(model, rows) == pytest.approx([0.25] * 40, abs=0.06)
+
+
 def test_empty_tables(spark):
     model = toxicity.fit(nothing(spark).withColumn("toxic", F.lit(1)), "doc_id", "text", "toxic", SETTINGS)
     assert toxicity.score(nothing(spark), model).count() == 0
