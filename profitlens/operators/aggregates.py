@@ -55,9 +55,8 @@ def customer_modes(
 
 
 def customer_with_segment(tx: DataFrame) -> DataFrame:
-    """Customer totals joined to their usual segment, which is staged to be computed on its own."""
-    usual = stage(customer_modes(tx, ("customer_segment",)), "customer_segments")
-    return customer_agg(tx, usual=()).join(usual, "customer_id", "left")
+    """Customer totals with their usual segment, from one pass instead of a join of two."""
+    return customer_agg(tx, usual=("customer_segment",))
 
 
 def category_agg(tx: DataFrame) -> DataFrame:

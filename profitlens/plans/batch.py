@@ -66,9 +66,12 @@ def result_tables(tx: DataFrame, settings: Thresholds = DEFAULTS) -> dict[str, D
         tables["category_health"] = kpis.category_health(tx)
     if "customer_segment" in tx.columns:
         tables["segment_elasticity"] = kpis.segment_elasticity(tx)
-    for name, key in (("market_agg", "market"), ("region_agg", "order_region")):
-        if key in tx.columns:
-            tables[name] = aggregates.place_agg(tx, key)
+    keys = {"market_agg": "market", "region_agg": "order_region"}
+    keys = {name: key for name, key in keys.items() if key in tx.columns}
+    if keys:
+        places = stage(aggregates.places_agg(tx, tuple(keys.values())), "places")
+        for name, key in keys.items():
+            tables[name] = places.filter(F.col("dimension") == key).withColumnRenamed("value", key).drop("dimension")
     if "shipping_mode" in tx.columns:
         tables["shipping_agg"] = aggregates.shipping_agg(rows)
     if {"latitude", "longitude"} <= set(tx.columns):

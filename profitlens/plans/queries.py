@@ -49,7 +49,8 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(aggregates.product_agg(tx(spark, folder)), "products")
+    items = tx(spark, folder, "product_name", "sales", "profit", "quantity", "discount_rate")
+    return stage(aggregates.product_agg(items), "products")
 
 
 def efficient_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,7 +257,7 @@ def financial_filter(spark, folder):
 
 def measures(spark: SparkSession, folder: str) -> DataFrame:
     """What the outlier rules look at, joined once: they read it several times."""
-    return stage(tx(spark, folder).select("order_id", "sales", "profit", "discount_amount"), "measures")
+    return stage(tx(spark, folder, "order_id", "sales", "profit", "discount_amount"), "measures")
 
 
 @query()
@@ -394,12 +395,12 @@ def customer_clv(spark, folder):
 
 @query()
 def category_health(spark, folder):
-    return kpis.category_health(tx(spark, folder))
+    return kpis.category_health(tx(spark, folder, "category_name", "sales", "profit", "profit_ratio"))
 
 
 @query()
 def segment_elasticity(spark, folder):
-    return kpis.segment_elasticity(tx(spark, folder))
+    return kpis.segment_elasticity(tx(spark, folder, "customer_segment", "discount_rate", "profit"))
 
 
 @query()
@@ -414,12 +415,12 @@ def customer_modes(spark, folder):
 
 @query()
 def category_agg(spark, folder):
-    return aggregates.category_agg(tx(spark, folder))
+    return aggregates.category_agg(tx(spark, folder, "category_name", "sales", "profit", "profit_ratio", "quantity"))
 
 
 @query()
 def product_agg(spark, folder):
-    return aggregates.product_agg(tx(spark, folder))
+    return aggregates.product_agg(tx(spark, folder, "product_name", "sales", "profit", "quantity", "discount_rate"))
 
 
 @query()
@@ -464,27 +465,27 @@ def geo_markers(spark, folder):
 
 @query()
 def correlation_matrix(spark, folder):
-    return kpis.correlation_matrix(tx(spark, folder))
+    return kpis.correlation_matrix(tx(spark, folder, "discount_rate", "profit", "sales", "quantity", "profit_ratio"))
 
 
 @query()
 def discount_profit_correlation(spark, folder):
-    return kpis.discount_profit_correlation(tx(spark, folder))
+    return kpis.discount_profit_correlation(tx(spark, folder, "discount_rate", "profit"))
 
 
 @query()
 def profit_histogram(spark, folder):
-    return pricing.histogram(stage(tx(spark, folder).select("profit"), "profit"), "profit", 60)
+    return pricing.histogram(stage(tx(spark, folder, "profit").select("profit"), "profit"), "profit", 60)
 
 
 @query()
 def loss_histogram(spark, folder):
-    return pricing.histogram(stage(tx(spark, folder).select("profit").filter(F.col("profit") < 0), "losses"), "profit", 30)
+    return pricing.histogram(stage(tx(spark, folder, "profit").select("profit").filter(F.col("profit") < 0), "losses"), "profit", 30)
 
 
 @query()
 def loss_order_share(spark, folder):
-    return kpis.loss_order_share(tx(spark, folder))
+    return kpis.loss_order_share(tx(spark, folder, "profit"))
 
 
 @query()
@@ -533,42 +534,42 @@ def running_best(spark, folder):
 
 @query()
 def discount_curve(spark, folder):
-    return pricing.discount_curve(tx(spark, folder))
+    return pricing.discount_curve(tx(spark, folder, "discount_rate", "profit", "sales"))
 
 
 @query()
 def discount_sensitivity(spark, folder):
-    return pricing.discount_sensitivity(tx(spark, folder))
+    return pricing.discount_sensitivity(tx(spark, folder, "discount_rate", "profit_ratio", "sales"))
 
 
 @query()
 def discount_buckets(spark, folder):
-    return pricing.discount_buckets(tx(spark, folder))
+    return pricing.discount_buckets(tx(spark, folder, "discount_rate", "profit"))
 
 
 @query()
 def revenue_at_risk(spark, folder):
-    return pricing.revenue_at_risk(tx(spark, folder), CAP)
+    return pricing.revenue_at_risk(tx(spark, folder, "discount_rate", "profit", "sales"), CAP)
 
 
 @query()
 def revenue_at_risk_default_cap(spark, folder):
-    return pricing.revenue_at_risk(tx(spark, folder))
+    return pricing.revenue_at_risk(tx(spark, folder, "discount_rate", "profit", "sales"))
 
 
 @query()
 def discount_whatif(spark, folder):
-    return pricing.discount_whatif(tx(spark, folder), CAP)
+    return pricing.discount_whatif(tx(spark, folder, "discount_rate", "profit", "sales"), CAP)
 
 
 @query()
 def cap_sensitivity(spark, folder):
-    return pricing.cap_sensitivity(tx(spark, folder), LOW_CAPS, CAP)
+    return pricing.cap_sensitivity(tx(spark, folder, "discount_rate", "profit", "sales"), LOW_CAPS, CAP)
 
 
 @query()
 def cap_sensitivity_default_caps(spark, folder):
-    return pricing.cap_sensitivity(tx(spark, folder))
+    return pricing.cap_sensitivity(tx(spark, folder, "discount_rate", "profit", "sales"))
 
 
 # --- segments ----------------------------------------------------------------------------
@@ -632,7 +633,7 @@ def customer_tier(spark, folder):
 
 @query()
 def product_margin(spark, folder):
-    return segments.product_margin(aggregates.product_agg(tx(spark, folder))).select(
+    return segments.product_margin(aggregates.product_agg(tx(spark, folder, "product_name", "sales", "profit", "quantity", "discount_rate"))).select(
         "product_name", "total_sales", "total_profit", "margin"
     )
 
@@ -700,14 +701,14 @@ def region_margin_band(spark, folder):
 
 @query()
 def health_band(spark, folder):
-    return segments.health_band(kpis.category_health(tx(spark, folder))).select(
+    return segments.health_band(kpis.category_health(tx(spark, folder, "category_name", "sales", "profit", "profit_ratio"))).select(
         "category_name", "health_score", "band"
     )
 
 
 @query()
 def elasticity_band(spark, folder):
-    return segments.elasticity_band(kpis.segment_elasticity(tx(spark, folder)))
+    return segments.elasticity_band(kpis.segment_elasticity(tx(spark, folder, "customer_segment", "discount_rate", "profit")))
 
 
 # --- top lists ------------------------------------------------------------------------------
@@ -741,17 +742,17 @@ def top_products_pei(spark, folder):
 
 @query()
 def top_categories(spark, folder):
-    return ranking.top(aggregates.category_agg(tx(spark, folder)), "total_profit", "category_name", 15)
+    return ranking.top(aggregates.category_agg(tx(spark, folder, "category_name", "sales", "profit", "profit_ratio", "quantity")), "total_profit", "category_name", 15)
 
 
 @query()
 def loss_products(spark, folder):
-    return ranking.loss_products(aggregates.product_agg(tx(spark, folder))).select("product_name", "total_profit")
+    return ranking.loss_products(aggregates.product_agg(tx(spark, folder, "product_name", "sales", "profit", "quantity", "discount_rate"))).select("product_name", "total_profit")
 
 
 @query()
 def loss_products_total(spark, folder):
-    return ranking.loss_products_total(aggregates.product_agg(tx(spark, folder)))
+    return ranking.loss_products_total(aggregates.product_agg(tx(spark, folder, "product_name", "sales", "profit", "quantity", "discount_rate")))
 
 
 @query()
@@ -799,7 +800,7 @@ def region_ranking(spark, folder):
 
 @query()
 def health_ranking(spark, folder):
-    return ranking.ranked(kpis.category_health(tx(spark, folder)), "health_score", "category_name")
+    return ranking.ranked(kpis.category_health(tx(spark, folder, "category_name", "sales", "profit", "profit_ratio")), "health_score", "category_name")
 
 
 # --- features, metrics and models --------------------------------------------------------------

@@ -27,65 +27,77 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order item, with customer, product and place.
+# Columns that come from each lookup; all others are in the item table.
+ORDER_COLUMNS = {
+    "customer_id", "order_date", "shipping_mode", "order_status", "scheduled_days", "late_delivery_risk",
+}
+CUSTOMER_COLUMNS = {"customer_segment"}
+PLACE_COLUMNS = {"market", "order_region", "order_country", "latitude", "longitude"}
+PART_COLUMNS = {"product_name", "category_name", "department_name", "profit", "profit_ratio", "benefit_per_order"}
+
+
+def _orders(spark: SparkSession, folder: str, needed: set[str]) -> DataFrame:
+    """Orders, with the customers and places that are needed."""
+    orders = table(spark, folder, "orders")
+    if not needed & (CUSTOMER_COLUMNS | PLACE_COLUMNS):
+        return orders
+    customers = table(spark, folder, "customer")
+    if needed & PLACE_COLUMNS:
+        nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+        places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+        customers = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def transactions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """One row per order item, with customer, product and place, or only the given columns.
 
     Customers are joined to orders, and products to items, before items meet
     orders: the large item table is shuffled once per join key and the place
     columns travel on the smaller order side. Which sides are broadcast is left
     to the size statistics; skewed keys are split by adaptive execution.
+
+    Every key of this schema is found in its lookup table, so a lookup none of
+    whose columns is asked for is left out.
     """
-    nation = table(spark, folder, "nation")
-    region = table(spark, folder, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "n_name", "r_name"
-    )
-    customers = table(spark, folder, "customer").join(
-        places, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    orders = table(spark, folder, "orders").join(
-        customers, F.col("o_custkey") == F.col("c_custkey")
-    )
-    items = table(spark, folder, "lineitem").join(
-        table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
+    items = table(spark, folder, "lineitem")
     paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cost = F.lit(UNIT_COST_FACTOR) * F.col("l_quantity") * F.col("p_retailprice")
     priority = F.col("o_orderpriority")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string")).alias("product_name"),
-        F.col("p_type").alias("category_name"),
-        F.col("p_brand").alias("department_name"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        F.col("r_name").alias("market"),
-        F.col("n_name").alias("order_region"),
-        F.col("n_name").alias("order_country"),
-        priority.alias("shipping_mode"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("l_linestatus").alias("delivery_status"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("l_shipdate").alias("ship_date"),
-        F.col("l_quantity").alias("quantity"),
-        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount"),
-        F.col("l_discount").alias("discount_rate"),
-        F.col("l_extendedprice").alias("sales"),
-        paid.alias("order_item_total"),
-        (paid - cost).alias("profit"),
-        F.try_divide(paid - cost, paid).alias("profit_ratio"),
-        (paid - cost).alias("benefit_per_order"),
-        (F.col("n_nationkey") * 5 - 60).cast("double").alias("latitude"),
-        (F.col("n_nationkey") * 14 - 170).cast("double").alias("longitude"),
-        F.when(priority == "1-URGENT", 1)
-        .when(priority == "2-HIGH", 2)
-        .when(priority == "3-MEDIUM", 4)
-        .otherwise(7)
-        .alias("scheduled_days"),
-        F.when(
+    made = {
+        "customer_id": F.col("o_custkey"),
+        "order_id": F.col("l_orderkey"),
+        "product_name": F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string")),
+        "category_name": F.col("p_type"),
+        "department_name": F.col("p_brand"),
+        "customer_segment": F.col("c_mktsegment"),
+        "market": F.col("r_name"),
+        "order_region": F.col("n_name"),
+        "order_country": F.col("n_name"),
+        "shipping_mode": priority,
+        "order_status": F.col("o_orderstatus"),
+        "delivery_status": F.col("l_linestatus"),
+        "order_date": F.col("o_orderdate"),
+        "ship_date": F.col("l_shipdate"),
+        "quantity": F.col("l_quantity"),
+        "unit_price": F.try_divide("l_extendedprice", "l_quantity"),
+        "discount_amount": F.col("l_extendedprice") * F.col("l_discount"),
+        "discount_rate": F.col("l_discount"),
+        "sales": F.col("l_extendedprice"),
+        "order_item_total": paid,
+        "profit": paid - cost,
+        "profit_ratio": F.try_divide(paid - cost, paid),
+        "benefit_per_order": paid - cost,
+        "latitude": (F.col("n_nationkey") * 5 - 60).cast("double"),
+        "longitude": (F.col("n_nationkey") * 14 - 170).cast("double"),
+        "scheduled_days": F.when(priority == "1-URGENT", 1).when(priority == "2-HIGH", 2).when(priority == "3-MEDIUM", 4).otherwise(7),
+        "late_delivery_risk": F.when(
             F.col("l_shipdate") > F.col("o_orderdate") + F.make_dt_interval(F.lit(LATE_AFTER_DAYS)), 1
-        )
-        .otherwise(0)
-        .alias("late_delivery_risk"),
-    )
+        ).otherwise(0),
+    }
+    needed = set(columns or made)
+    if needed & PART_COLUMNS:
+        items = items.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if needed & (ORDER_COLUMNS | CUSTOMER_COLUMNS | PLACE_COLUMNS):
+        items = items.join(_orders(spark, folder, needed), F.col("l_orderkey") == F.col("o_orderkey"))
+    return items.select(*[column.alias(name) for name, column in made.items() if name in needed])
