@@ -6,6 +6,8 @@ than one hash, splits on its next bit, and only that bucket does. A shard is
 thus the shallowest prefix that fits. Depths are settled some bits at a time:
 sizes of all prefixes of those depths come from one aggregation over the cells
 of the deepest, and only rows of buckets that still do not fit see more bits.
+The first round has a few thousand cells whatever the table's size, and no later
+one meets a prefix that many rows share.
 
 The hash covers key and text, so a repeated key does not fill a bucket. Rows
 equal in both share a hash that no bit divides; if together they exceed the
@@ -19,14 +21,13 @@ extra columns play no part.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.session import stage
 
 HASH_BITS = 60
+FIRST_BITS = 12
 STEP = 8
 BLOCK = 10_000
 
@@ -64,10 +65,7 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text")
     own = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     sized = own.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), row_hash("key", "text").alias("hash"))
     rows = stage(sized.groupBy("key", "n_bytes", "hash").agg(F.count("*").alias("copies")), "row_hashes")
-    total = rows.agg(F.sum(F.col("n_bytes") * F.col("copies"))).first()[0] or 0
-
-    last = min(HASH_BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + STEP)
-    first, open_rows, done = 0, rows, []
+    first, last, open_rows, done = 0, FIRST_BITS, rows, []
     while True:
         cells = stage(_settled(open_rows, limit, first, last), "bucket_depths")
         placed = open_rows.join(cells.withColumnRenamed("cell", "own_cell"), _cell(last) == F.col("own_cell")).drop("own_cell")

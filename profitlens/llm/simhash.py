@@ -210,7 +210,7 @@ def _deal(prints: DataFrame, trees: list[Node], settings: SimHashSettings, block
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
-            found = []
+            found = [(0, 0, 0)]  # so that no batch is without a row
             for part, tree in enumerate(trees):
                 own = stretch(values, part, settings.parts)
                 found += [(part, leaf, len(rows)) for leaf, rows in route(tree, own, np.arange(len(own)), near)]

@@ -46,7 +46,7 @@ class SearchSettings:
 
     k: int = 5
     scale: int = 256
-    query_block: int = 4_096
+    query_block: int = 16_384
     head: int = 4_096
     sample: int = 4_096
     batch: int = 2_048

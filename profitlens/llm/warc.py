@@ -48,12 +48,17 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 @dataclass(frozen=True)
 class ArchiveSettings:
-    """``least_bytes`` of payload make a revisit worthwhile; the other values bound files, runs and ranges."""
+    """``least_bytes`` of payload make a revisit worthwhile; the other values bound files, runs and ranges.
+
+    Cut keys go to all tasks, so there are at most ``most_ranges``: beyond their
+    product with ``range_rows``, ranges grow.
+    """
 
     least_bytes: int = 1_000
     archive_bytes: int = 32 << 20
     run_rows: int = 20_000
     range_rows: int = 20_000
+    most_ranges: int = 10_000
 
 
 # --- writing ------------------------------------------------------------------
@@ -229,8 +234,8 @@ def order_key(row: tuple) -> tuple:
 def merge_index(lines: DataFrame, settings: ArchiveSettings = ArchiveSettings()) -> DataFrame:
     """``lines`` in global order: index_range, then index_position within the range."""
     rows = lines.count()
-    ranges = max(1, math.ceil(rows / settings.range_rows))
-    share = min(1 << 30, int((1 << 30) * 50 * ranges / max(1, rows)))
+    ranges = min(settings.most_ranges, max(1, math.ceil(rows / settings.range_rows)))
+    share = min(1 << 30, int((1 << 30) * 20 * ranges / max(1, rows)))
     picked = lines.filter(F.pmod(F.xxhash64("archive", "offset"), F.lit(1 << 30)) < share)
     keys = sorted(order_key(tuple(r)) for r in picked.select("url_key", "captured", "archive", "offset").collect()) if ranges > 1 else []
     cuts = [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
