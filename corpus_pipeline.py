@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from profitlens.llm import decontamination, packing, queries, secrets, simhash, toxicity
-from profitlens.session import stage
+from profitlens.session import name_shared_folder, stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -13,13 +15,20 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     return toxicity.reject_toxic(docs, queries.toxicity_model(spark, folder))
 
 
+def _prepared(spark: SparkSession) -> None:
+    """A session on one machine that names no checkpoint folder gets one; a cluster names its own."""
+    name_shared_folder(spark, lambda: tempfile.mkdtemp(prefix="corpus-"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each SimHash component."""
+    _prepared(spark)
     return simhash.keep_one_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """No document that repeats the benchmark, and no benchmark passage in the others."""
+    _prepared(spark)
     return decontamination.decontaminate(docs, queries.table(spark, folder, "benchmark"))
 
 
@@ -46,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepared(spark)
     docs = queries.table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
