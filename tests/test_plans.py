@@ -9,7 +9,10 @@ from profitlens.plans.queries import all_queries
 QUERIES = all_queries()
 
 # Fitting a model takes long and its scoring plan is the library's own.
-FITTED = {"margin_risk_scores", "churn_scores", "feature_importance", "permutation_importance", "calibrated_scores"}
+FITTED = {
+    "margin_risk_scores", "churn_scores", "feature_importance", "permutation_importance", "calibrated_scores",
+    "model_report", "cross_validated_auc", "calibrated_model_scores",
+}
 
 
 def plan_of(df):
