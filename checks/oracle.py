@@ -409,6 +409,7 @@ BODIES: dict[str, str] = {
     "score_lookup_join": """SELECT customer_id, total_sales, order_count, ltv_score FROM ltv WHERE ltv_score >= 0.4""",
     # aggregates
     "macro_kpis": "SELECT * FROM kpis",
+    "kpi_document": "SELECT n_orders, elasticity.* FROM kpis, elasticity",
     "monthly_trend": """SELECT *,
         (monthly_revenue / nullif(lag(monthly_revenue) OVER (ORDER BY month), 0) - 1) * 100 AS mom_revenue_growth_pct,
         (monthly_profit / nullif(lag(monthly_profit) OVER (ORDER BY month), 0) - 1) * 100 AS mom_profit_growth_pct

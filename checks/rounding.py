@@ -29,6 +29,7 @@ DOUBLES = {
     "ui_sample": "discount_rate profit sales profit_ratio quantity",
     "sample_scaled_kpis": "estimated_revenue estimated_profit margin_pct",
     "stratified_split": "positive_share",
+    "kpi_document": "discount_profit_correlation",
     "margin_risk_scores": "sales_sum",
     "churn_scores": "total_revenue",
     "feature_importance": "gains",

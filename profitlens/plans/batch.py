@@ -11,18 +11,25 @@ from profitlens.session import stage, staging
 from profitlens.sources.tables import write_json, write_table
 
 
+def as_map(df: DataFrame, key: str, value: str) -> DataFrame:
+    """One row with one map, sorted by key; for tables with a row per label."""
+    entries = F.array_sort(F.collect_list(F.struct(key, value)))
+    return df.filter(F.col(value).isNotNull()).agg(F.map_from_entries(entries).alias("entries"))
+
+
+def kpi_document(kpis_row: DataFrame, elasticity: DataFrame) -> DataFrame:
+    """The KPI row with the discount elasticity of each segment nested in it."""
+    nested = as_map(elasticity, "customer_segment", "discount_profit_correlation")
+    return kpis_row.withColumn("segment_discount_elasticity", nested.scalar())
+
+
 def insights(customers: DataFrame, rfm: DataFrame, tx: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:
     """The headline findings in one row, each a scalar of its own staged table."""
     segmented = stage(
         segments.customer_segmentation(customers, settings.bleeder_quantile).select("segment_class"), "segment_classes"
     )
     pareto = stage(segments.pareto_pct(customers, settings.pareto_target), "pareto")
-    # One entry per segment label.
-    distribution = (
-        segments.value_counts(rfm, "rfm_segment")
-        .agg(F.array_sort(F.collect_list(F.concat_ws("=", "rfm_segment", "customers"))).alias("d"))
-        .select(F.array_join("d", "; "))
-    )
+    distribution = as_map(segments.value_counts(rfm, "rfm_segment"), "rfm_segment", "customers")
     return (
         tx.agg(
             F.round(pricing.beyond_cap(settings.discount_cap), 2).alias("revenue_at_risk"),
@@ -87,8 +94,13 @@ def run_batch(raw: DataFrame, folder: str, settings: Thresholds = DEFAULTS, narr
         write_json(report, f"{folder}/cleaning_report.json")
         paths = [write_table(rows, folder, "transactions")]
         tx = spark.read.parquet(paths[0])
-        for name, table in result_tables(tx, settings).items():
+        tables = result_tables(tx, settings)
+        for name, table in tables.items():
             paths.append(write_table(table, folder, name, narrow))
-            if name in ("macro_kpis", "insights"):
-                write_json(spark.read.parquet(paths[-1]), f"{folder}/{name}.json")
+        written = {name: spark.read.parquet(path) for name, path in zip(["transactions", *tables], paths, strict=True)}
+        document = written["macro_kpis"]
+        if "segment_elasticity" in written:
+            document = kpi_document(document, written["segment_elasticity"])
+        write_json(document, f"{folder}/macro_kpis.json")
+        write_json(written["insights"], f"{folder}/insights.json")
     return paths

@@ -689,7 +689,17 @@ def abc_top20(spark, folder):
 def insights(spark, folder):
     items = tx(spark, folder)
     settings = Thresholds(discount_cap=CAP)
-    return batch.insights(customers(spark, folder), stage(rfm(spark, folder), "rfm"), items, settings)
+    found = batch.insights(customers(spark, folder), stage(rfm(spark, folder), "rfm"), items, settings)
+    # as text, which both engines compare
+    text = F.transform(F.map_entries("rfm_distribution"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return found.withColumn("rfm_distribution", F.array_join(text, "; "))
+
+
+@query()
+def kpi_document(spark, folder):
+    items = tx(spark, folder)
+    row = batch.kpi_document(kpis.macro_kpis(items), stage(kpis.segment_elasticity(items), "segment_elasticity"))
+    return row.select("n_orders", F.explode("segment_discount_elasticity").alias("customer_segment", "discount_profit_correlation"))
 
 
 @query()

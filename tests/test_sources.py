@@ -137,6 +137,11 @@ def test_batch_writes_every_table(spark, data, tmp_path):
     clean = spark.read.parquet(str(tmp_path / "transactions.parquet"))
     assert report["final_rows"] == clean.count()
     assert spark.read.parquet(str(tmp_path / "ui_sample.parquet")).count() == 200
+    document = json.loads(next((tmp_path / "macro_kpis.json").glob("part-*")).read_text())
+    assert len(document["segment_discount_elasticity"]) == 5 and document["n_orders"] > 0
+    found = json.loads(next((tmp_path / "insights.json").glob("part-*")).read_text())
+    customers = spark.read.parquet(str(tmp_path / "customer_agg.parquet")).count()
+    assert sum(found["rfm_distribution"].values()) == customers
 
 
 def test_batch_without_dates_places_and_order_ids(spark, data, tmp_path):
