@@ -1,13 +1,13 @@
 """License scans with a positional index of rare words.
 
 Templates (license texts, and the base phrases) are indexed by word and
-position. Document frequencies of all template words come from the whole corpus;
-the words of a template with the highest inverse document frequency are its
-anchors. A text looks up its anchor words only: every place of an anchor gives,
-for every posting of that word, the place where the template would begin.
-Begins on which enough anchors agree are candidates, and a candidate counts if
+position. Document frequencies of all template words come from the whole corpus.
+A text looks up, for each template whose key words it holds, the words of
+highest inverse document frequency that are in both: every place of such a word
+gives, for every posting of it, the place where the template would begin.
+Begins on which enough of them agree are candidates, and a candidate counts if
 the template's mandatory key phrases stand there. Base phrases are templates of
-a few words whose key phrase is the whole phrase, so that one anchor finds
+a few words whose key phrase is the whole phrase, so that one rare word finds
 every place.
 
 Edge cases: null is an empty text; both have no word, no place, empty labels
@@ -113,30 +113,36 @@ def document_frequencies(docs: DataFrame, text: str = "text", templates: tuple[T
 
 
 class PositionalIndex:
-    """Postings of the anchor words: word -> (template, position in the template)."""
+    """Words of the templates with their positions and rarity."""
 
     def __init__(self, templates: tuple[Template, ...], documents: int, frequencies: dict[bytes, int], anchors: int):
-        self.templates = templates
+        self.templates, self.anchors = templates, anchors
         self.words = [words(t.text.encode()) for t in templates]
         self.keys = [[words(k.encode()) for k in t.keys] for t in templates]
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        self.needed: list[int] = []
-        for number, own in enumerate(self.words):
-            rarity = {w: math.log((documents + 1) / (frequencies.get(w, 0) + 1)) for w in own}
-            chosen = sorted(rarity, key=lambda w: (-rarity[w], w))[: 1 if templates[number].base else anchors]
-            self.needed.append(max(1, len(chosen) // 2))
-            for position, word in enumerate(own):
-                if word in chosen:
-                    self.postings.setdefault(word, []).append((number, position))
-
-    def candidates(self, text: list[bytes]) -> dict[tuple[int, int], int]:
-        """(template, begin) -> how many anchors stand at their relative position."""
-        postings = self.postings
+        self.key_words = [frozenset(w for key in keys for w in key) for keys in self.keys]
+        self.vocabulary = frozenset(w for own in self.words for w in own)
+        self.rarity = {w: math.log((documents + 1) / (frequencies.get(w, 0) + 1)) for w in self.vocabulary}
+
+    def candidates(self, text: list[bytes]) -> list[tuple[int, int]]:
+        """(template, begin) where enough of the text's rarest words of the template stand at their relative position."""
+        present = self.vocabulary.intersection(text)
+        postings: dict[bytes, list[tuple[int, int]]] = {}
+        needed: dict[int, int] = {}
+        for number, keys in enumerate(self.key_words):
+            if keys <= present:
+                shared = sorted(present.intersection(self.words[number]), key=lambda w: (-self.rarity[w], w))
+                chosen = shared[: 1 if self.templates[number].base else self.anchors]
+                needed[number] = max(1, len(chosen) // 2)
+                for position, word in enumerate(self.words[number]):
+                    if word in chosen:
+                        postings.setdefault(word, []).append((number, position))
+        if not postings:
+            return []
         votes: Counter[tuple[int, int]] = Counter()
         for at, word in enumerate(text):
             if word in postings:
                 votes.update((number, at - position) for number, position in postings[word])
-        return {place: n for place, n in votes.items() if n >= self.needed[place[0]]}
+        return [place for place, n in votes.items() if n >= needed[place[0]]]
 
     def has_keys(self, text: list[bytes], number: int, begin: int) -> bool:
         """Whether every key phrase stands where the template lies, give or take inserted words."""
