@@ -270,6 +270,10 @@ QUARTILES = """(SELECT quantile_cont(sales, [.25, .75]) AS qs, quantile_cont(pro
   quantile_cont(discount_amount, [.25, .75]) AS qd FROM tx)"""
 
 
+TAILED = """(SELECT * REPLACE ((sales / 10000) * (sales / 10000) * (sales / 10000) * (sales / 10000) * (sales / 10000)
+  * (sales / 10000) AS sales) FROM tx)"""
+
+
 def _iqr(factor: float) -> str:
     return " AND ".join(
         f"{c} BETWEEN {q}[1] - ({q}[2] - {q}[1]) * {factor} AND {q}[2] + ({q}[2] - {q}[1]) * {factor}"
@@ -362,6 +366,7 @@ BODIES: dict[str, str] = {
     "financial_filter": _kept("fitting", "ok"),
     "outliers_zscore": _kept(f"tx, {STATS}", _zscore(3)),
     "outliers_iqr": _kept(f"tx, {QUARTILES}", _iqr(1.5)),
+    "outliers_iqr_default": _kept(f"{TAILED}, {QUARTILES.replace('FROM tx', f'FROM {TAILED}')}", _iqr(3)),
     "outliers_adaptive": _kept(
         f"tx, {STATS}, {QUARTILES}, (SELECT 1 - avg(CASE WHEN {_zscore(3)} THEN 1 ELSE 0 END) AS removed FROM tx, {STATS})",
         f"CASE WHEN removed > 0.05 THEN {_iqr(3)} ELSE {_zscore(3)} END",

@@ -46,6 +46,7 @@ DOUBLES = {
     "drop_missing": "sales_sum profit_sum discount_sum",
     "financial_filter": "sales_sum profit_sum discount_sum",
     "outliers_zscore": "sales_sum profit_sum discount_sum",
+    "outliers_iqr_default": "sales_sum profit_sum discount_sum",
     "outliers_iqr": "sales_sum profit_sum discount_sum",
     "outliers_adaptive": "sales_sum profit_sum discount_sum",
     "outliers_adaptive_iqr": "sales_sum profit_sum discount_sum",
