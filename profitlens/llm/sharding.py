@@ -43,18 +43,20 @@ def _cell(depth: int) -> Column:
 
 
 def _settled(rows: DataFrame, limit: int, first: int, last: int) -> DataFrame:
-    """(cell, depth, alone): the bucket depth of each cell of ``last`` bits; depth is null if none fits."""
+    """(cell, depth): the bucket depth of each cell of ``last`` bits; depth is null if none fits."""
     cells = rows.groupBy(_cell(last).alias("cell")).agg(
         F.sum(F.col("n_bytes") * F.col("copies")).alias("size"), F.min("hash").alias("low"), F.max("hash").alias("high")
     )
     levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(last))))
     levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {last} - depth)"))
     sizes = levels.groupBy("depth", "bucket").agg(F.sum("size").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"))
-    fit = sizes.filter((F.col("size") <= limit) | (F.col("low") == F.col("high")))
-    # of nested prefixes that fit, the shallowest is the bucket
-    found = levels.select("cell", "depth", "bucket").join(fit.select("depth", "bucket"), ["depth", "bucket"])
-    depths = found.groupBy("cell").agg(F.min("depth").alias("depth"))
-    return cells.select("cell").join(depths, "cell", "left")
+    fit = sizes.filter((F.col("size") <= limit) | (F.col("low") == F.col("high"))).select("depth", "bucket")
+    # of nested prefixes that fit, the shallowest is the bucket: its parent does not fit
+    parents = fit.select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("parent"))
+    buckets = fit.withColumn("parent", F.shiftright("bucket", 1)).join(parents, ["depth", "parent"], "left_anti")
+    ends = [F.expr(f"shiftleft({start}, {last} - depth)") for start in ("bucket", "bucket + 1")]
+    covered = buckets.select("depth", F.explode(F.sequence(ends[0], ends[1] - 1)).alias("cell"))
+    return cells.select("cell").join(covered, "cell", "left")
 
 
 def assign(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
