@@ -3,10 +3,17 @@
 A document is the set of buckets that its words and the beginnings of its
 words hash to. Its score is
 
-    sigmoid(bias + sum of w[j] + sum over pairs of <v[i], v[j]>)
+    sigmoid(bias + sum of w[j] + sum over pairs of <v[i], v[j]> / number of terms)
 
 so a pair of terms that is harmful only together (an insult and the mention of
-a group) has a weight of its own, which additive weights cannot give it.
+a group) has a weight of its own, which additive weights cannot give it. Every
+term that enough sampled documents hold has a weight and a factor, however it
+is spread over the labels by itself.
+
+Noise is held down by a penalty on weights, not by leaving terms out: a weight
+is pulled to zero in proportion to the deviation that its gradient has by
+chance, which shrinks with the sample, and the less the larger the weight is.
+Weights are learnt alone first, then together with the factors.
 
 Labels are learnt from a bounded sample (``fit_rows`` rows, the smallest hashes
 of the key); every document is scored whole.
@@ -38,9 +45,10 @@ from profitlens.llm.text import add_columns, words
 class FactorSettings:
     """``fit_rows`` bounds the labelled sample, ``bits`` the number of hashed terms.
 
-    A term takes part if enough sampled documents hold it and its chi-squared
-    statistic against the label reaches ``least_chi2``: thousands of
-    uninformative terms would otherwise outweigh two insults in a long text.
+    A term takes part if ``least_documents`` sampled documents hold it. A weight
+    leaves zero where its gradient exceeds ``chance`` standard deviations of an
+    uninformative term; at the size ``relief`` the pull back is halved.
+    ``least_chi2`` can leave terms out by themselves; 0 leaves out none.
     """
 
     bits: int = 18
@@ -48,11 +56,14 @@ class FactorSettings:
     stems: tuple[int, ...] = (3, 4, 5, 6)
     fit_rows: int = 12_000
     least_documents: int = 3
-    least_chi2: float = 30.0
+    least_chi2: float = 0.0
+    weight_epochs: int = 12
     epochs: int = 8
     batch: int = 128
-    rate: float = 0.2
-    penalty: float = 1e-4
+    rate: float = 0.5
+    chance: float = 4.0
+    relief: float = 0.05
+    penalty: float = 1e-3
     seed: int = 7
 
 
@@ -81,21 +92,25 @@ def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*rows, np.zeros(0, np.int64)]), of
 
 
-def _margins(bias: float, weights: np.ndarray, factors: np.ndarray, terms: np.ndarray, of: np.ndarray, n: int):
-    """Linear plus pairwise part of each row, and the rows' factor sums."""
+def _margins(bias: float, weights: np.ndarray, factors: np.ndarray, terms: np.ndarray, of: np.ndarray, n: int, sizes=1.0):
+    """Linear plus pairwise part of each row, the latter over ``sizes``, and the rows' factor sums."""
     linear = np.bincount(of, weights[terms], n)
     taken = factors[terms]
     sums = np.stack([np.bincount(of, taken[:, f], n) for f in range(factors.shape[1])], axis=1)
     squares = np.bincount(of, (taken * taken).sum(axis=1), n)
-    return bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums, taken
+    return bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares) / sizes, sums, taken
+
+
+def _sizes(rows: list[np.ndarray]) -> np.ndarray:
+    return np.array([max(1, len(r)) for r in rows], np.float64)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def telling_terms(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSettings) -> np.ndarray:
-    """Which buckets depend on the label, by the chi-squared statistic of their two-by-two table."""
+def telling_terms(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSettings) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets take part, and how many rows hold each bucket."""
     size, n, positive = 1 << settings.bits, len(rows), labels.sum()
     held, both = np.zeros(size), np.zeros(size)
     for start in range(0, n, 1_000):
@@ -105,45 +120,58 @@ def telling_terms(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSe
     spread = held * (n - held) * positive * (n - positive)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = np.where(spread > 0, n * (n * both - held * positive) ** 2 / spread, 0.0)
-    return (held >= settings.least_documents) & (chi2 >= settings.least_chi2)
+    return (held >= settings.least_documents) & (chi2 >= settings.least_chi2), held
 
 
 def fit_rows(rows: list[np.ndarray], labels: np.ndarray, settings: FactorSettings) -> FactorModel:
-    """Adaptive gradient descent on the log loss, in mini-batches of a fixed order."""
-    size, rng = 1 << settings.bits, np.random.default_rng(settings.seed)
+    """Adaptive gradient descent on the penalised log loss, in mini-batches of a fixed order."""
+    size, rng, n = 1 << settings.bits, np.random.default_rng(settings.seed), max(1, len(rows))
     share = (labels.sum() + 0.5) / (len(labels) + 1.0)
     bias = float(np.log(share / (1.0 - share)))
-    weights = np.zeros(size)
-    factors = np.zeros((size, settings.factors))
-    known = telling_terms(rows, labels, settings)
-    rows = [r[known[r]] for r in rows]
-    factors[known] = rng.normal(0.0, 0.01, (int(known.sum()), settings.factors))
-    seen_w, seen_v, seen_b = np.full(size, 1e-3), np.full((size, settings.factors), 1e-3), 1e-3
-    for _ in range(settings.epochs):
+    known, held = telling_terms(rows, labels, settings)
+    sizes = _sizes(rows)
+    # terms that take part are numbered, so that the penalty reaches all of them at each step
+    numbers, number = np.cumsum(known) - 1, int(known.sum())
+    rows = [numbers[r[known[r]]] for r in rows]
+    weights = np.zeros(number)
+    factors = rng.normal(0.0, 0.01, (number, settings.factors))
+    # what the mean gradient of a term that says nothing deviates from zero by chance
+    part = held[known] / n
+    pull_back = settings.chance * np.sqrt(part * (1.0 - part) * share * (1.0 - share) / n)
+    seen_w, seen_v, seen_b = np.full(number, 1e-3), np.full((number, settings.factors), 1e-3), 1e-3
+    for epoch in range(settings.weight_epochs + settings.epochs):
         order = rng.permutation(len(rows))
         for start in range(0, len(order), settings.batch):
             chosen = order[start : start + settings.batch]
             terms, of = _flat([rows[i] for i in chosen])
-            margin, sums, taken = _margins(bias, weights, factors, terms, of, len(chosen))
-            error = _sigmoid(margin) - labels[chosen]
-            used, back = np.unique(terms, return_inverse=True)
-            grad_w = np.bincount(back, error[of], len(used)) + settings.penalty * len(chosen) * weights[used]
-            pull = error[of][:, None] * (sums[of] - taken)
-            grad_v = np.stack([np.bincount(back, pull[:, f], len(used)) for f in range(settings.factors)], axis=1)
-            grad_v = grad_v + settings.penalty * len(chosen) * factors[used]
-            seen_w[used] += grad_w * grad_w
-            seen_v[used] += grad_v * grad_v
-            weights[used] -= settings.rate * grad_w / np.sqrt(seen_w[used])
-            factors[used] -= 0.25 * settings.rate * grad_v / np.sqrt(seen_v[used])
+            if epoch < settings.weight_epochs:
+                error = _sigmoid(bias + np.bincount(of, weights[terms], len(chosen))) - labels[chosen]
+            else:
+                margin, sums, taken = _margins(bias, weights, factors, terms, of, len(chosen), sizes[chosen])
+                error = _sigmoid(margin) - labels[chosen]
+                used, back = np.unique(terms, return_inverse=True)
+                pull = (error / sizes[chosen])[of][:, None] * (sums[of] - taken)
+                grad_v = np.stack([np.bincount(back, pull[:, f], len(used)) for f in range(settings.factors)], axis=1)
+                grad_v = grad_v + settings.penalty * len(chosen) * factors[used]
+                seen_v[used] += grad_v * grad_v
+                factors[used] -= 0.25 * settings.rate * grad_v / np.sqrt(seen_v[used])
+            grad_w = np.bincount(terms, error[of], number)
+            seen_w += grad_w * grad_w
+            step = settings.rate / np.sqrt(seen_w)
+            limit = step * len(chosen) * pull_back * settings.relief / (settings.relief + np.abs(weights))
+            moved = weights - step * grad_w
+            weights = np.sign(moved) * np.maximum(np.abs(moved) - limit, 0.0)
             grad_b = error.sum()
             seen_b += grad_b * grad_b
             bias -= settings.rate * grad_b / np.sqrt(seen_b)
-    return FactorModel(settings.bits, settings.stems, float(bias), weights.astype(np.float32), factors.astype(np.float32))
+    all_weights, all_factors = np.zeros(size, np.float32), np.zeros((size, settings.factors), np.float32)
+    all_weights[known], all_factors[known] = weights, factors
+    return FactorModel(settings.bits, settings.stems, float(bias), all_weights, all_factors)
 
 
 def score_rows(model: FactorModel, rows: list[np.ndarray]) -> np.ndarray:
     terms, of = _flat(rows)
-    return _sigmoid(_margins(model.bias, model.weights, model.factors, terms, of, len(rows))[0])
+    return _sigmoid(_margins(model.bias, model.weights, model.factors, terms, of, len(rows), _sizes(rows))[0])
 
 
 def fit(labelled: DataFrame, key: str, text: str, label: str, settings: FactorSettings = FactorSettings()) -> FactorModel:

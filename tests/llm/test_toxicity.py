@@ -38,6 +38,33 @@ def test_pairs_are_learnt_that_additive_weights_miss():
     assert right.mean() > 0.95
 
 
+@pytest.mark.parametrize("stems", [(), toxicity.FactorSettings().stems])
+def test_pairs_are_learnt_with_the_settings_in_use(stems):
+    random.seed(1)
+    texts, labels = [], []
+    for _ in range(1200):
+        one, two = random.random() < 0.5, random.random() < 0.5
+        fill = random.choices(["alpha", "beta", "gamma", "delta"], k=3)
+        texts.append(" ".join(fill + ["vermin"] * one + ["newcomers"] * two))
+        labels.append(float(one == two))
+    settings = toxicity.FactorSettings()
+    rows = [toxicity.term_buckets(t.encode(), settings.bits, stems) for t in texts]
+    model = toxicity.fit_rows(rows, np.array(labels), settings)
+    assert model.factors[[toxicity.crc32(w) & (1 << settings.bits) - 1 for w in (b"vermin", b"newcomers")]].any(axis=1).all()
+    right = (toxicity.score_rows(model, rows) >= 0.5) == np.array(labels)
+    assert right.mean() > 0.95
+
+
+def test_toxic_documents_go_from_a_small_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = queries.table(spark, folder, "documents"), queries.table(spark, folder, "labels")
+    kept = toxicity.reject_toxic(docs, queries.toxicity_model(spark, folder)).select("doc_id", F.lit(1).alias("kept"))
+    rows = docs.join(labels, "doc_id").join(kept, "doc_id", "left").groupBy("toxic").agg(F.count("*"), F.count("kept")).collect()
+    count = {r[0]: (r[1], r[2]) for r in rows}
+    assert count[1][0] > 0 and count[1][1] <= 0.2 * count[1][0]
+    assert count[0][1] >= 0.95 * count[0][0]
+
+
 def test_held_out_documents(spark):
     scored = queries.op1_toxicity(spark, "/root/testdata/sf0.1")
     labels = queries.table(spark, "/root/testdata/sf0.1", "labels")
