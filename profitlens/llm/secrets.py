@@ -8,6 +8,9 @@ is measured. Tokens with an embedded checksum (CRC-32 in GitHub and npm tokens,
 Luhn digits of cards, mod 97 of IBANs, the JSON header of a JWT) count only if
 it holds.
 
+A private key is one span from its BEGIN line over the body to its END line, or
+to the last base64 line where the END line is missing.
+
 Matches of a kind are leftmost and do not overlap; a match that is too short or
 fails its checksum is dropped after it has taken its place.
 
@@ -36,6 +39,17 @@ from profitlens.llm.text import add_columns, code_points, cut, slices
 
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LONG_RUN = 32
+#: From BEGIN to the END line, whatever stands between. Without END: header lines, then lines that are base64 as a whole and
+#: long base64 words. Line ends may be written as backslash n. Possessive, so that no text is gone through twice.
+PRIVATE_KEY = re.compile(
+    rb"""-----BEGIN\x20(?:[A-Z0-9]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?-----
+    (?: (?:(?!-----).)*+ -----END\x20(?:[A-Z0-9]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?-----
+      | (?: (?:\s|\\[nr])++ [A-Za-z][A-Za-z0-9-]*+:[^\n\\]*+ )*+
+        (?: (?:\s|\\[nr])++ [A-Za-z0-9+/=]{16,}+
+          | (?:[ \t]*+(?:\r?\n|(?:\\r)?\\n))++ [ \t]*+ [A-Za-z0-9+/=]++ (?=[ \t]*(?:[\r\n]|\\[nr]|\Z)) )*+
+    )""",
+    re.DOTALL | re.VERBOSE,
+)
 
 
 def crc_token(match: re.Match) -> bool:
@@ -93,7 +107,7 @@ KINDS = (
     Kind("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(rb"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), crc_token),
     Kind("npm", ("npm_",), re.compile(rb"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), crc_token),
     Kind("jwt", ("eyj",), re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), json_header),
-    Kind("pem", ("-----begin ",), re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"), lambda m: True),
+    Kind("pem", ("-----begin ",), PRIVATE_KEY, lambda m: True),
     Kind("card", ("card",), re.compile(rb"card[^0-9\n]{0,24}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])", re.IGNORECASE), luhn),
     Kind("iban", ("iban",), re.compile(rb"iban[: ]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Z0-9])", re.IGNORECASE), mod97),
 )
