@@ -938,6 +938,19 @@ def margin_risk_scores(spark, folder):
     ).withColumn("auc_reaches_target", auc > metrics.MARGIN_AUC_TARGET)
 
 
+@query()
+def margin_importance(spark, folder):
+    """The report row of the full margin model over all order items, with the gain of each feature, categories among them."""
+    _, described = training.score_margin_risk(tx(spark, folder))
+    return described.select(
+        "model",
+        F.col("settings")["trees"].alias("trees"),
+        F.col("settings")["depth"].alias("depth"),
+        "holdout_auc",
+        F.explode("feature_importance").alias("feature", "gain"),
+    )
+
+
 @query()
 def churn_scores(spark, folder):
     """The full model over all customers; nobody is scored where too few order rarely."""

@@ -1,5 +1,7 @@
 """Features, metrics, calibration, importance and tuning."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from profitlens.ml import features as f
 from profitlens.ml import importance, metrics, models, report, tuning
 from profitlens.plans.models import run_models
+from profitlens.plans.queries import all_queries
 from profitlens.session import stage
 from profitlens.sources import star
 
@@ -174,3 +177,12 @@ def test_high_sales_label_and_no_leak(spark, data):
     assert "total_sales" not in features.features
     share = features.table.agg(F.avg("label")).first()[0]
     assert share == pytest.approx(0.25, abs=0.02)
+
+
+def test_registered_gains_of_the_margin_model(spark, data):
+    found = all_queries()["margin_importance"](spark, data).collect()
+    wanted = f.margin_risk_features(star.transactions(spark, data))
+    assert sorted(r["feature"] for r in found) == sorted(wanted.features) and len(found) == 7
+    assert {"shipping_mode", "market", "customer_segment", "category_name"} <= {re.sub("_(code|encoded)$", "", r["feature"]) for r in found}
+    assert {(r["model"], r["trees"], r["depth"]) for r in found} == {("margin_risk", "300", "6")}
+    assert sum(r["gain"] for r in found) == pytest.approx(1.0) and all(0.0 <= r["gain"] <= 1.0 for r in found)
