@@ -39,6 +39,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
+    _prepared(spark)
     return packing.pack(docs)
 
 

@@ -11,8 +11,10 @@ Documents longer than a bin are cut: whole bins first, and a rest that is
 packed like any other document.
 
 Lengths, not texts, are dealt evenly over the tasks without regard to source or
-cluster, and a task packs ``group`` pieces at a time. A group never depends on
-how many rows a source or a cluster has.
+cluster, over as many tasks as there are times ``group`` pieces, whatever the
+session's settings; a task packs all its pieces together, or ``group`` at a time
+while it holds twice as many. A group never depends on how many rows a source or
+a cluster has.
 
 Edge cases: null and empty texts have no word and take a place of length 0; a
 null source never conflicts; exact copies are one cluster unless a cluster
@@ -26,6 +28,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import pyarrow as pa
 import xxhash
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profitlens.llm.text import add_columns
+from profitlens.session import stage
 
 
 @dataclass(frozen=True)
@@ -114,7 +118,8 @@ def pack(
     Columns: key, piece, n_pieces, first_word, words, bin_id, bin_start,
     bin_words (words in the whole bin), bin_pieces.
     """
-    cut = pieces(lengths(docs, text, key, source, cluster), settings.capacity)
+    # lengths are counted and packed: texts are read once
+    cut = pieces(stage(lengths(docs, text, key, source, cluster), "pack_lengths"), settings.capacity)
     key_type = docs.schema[key].dataType
     schema = T.StructType([
         T.StructField(key, key_type), T.StructField("piece", T.IntegerType()), T.StructField("n_pieces", T.IntegerType()),
@@ -144,7 +149,7 @@ def pack(
 
         for batch in batches:
             held.append(batch)
-            while sum(b.num_rows for b in held) >= size:
+            while sum(b.num_rows for b in held) >= 2 * size:
                 table = pa.Table.from_batches(held)
                 yield packed(table.slice(0, size))
                 group += 1
@@ -154,9 +159,9 @@ def pack(
             yield packed(rest)
 
     shown = cut.select("key", "piece", "n_pieces", "first_word", "words", "source", "cluster")
-    return _dealt_evenly(shown).mapInArrow(run, schema)
+    return _dealt_evenly(shown, size).mapInArrow(run, schema)
 
 
-def _dealt_evenly(rows: DataFrame) -> DataFrame:
-    """Round robin over the shuffle partitions; Spark orders rows before, so a repeated task deals alike."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _dealt_evenly(rows: DataFrame, group: int) -> DataFrame:
+    """Round robin over a task per ``group`` rows; Spark orders rows before, so a repeated task deals alike."""
+    return rows.repartition(max(1, ceil(rows.count() / group)))

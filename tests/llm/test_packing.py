@@ -77,3 +77,17 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert packing.pack(nothing(spark)).count() == 0
+
+
+def test_groups_do_not_depend_on_the_shuffle_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before, bins = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in (2, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            rows = packing.pack(docs).collect()
+            assert len(rows) < packing.PackSettings().group
+            bins.append(len({r["bin_id"] for r in rows}))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert bins[0] == bins[1] and len({r["bin_id"][:13] for r in rows}) == 1
