@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitlens.llm import decontamination, language, licenses, packing, secrets, sharding, simhash, topk, toxicity, warc
+from profitlens.llm import decontamination, language, licenses, packing, secrets, sharding, simhash, topk, toxicity, urlfilter, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -103,6 +103,14 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
 
 
+URL_RULES = "('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')"
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
+    return urlfilter.judge(table(spark, folder, "pages"), rules)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -114,6 +122,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_topk": op10_topk,
+    "op12_url_filter": op12_url_filter,
 }
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -185,4 +194,17 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_url_filter": f"""
+        WITH rules(h, p, v) AS (VALUES {URL_RULES}),
+        cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        split AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+            FROM cut),
+        keyed AS (SELECT coalesce(host, '') AS host, coalesce(path, '') AS path, page_id, row_number() OVER () AS n FROM split),
+        fitting AS (
+            SELECT n, h || p AS rule, v FROM keyed JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(h || p) DESC, length(h) DESC) = 1)
+        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM keyed LEFT JOIN fitting USING (n)
+    """,
 }
