@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitlens.llm import decontamination, language, licenses, packing, secrets, sharding, simhash, topk, toxicity, urlfilter, warc
+from profitlens.llm import covertree, decontamination, divergence, language, licenses, packing, secrets, sharding, simhash, topk, toxicity, urlfilter, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -103,6 +103,10 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 URL_RULES = "('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')"
 
 
@@ -111,6 +115,11 @@ def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"), rules)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.mine(table(spark, folder, "embeddings").withColumn("label", moved), "vec_id % 100 = 0")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -122,10 +131,13 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_topk": op10_topk,
+    "op11_source_divergence": op11_source_divergence,
     "op12_url_filter": op12_url_filter,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -194,6 +206,34 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_source_divergence": f"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all({LOWER}, '{TERM}') AS w
+            FROM documents),
+        places AS (SELECT n, lang, source, unnest(w) AS term FROM rows),
+        kept AS (SELECT lang, term, count(*) AS c FROM places GROUP BY ALL HAVING count(DISTINCT n) >= 30),
+        langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY ALL),
+        groups AS (SELECT DISTINCT lang, source FROM rows),
+        used AS (SELECT lang, source, term, count(*) AS c FROM places SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        totals AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN used USING (lang, source) GROUP BY ALL),
+        dense AS (
+            SELECT lang, totals.source, term, coalesce(used.c, 0) AS c, langs.v,
+                1 + (1000000000::HUGEINT * (coalesce(used.c, 0) + 5)) // (totals.n + 5 * langs.v)::HUGEINT AS p,
+                1 + (1000000000::HUGEINT * (kept.c + 5)) // (langs.n + 5 * langs.v)::HUGEINT AS q
+            FROM totals JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN used USING (lang, source, term)),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM dense WHERE c > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+            CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM parts QUALIFY part = 'pair' OR rank <= 50
+    """,
     "op12_url_filter": f"""
         WITH rules(h, p, v) AS (VALUES {URL_RULES}),
         cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -207,4 +247,23 @@ ORACLE_SQL: dict[str, str] = {
             QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(h || p) DESC, length(h) DESC) = 1)
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM keyed LEFT JOIN fitting USING (n)
     """,
+    "op13_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS other_id, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+            FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(c.v) = len(a.v)),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+        ranked AS (
+            SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+                CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT * FROM ranked WHERE rank <= 10
+    """,
 }
