@@ -9,12 +9,13 @@ holds a term without holding its prefixes, so no kept term is lost, while
 the long tail of rare terms ends at a few short prefixes and never reaches the
 tables of counts. Refinement ends when no prefix is left to extend.
 
-Texts are split into terms once; the distinct terms of a row, with their counts,
-are staged and each level reads them there. Tasks sum prefixes per Arrow batch,
-Spark sums them before and after the shuffle. The prefixes of a level go to the
-next one as a bitmap of fixed size, hashed: a prefix that passes by accident is
-counted and dropped one level later, so the size decides speed alone, never the
-result.
+Texts are split into terms once; the distinct terms of each row, with their
+counts, are staged in blocks with a dictionary each, and every level reads them
+there: work on bytes is done per dictionary, the rest on numbers. Tasks count
+per block, Spark sums before and after the shuffle. The prefixes of a level go
+to the next one as a bitmap of fixed size, hashed: a prefix that passes by
+accident is counted and dropped one level later, so the size decides speed
+alone, never the result. A last pass counts the kept terms per source.
 
 ``audit`` compares the sources: whole-number probabilities of the kept terms per
 source, the sum of differences between each two sources of a language, and
@@ -32,27 +33,27 @@ no rows; columns other than the three named play no part.
 from __future__ import annotations
 
 import string
+from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from profitlens.llm.text import add_columns
+from profitlens.llm.text import slices
 from profitlens.session import stage
 
 #: ASCII letters become lower case, every other ASCII byte a space.
 TERM_TABLE = bytes(b | 0x20 if chr(b) in string.ascii_uppercase else b if b >= 0x80 or chr(b) in string.ascii_lowercase else 0x20 for b in range(256))
 SEED = 42
 UNIT = 1_000_000_000
-COUNTS = "lang string, source string, term binary, complete boolean, docs long, occurrences long"
+SHIFTS = (0, 20, 40)
+BLOCKS = "langs array<string>, sources array<string>, terms binary, codes binary, counts binary, ends binary, of binary"
 SUMS = "lang string, source string, item string, value long"
 
 
@@ -76,31 +77,88 @@ def next_level(length: int) -> int:
     return length + max(1, length // 2)
 
 
-def _terms() -> Callable[[list[bytes | None]], list[pa.Array]]:
-    def run(texts: list[bytes | None]) -> list[pa.Array]:
-        terms: list[bytes] = []
-        counts: list[int] = []
-        offsets = [0]
-        for text in texts:
-            found = Counter(text.translate(TERM_TABLE).split()) if text else {}
-            terms += found.keys()
-            counts += found.values()
-            offsets.append(len(terms))
-        at = pa.array(offsets, pa.int32())
-        return [pa.ListArray.from_arrays(at, pa.array(terms, pa.binary())), pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))]
+def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", postings: int = 1_000_000) -> DataFrame:
+    """Blocks of rows with the distinct terms of each, coded by a dictionary of the block.
 
-    return run
-
-
-def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, terms, counts) of each row: its distinct terms."""
+    A block holds about ``postings`` (row, term) pairs, or one longer row. A
+    group is a (language, source) of the block.
+    """
 
     def name(c: str) -> Column:
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
 
-    own = docs.select(name(lang).alias("lang"), name(source).alias("source"), F.col(f"`{text}`").alias("text"))
-    added = T.StructType([T.StructField("terms", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))])
-    return add_columns(own, "text", _terms, added, keep=["lang", "source"])
+    own = docs.select(name(lang), name(source), F.col(f"`{text}`").cast("binary"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block()
+        for part in (p for batch in batches for p in slices(batch)):
+            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                block.add(*row)
+                if len(block.codes) >= postings:
+                    yield block.batch()
+                    block = _Block()
+        if block.ends:
+            yield block.batch()
+
+    return own.mapInArrow(run, BLOCKS)
+
+
+class _Block:
+    """Rows taken in so far."""
+
+    def __init__(self) -> None:
+        self.groups: dict[tuple[str, str], int] = {}
+        self.terms: dict[bytes, int] = {}
+        self.codes, self.counts, self.ends, self.of = array("i"), array("q"), array("q"), array("i")
+
+    def add(self, lang: str, source: str, text: bytes | None) -> None:
+        found = Counter(text.translate(TERM_TABLE).split()) if text else {}
+        numbers = self.terms
+        self.codes.extend([numbers.setdefault(term, len(numbers)) for term in found])
+        self.counts.extend(found.values())
+        self.ends.append(len(self.codes))
+        self.of.append(self.groups.setdefault((lang, source), len(self.groups)))
+
+    def batch(self) -> pa.RecordBatch:
+        langs, sources = ([g[i] for g in self.groups] for i in (0, 1))
+        packed = [b"\0".join(self.terms), *(a.tobytes() for a in (self.codes, self.counts, self.ends, self.of))]
+        columns = [pa.array([langs], pa.list_(pa.string())), pa.array([sources], pa.list_(pa.string())), *[pa.array([p], pa.binary()) for p in packed]]
+        return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in BLOCKS.split(", ")])
+
+
+@dataclass
+class _Postings:
+    """A block read back: its dictionary, and a row number, term number and count per posting."""
+
+    langs: list[bytes]  # of each group
+    sources: list[str]
+    terms: list[bytes]
+    group: np.ndarray  # of each row
+    row: np.ndarray
+    code: np.ndarray
+    count: np.ndarray
+
+    def keep(self, wanted: np.ndarray) -> None:
+        self.row, self.code, self.count = self.row[wanted], self.code[wanted], self.count[wanted]
+
+    def held(self, names: list[bytes], code: np.ndarray, alive: PrefixFilter) -> np.ndarray:
+        """For each posting, whether the bitmap holds its language with its name."""
+        langs, lang = _numbered(self.langs)
+        at, distinct = pd.factorize(lang[self.group[self.row]] * len(names) + code)
+        keys = [langs[k // len(names)] + b"\0" + names[k % len(names)] for k in distinct.tolist()]
+        return alive.holds(keys)[at]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Postings]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = batch.slice(i, 1).to_pylist()[0]
+            ends = np.frombuffer(block["ends"], np.int64)
+            row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            terms = block["terms"].split(b"\0") if block["codes"] else []
+            code, count = np.frombuffer(block["codes"], np.int32).astype(np.int64), np.frombuffer(block["counts"], np.int64)
+            langs = [g.encode() for g in block["langs"]]
+            yield _Postings(langs, block["sources"], terms, np.frombuffer(block["of"], np.int32).astype(np.int64), row, code, count)
 
 
 class PrefixFilter:
@@ -109,16 +167,20 @@ class PrefixFilter:
     def __init__(self, words: np.ndarray):
         self.words = words
 
-    def holds(self, lang: bytes, prefix: bytes) -> bool:
-        h = xxhash.xxh64_intdigest(lang + b"\0" + prefix, SEED)
-        bits = len(self.words) * 64 - 1
-        return all((int(self.words[p >> 6]) >> (p & 63)) & 1 for p in (h & bits, (h >> 20) & bits, (h >> 40) & bits))
+    def holds(self, keys: list[bytes]) -> np.ndarray:
+        hashes = np.array([xxhash.xxh64_intdigest(k, SEED) for k in keys], np.uint64)
+        bits = np.uint64(len(self.words) * 64 - 1)
+        found = np.ones(len(keys), bool)
+        for shift in SHIFTS:
+            place = hashes >> np.uint64(shift) & bits
+            found &= (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return found
 
     @classmethod
     def of(cls, prefixes: DataFrame, bits: int) -> PrefixFilter:
         """From (lang, term); at most ``bits`` / 64 words reach the driver."""
-        h = F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("term")))
-        places = [F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(bits - 1)) for shift in (0, 20, 40)]
+        h = F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("term").cast("binary")))
+        places = [F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(bits - 1)) for shift in SHIFTS]
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
         found = prefixes.select(F.explode(F.array(*places)).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
         table = found.agg(F.bit_or(bit).alias("bits")).toArrow()
@@ -127,71 +189,51 @@ class PrefixFilter:
         return cls(words)
 
 
-def _codes(values: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Number of each value, and the distinct values."""
+def _numbered(values: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct values, and the number of each value."""
     numbers: dict[bytes, int] = {}
-    return np.array([numbers.setdefault(v, len(numbers)) for v in values], np.int64), list(numbers)
-
-
-def _pairs(high: np.ndarray, low: np.ndarray, n_low: int, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (high, low) with the number of places and the sum of weights."""
-    codes, distinct = pd.factorize(high * max(1, n_low) + low)
-    number = np.bincount(codes, minlength=len(distinct))
-    total = np.zeros(len(distinct), np.int64) if weights is None else np.bincount(codes, weights, len(distinct)).astype(np.int64)
-    return distinct // max(1, n_low), distinct % max(1, n_low), number, total
-
-
-def _count_batch(batch: pa.RecordBatch, shorter: int, length: int, alive: PrefixFilter | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the terms that end below ``length`` bytes, and of the prefixes of the others."""
-    langs, lang_names = _codes(batch.column(0).to_pylist())
-    sources, source_names = _codes(batch.column(1).to_pylist())
-    group = langs * len(source_names) + sources
-    lists = batch.column(2)
-    row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
-    coded = lists.flatten().dictionary_encode()
-    terms, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    count = batch.column(3).flatten().to_numpy()
-    size = np.array([len(t) for t in terms], np.int64)
-    open_ = np.flatnonzero(size[code] >= shorter)
-    if alive is not None and len(open_):
-        before, prefixes = _codes([t[:shorter] for t in terms])
-        n = len(prefixes)
-        asked, at = np.unique(langs[row[open_]] * n + before[code[open_]], return_inverse=True)
-        held = np.array([alive.holds(lang_names[a // n].encode(), prefixes[a % n]) for a in asked.tolist()], bool)
-        open_ = open_[held[at]]
-    row, code, count = row[open_], code[open_], count[open_]
-
-    def out(names: list[str], origins: list[str], found: list[bytes], complete: bool, docs: np.ndarray, occurrences: np.ndarray) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.int64(), pa.int64()]
-        columns = [names, origins, found, [complete] * len(found), docs, occurrences]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "source", "term", "complete", "docs", "occurrences"])
-
-    ended = size[code] < length
-    if ended.any():
-        of, term, docs, occurrences = _pairs(group[row[ended]], code[ended], len(terms), count[ended])
-        own = of.tolist()
-        names = [lang_names[g // len(source_names)] for g in own]
-        yield out(names, [source_names[g % len(source_names)] for g in own], [terms[t] for t in term.tolist()], True, docs, occurrences)
-    if not ended.all():
-        after, prefixes = _codes([t[:length] for t in terms])
-        n = len(prefixes)
-        seen = pd.unique(row[~ended] * n + after[code[~ended]])  # a document counts once
-        of, prefix, docs, nothing = _pairs(langs[seen // n], seen % n, n)
-        yield out([lang_names[g] for g in of.tolist()], [""] * len(of), [prefixes[p] for p in prefix.tolist()], False, docs, nothing)
-
-
-def term_counts(rows: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
-    """(lang, source, term, docs, occurrences) of all terms that refinement completes; a superset of the kept ones."""
+    codes = np.array([numbers.setdefault(v, len(numbers)) for v in values], np.int64)
+    return list(numbers), codes
+
+
+def _count_level(block: _Postings, shorter: int, length: int, alive: PrefixFilter | None) -> Iterator[pa.RecordBatch]:
+    """Documents of the terms that end below ``length`` bytes, and of the prefixes of the others."""
+    size = np.array([len(t) for t in block.terms], np.int64)
+    if alive is not None and len(block.code):
+        block.keep(size[block.code] >= shorter)
+        prefixes, before = _numbered([t[:shorter] for t in block.terms])
+        block.keep(block.held(prefixes, before[block.code], alive))
+    if not len(block.code):
+        return
+    langs, lang = _numbered(block.langs)
+    ended = size[block.code] < length
+    after_names, after = _numbered([t[:length] for t in block.terms])
+    n = len(after_names)
+    # a term that ended and the prefix of a longer one are never equal; a document counts once for each
+    seen = pd.unique(block.row * n + after[block.code])
+    at, distinct = pd.factorize(lang[block.group[seen // n]] * n + seen % n)
+    complete = np.zeros(n, bool)
+    complete[after[block.code[ended]]] = True
+    names = distinct % n
+    columns = [
+        pa.array([langs[g].decode() for g in (distinct // n).tolist()], pa.string()), pa.array([after_names[p] for p in names.tolist()], pa.binary()),
+        pa.array(complete[names]), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64()),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "complete", "docs"])
+
+
+def term_counts(blocks: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
+    """(lang, term, docs) of all terms that refinement completes; a superset of the kept ones."""
     complete = []
     shorter, length, alive = 0, settings.first_level, None
     while True:
 
         def run(batches: Iterator[pa.RecordBatch], shorter: int = shorter, length: int = length, alive: PrefixFilter | None = alive) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield from _count_batch(batch, shorter, length, alive)
+            for block in _blocks(batches):
+                yield from _count_level(block, shorter, length, alive)
 
-        counted = rows.select("lang", "source", "terms", "counts").mapInArrow(run, COUNTS).groupBy("lang", "source", "term", "complete")
-        counted = stage(counted.agg(F.sum("docs").alias("docs"), F.sum("occurrences").alias("occurrences")), "prefix_counts")
+        counted = blocks.mapInArrow(run, "lang string, term binary, complete boolean, docs long").groupBy("lang", "term", "complete")
+        counted = stage(counted.agg(F.sum("docs").alias("docs")), "prefix_counts")
         complete.append(counted.filter("complete").drop("complete"))
         survivors = counted.filter(~F.col("complete") & (F.col("docs") >= settings.least_docs)).select("lang", "term")
         if survivors.isEmpty():
@@ -203,6 +245,31 @@ def term_counts(rows: DataFrame, settings: AuditSettings = AuditSettings()) -> D
     return found.withColumn("term", F.col("term").cast("string"))
 
 
+def source_counts(blocks: DataFrame, kept: DataFrame, settings: AuditSettings = AuditSettings()) -> DataFrame:
+    """(lang, source, term, occurrences) of the terms in ``kept`` (lang, term)."""
+    alive = PrefixFilter.of(kept, settings.filter_bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            if not len(block.code):
+                continue
+            block.keep(block.held(block.terms, block.code, alive))
+            n = len(block.terms)
+            at, distinct = pd.factorize(block.group[block.row] * n + block.code)
+            total = np.bincount(at, block.count, len(distinct)).astype(np.int64)
+            group = (distinct // n).tolist()
+            columns = [
+                pa.array([block.langs[g].decode() for g in group], pa.string()), pa.array([block.sources[g] for g in group], pa.string()),
+                pa.array([block.terms[t] for t in (distinct % n).tolist()], pa.binary()), pa.array(total),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "occurrences"])
+
+    found = blocks.mapInArrow(run, "lang string, source string, term binary, occurrences long")
+    summed = found.groupBy("lang", "source", "term").agg(F.sum("occurrences").alias("occurrences"))
+    # the bitmap may let others through
+    return summed.withColumn("term", F.col("term").cast("string")).join(kept.select("lang", "term"), ["lang", "term"], "left_semi")
+
+
 def probability(count: str, total: str, terms: str, smoothing: int) -> Column:
     """1 + floor(10^9 (count + s) / (total + s terms)), exactly; 0 without terms."""
     above = f"cast({count} + {smoothing} as decimal(22, 0)) * cast({UNIT} as decimal(10, 0))"
@@ -211,18 +278,19 @@ def probability(count: str, total: str, terms: str, smoothing: int) -> Column:
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", settings: AuditSettings = AuditSettings()) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has the other sources, part ``term`` the overused terms."""
-    rows = stage(document_terms(docs, text, lang, source), "document_terms")
-    counts = term_counts(rows, settings)
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("occurrences").alias("in_lang"))
-    kept = stage(kept.filter(F.col("docs") >= settings.least_docs), "kept_terms")
-    own = stage(counts.join(kept.select("lang", "term", "in_lang"), ["lang", "term"]), "kept_counts")
-    of_lang = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
+    blocks = stage(document_terms(docs, text, lang, source), "document_terms")
+    kept = stage(term_counts(blocks, settings).filter(F.col("docs") >= settings.least_docs), "kept_terms")
+    own = stage(source_counts(blocks, kept, settings), "kept_counts")
+    whole = own.groupBy("lang", "term").agg(F.sum("occurrences").alias("in_lang"))
+    of_lang = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
     of_source = own.groupBy("lang", "source").agg(F.sum("occurrences").alias("total"))
-    sources = rows.select("lang", "source").distinct().join(of_source, ["lang", "source"], "left").join(of_lang, "lang", "left")
+    groups = blocks.select(F.col("langs").alias("lang"), F.col("sources").alias("source"))
+    every = groups.select(F.inline(F.arrays_zip("lang", "source"))).distinct()
+    sources = every.join(of_source, ["lang", "source"], "left").join(of_lang, "lang", "left")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     sources = stage(sources.fillna(0, ["total", "terms", "lang_total"]).withColumn("place", place), "sources")
     s = settings.smoothing
-    cells = own.join(sources, ["lang", "source"]).select(
+    cells = own.join(sources, ["lang", "source"]).join(whole, ["lang", "term"]).select(
         "lang", "source", "place", "term", "terms",
         probability("occurrences", "total", "terms", s).alias("p"), probability("in_lang", "lang_total", "terms", s).alias("q"),
     )
