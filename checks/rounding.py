@@ -33,6 +33,13 @@ DOUBLES = {
     "margin_risk_scores": "sales_sum",
     "churn_scores": "total_revenue",
     "feature_importance": "gains",
+    "hpo_pruning": "mean_auc",
+    "delivery_risk_scores": "feature_auc",
+    "ltv_scores": "feature_auc",
+    "routed_kpis": "revenue profit margin_pct average_order_value",
+    "refreshed_totals": "total_sales total_profit detail",
+    "clustered_selection": "sales_sum profit_sum discount_sum",
+    "bucketed_customer_join": "total_sales clv_score",
     "calibrated_scores": "score probability",
     "csv_scan": "quantity sales profit discount_rate",
     "normalise_columns": "benefit_per_order profit",

@@ -20,21 +20,57 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(LIMIT), value)
 
 
-def total(value: Column | str) -> Column:
-    """Exact sum of the values to 2^-48 (4e-15) each; 0 for a group without values.
-
-    Every value is cut into four whole numbers that integer sums add up in any
-    order. Values that are not finite do not count.
-    """
+def _pieces(value: Column | str) -> tuple[Column, Column, Column, Column]:
+    """Four whole numbers per value, largest unit first; null for a value that does not count."""
     value = finite((F.col(value) if isinstance(value, str) else value).cast("double"))
     large = (value / F.lit(LARGE)).cast("bigint")
     rest = value - large * F.lit(LARGE)
     whole = rest.cast("bigint")
     fraction = (rest - whole) * F.lit(PART)
     coarse = fraction.cast("bigint")
-    fine = F.rint((fraction - coarse) * F.lit(PART)).cast("bigint")
-    below_one = (F.sum(coarse) + F.sum(fine) / F.lit(PART)) / F.lit(PART)
-    return F.coalesce(F.sum(large) * F.lit(LARGE) + (F.sum(whole) + below_one), F.lit(0.0))
+    return large, whole, coarse, F.rint((fraction - coarse) * F.lit(PART)).cast("bigint")
+
+
+def _joined(large: Column, whole: Column, coarse: Column, fine: Column) -> Column:
+    below_one = (coarse + fine / F.lit(PART)) / F.lit(PART)
+    return F.coalesce(large * F.lit(LARGE) + (whole + below_one), F.lit(0.0))
+
+
+def total(value: Column | str) -> Column:
+    """Exact sum of the values to 2^-48 (4e-15) each; 0 for a group without values.
+
+    Every value is cut into four whole numbers that integer sums add up in any
+    order. Values that are not finite do not count.
+    """
+    return _joined(*[F.sum(piece) for piece in _pieces(value)])
+
+
+PARTIALS = ("large", "whole", "coarse", "fine", "n")
+
+
+def partial_sums(value: Column | str, name: str) -> list[Column]:
+    """Aggregates that a table can keep: the four sums of ``total``, and how many values counted."""
+    pieces = _pieces(value)
+    sums = [F.sum(piece) for piece in pieces] + [F.count(pieces[0])]
+    return [F.coalesce(part, F.lit(0)).cast("decimal(38, 0)").alias(f"{name}_{kind}") for part, kind in zip(sums, PARTIALS, strict=True)]
+
+
+def merged_sums(name: str) -> list[Column]:
+    """Kept sums of several groups as those of one; decimals hold them for any number of rows."""
+    return [F.sum(f"{name}_{kind}").cast("decimal(38, 0)").alias(f"{name}_{kind}") for kind in PARTIALS]
+
+
+def merged_total(name: str) -> Column:
+    """``total`` of all rows behind the kept sums, to the same bits."""
+    return _joined(*[F.sum(f"{name}_{kind}").cast("double") for kind in PARTIALS[:4]])
+
+
+def merged_count(name: str) -> Column:
+    return F.coalesce(F.sum(f"{name}_n").cast("bigint"), F.lit(0))
+
+
+def merged_mean(name: str) -> Column:
+    return F.try_divide(merged_total(name), merged_count(name))
 
 
 def mean(value: Column | str) -> Column:

@@ -20,6 +20,15 @@ def cross_filter(df: DataFrame, **selected: Sequence[str]) -> DataFrame:
     return df
 
 
+def matching(df: DataFrame, selection: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose values are in a selection table.
+
+    On a table partitioned by these columns the selection is looked up first,
+    and only the partitions it names are read.
+    """
+    return df.join(selection.select(*columns).distinct(), list(columns), "left_semi")
+
+
 def filter_options(df: DataFrame, dimensions: Sequence[str] = FILTER_DIMENSIONS) -> DataFrame:
     """Distinct values per dimension, in one pass over the rows."""
     pairs = F.array(*[

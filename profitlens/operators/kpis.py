@@ -106,8 +106,13 @@ def _growth_pct(column: str, order: Window) -> Column:
 
 def monthly_trend(tx: DataFrame) -> DataFrame:
     """Totals per month with growth over the previous month present; null after a zero month."""
+    return growth(monthly_totals(tx))
+
+
+def growth(months: DataFrame) -> DataFrame:
+    """Monthly totals with growth over the previous month present."""
     by_month = Window.orderBy("month")  # one row per month: small by nature
-    return monthly_totals(tx).withColumns({
+    return months.withColumns({
         "mom_revenue_growth_pct": _growth_pct("monthly_revenue", by_month),
         "mom_profit_growth_pct": _growth_pct("monthly_profit", by_month),
     })
@@ -247,6 +252,11 @@ def filtered_kpis(tx: DataFrame) -> DataFrame:
         F.countDistinct("customer_id").alias("customers"),
         (order_count(tx) if "order_id" in tx.columns else F.count("*")).alias("orders"),
     )
+    return headline(sums)
+
+
+def headline(sums: DataFrame) -> DataFrame:
+    """Margin and order value beside (revenue, profit, customers, orders)."""
     return sums.select(
         "revenue",
         "profit",

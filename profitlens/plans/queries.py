@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from profitlens.config import Thresholds
 from profitlens.functions.arithmetic import total
 from profitlens.ml import features as mlf
-from profitlens.ml import importance, metrics, models, report
-from profitlens.operators import aggregates, cleaning, filters, kpis, pricing, ranking, sampling, segments
-from profitlens.plans import batch
+from profitlens.ml import attribution, importance, metrics, models, report, tuning
+from profitlens.operators import aggregates, cleaning, cube, filters, kpis, pricing, ranking, sampling, segments
+from profitlens.plans import batch, refresh
 from profitlens.plans import models as training
 from profitlens.session import stage, staged_path
 from profitlens.sources import csv, star, tables
@@ -925,10 +925,21 @@ def _in_bounds(score: str) -> Column:
     return F.coalesce(F.col(score).between(0.0, 1.0), F.lit(False))
 
 
+_margin_models: dict[tuple[str, str], tuple[models.TreeModel, mlf.FeatureSet, DataFrame]] = {}
+
+
+def _margin_model(spark: SparkSession, folder: str) -> tuple[models.TreeModel, mlf.FeatureSet, DataFrame]:
+    """The full margin model of a folder; the queries of one application share the fit."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _margin_models:
+        _margin_models[key] = training.fit_margin_risk(tx(spark, folder))
+    return _margin_models[key]
+
+
 @query()
 def margin_risk_scores(spark, folder):
     """The full model: how many items of either kind have a score, and whether flags and AUC are as they should be."""
-    scored, described = training.score_margin_risk(tx(spark, folder))
+    scored, described = training.margin_risk_scores(*_margin_model(spark, folder))
     auc = stage(described.select("holdout_auc"), "margin_auc").scalar()
     return scored.groupBy((F.col("profit") < 0).alias("is_loss")).agg(
         F.count("*").alias("rows"),
@@ -941,7 +952,7 @@ def margin_risk_scores(spark, folder):
 @query()
 def margin_importance(spark, folder):
     """The report row of the full margin model over all order items, with the gain of each feature, categories among them."""
-    _, described = training.score_margin_risk(tx(spark, folder))
+    _, described = training.margin_risk_scores(*_margin_model(spark, folder))
     return described.select(
         "model",
         F.col("settings")["trees"].alias("trees"),
@@ -951,6 +962,26 @@ def margin_importance(spark, folder):
     )
 
 
+@query()
+def margin_attributions(spark, folder):
+    """How much each feature moves the margin of the full model, on average over all order items."""
+    model, features, _ = _margin_model(spark, folder)
+    return attribution.mean_attributions(attribution.explain(model, features.table, ["label"]), features)
+
+
+@query()
+def margin_attribution_sums(spark, folder):
+    """For how many items of either kind the attributions and the base value add up to the margin."""
+    model, features, _ = _margin_model(spark, folder)
+    explained = attribution.explain(model, features.table, ["profit"])
+    gap = F.abs(F.aggregate("attributions", F.col("base_value"), lambda total, a: total + a) - F.col("margin"))
+    return explained.groupBy((F.col("profit") < 0).alias("is_loss")).agg(
+        F.count("*").alias("rows"),
+        F.count_if(gap <= 1e-9).alias("adding_up"),
+        F.count_if(F.size("attributions") == len(features.features)).alias("with_all_features"),
+    )
+
+
 @query()
 def churn_scores(spark, folder):
     """The full model over all customers; nobody is scored where too few order rarely."""
@@ -970,51 +1001,128 @@ def _churn_model(spark: SparkSession, folder: str) -> tuple[models.TreeModel, ml
     return models.fit_trees(features.with_table(train), models.CHURN_RISK), features, test
 
 
+def _churn_features(spark: SparkSession, folder: str) -> mlf.FeatureSet | None:
+    """All customers, or nothing where too few order rarely for a model."""
+    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))).complete(), "churn_features")
+    return features if mlf.enough_data(features, 50, training.MIN_CHURN_POSITIVES) else None
+
+
+def _churn_model(features: mlf.FeatureSet) -> tuple[models.TreeModel, DataFrame]:
+    """The full churn model, and the rows held out."""
+    train, test = mlf.holdout_split(features, training.CHURN_TEST_SHARE)
+    return models.fit_trees(features.with_table(train), models.CHURN_RISK), test
+
+
+def _one_row(spark: SparkSession, **values: Column) -> DataFrame:
+    return spark.range(1).select(*[value.alias(name) for name, value in values.items()])
+
+
 @query()
 def feature_importance(spark, folder):
-    """Gains of the full churn model: every feature is listed, and they add up to one."""
-    model, features, _ = _churn_model(spark, folder)
-    gains = models.feature_importance(model, features)
-    return gains.agg(F.count_distinct("feature").alias("features"), total("importance").alias("gains"))
+    """Gains of the full churn model: the feature with the largest, how many are listed, and their sum; null without a model."""
+    features = _churn_features(spark, folder)
+    if features is None:
+        return _one_row(spark, top_feature=F.lit(None).cast("string"), features=F.lit(0).cast("bigint"), gains=F.lit(0.0))
+    gains = models.feature_importance(_churn_model(features)[0], features)
+    return gains.agg(
+        F.max_by("feature", "importance").alias("top_feature"), F.count_distinct("feature").alias("features"), total("importance").alias("gains")
+    )
 
 
 @query()
 def permutation_importance(spark, folder):
-    """Fifteen permutations of each feature of the full churn model, on the rows held out."""
-    model, features, test = _churn_model(spark, folder)
+    """Fifteen permutations of each feature of the full churn model, on the rows held out; null without a model."""
+    features = _churn_features(spark, folder)
+    if features is None:
+        nothing = F.lit(0).cast("bigint")
+        return _one_row(spark, top_feature=F.lit(None).cast("string"), features=nothing, in_bounds=nothing)
+    model, test = _churn_model(features)
     found = importance.permutation_importance(model.score, features.with_table(test))
     return found.agg(
-        F.count_distinct("feature").alias("features"), F.count_if(F.abs("importance") <= 1).alias("in_bounds")
+        F.max_by("feature", "importance").alias("top_feature"),
+        F.count_distinct("feature").alias("features"),
+        F.count_if(F.abs("importance") <= 1).alias("in_bounds"),
     )
 
 
 @query()
 def model_report(spark, folder):
-    """The report of the full churn model: its settings, its features, and its AUC on the rows held out."""
-    model, features, test = _churn_model(spark, folder)
+    """The report of the full churn model: its settings, its features, and its AUC on the rows held out; no row without a model."""
+    features = _churn_features(spark, folder)
     written = staged_path(spark, "model_report.json")
-    tables.write_json(report.report_trees(model, test, features, models.CHURN_RISK, "customer_churn"), written)
+    described = spark.createDataFrame([], report.REPORT_SCHEMA)
+    if features is not None:
+        model, test = _churn_model(features)
+        described = report.report_trees(model, test, features, models.CHURN_RISK, "customer_churn")
+    tables.write_json(described, written)
     found = spark.read.schema(report.REPORT_SCHEMA).json(written)
     return found.select(
         "model",
         F.col("settings")["trees"].alias("trees"),
         F.col("settings")["depth"].alias("depth"),
         F.size("feature_importance").cast("bigint").alias("features"),
-        F.coalesce(F.col("holdout_auc").between(0.0, 1.0), F.lit(True)).alias("auc_in_bounds"),
+        F.round("holdout_auc", 1).alias("holdout_auc"),
     )
 
 
 @query()
 def cross_validated_auc(spark, folder):
-    """The full churn settings on five stratified folds; a fold with one class has no AUC."""
-    features = _staged(mlf.churn_features(kpis.customer_clv(tx(spark, folder))).complete(), "churn_features")
+    """The full churn settings on five stratified folds: mean AUC, and its deviation, to one decimal; null without a model."""
+    features = _churn_features(spark, folder)
+    if features is None:
+        nothing = F.lit(None).cast("double")
+        return _one_row(spark, cv_mean=nothing, cv_std=nothing)
     found = report.cross_validated_auc(features, models.CHURN_RISK)
-    return found.select(
-        F.coalesce(F.col("cv_mean").between(0.5, 1.0), F.lit(True)).alias("better_than_chance"),
-        F.coalesce(F.col("cv_std").between(0.0, 0.5), F.lit(True)).alias("deviation_in_bounds"),
+    return found.select(F.round("cv_mean", 1).alias("cv_mean"), F.round("cv_std", 1).alias("cv_std"))
+
+
+# Settings at the small end of what the searches draw from: no search ran for these rows.
+DELIVERY_SETTINGS = models.TreeSettings(trees=tuning.DELIVERY_SPACE.trees[0], depth=tuning.DELIVERY_SPACE.depth[0], learning_rate=0.1, min_leaf_rows=5)
+LTV_SETTINGS = models.TreeSettings(trees=tuning.LTV_SPACE.trees[0], depth=tuning.LTV_SPACE.depth[0], learning_rate=0.1, min_leaf_rows=5)
+
+
+def _calibrated_summary(features: mlf.FeatureSet, settings: models.TreeSettings, single: str) -> DataFrame:
+    """Calibrated scores of all rows by label, and whether they rank better than one feature does."""
+    train, _ = mlf.holdout_split(features.complete(), 0.20)
+    model = models.fit_calibrated(features.with_table(train), settings)
+    scored = stage(model.score(features.table, "probability").select("probability", "label", single), "calibrated_scores")
+    alone = stage(metrics.roc_auc(scored, single, "label"), "feature_auc").scalar()
+    learnt = stage(metrics.roc_auc(scored, "probability", "label"), "model_auc").scalar()
+    better = F.abs(learnt - 0.5) >= F.abs(alone - 0.5)
+    return scored.groupBy("label").agg(F.count("*").alias("rows"), F.count_if(_in_bounds("probability")).alias("in_bounds")).withColumns(
+        {"feature_auc": alone, "better_than_feature": better}
     )
 
 
+@query()
+def delivery_risk_scores(spark, folder):
+    """Probabilities of late delivery for all order items, out-of-fold calibrated."""
+    return _calibrated_summary(_staged(mlf.delivery_risk_features(tx(spark, folder)), "delivery_features"), DELIVERY_SETTINGS, "discount_rate")
+
+
+@query()
+def ltv_scores(spark, folder):
+    """Probabilities of high sales for all customers, out-of-fold calibrated."""
+    return _calibrated_summary(_staged(mlf.ltv_features(tx(spark, folder)), "ltv_features"), LTV_SETTINGS, "order_count")
+
+
+HPO_TRIALS, HPO_FOLDS = 12, 5
+
+
+@query()
+def hpo_pruning(spark, folder):
+    """Which trial stops after which fold: trials weigh the discount against the price to tell losses, folds are orders by number."""
+    items = tx(spark, folder, "order_id", "discount_rate", "unit_price", "profit")
+    trials = F.explode(F.sequence(F.lit(0), F.lit(HPO_TRIALS - 1)))
+    scored = items.select(
+        trials.alias("trial"), F.pmod("order_id", F.lit(HPO_FOLDS)).cast("int").alias("fold"),
+        "discount_rate", "unit_price", (F.col("profit") < 0).cast("int").alias("label"),
+    )
+    score = F.pmod(F.col("trial") * 5, F.lit(HPO_TRIALS)) * 1000 * F.col("discount_rate") - F.col("unit_price")
+    aucs = stage(metrics.roc_auc(scored.withColumn("score", score), "score", "label", group=("trial", "fold")), "fold_aucs")
+    return tuning.StoppingRule().outcome(aucs, HPO_FOLDS)
+
+
 @query()
 def calibrated_model_scores(spark, folder):
     """Out-of-fold calibrated scores of the full churn settings for every customer."""
@@ -1036,3 +1144,86 @@ def calibrated_scores(spark, folder):
     calibration.setPredictionCol("probability")
     counted = rows.groupBy("score").agg(F.count("*").alias("rows"), F.sum("label").alias("losses"))
     return calibration.transform(counted)
+
+
+# --- tables that are kept ----------------------------------------------------------
+
+SELECTION = {"customer_segment": ["BUILDING", "MACHINERY"], "market": ["ASIA", "EUROPE"]}
+
+
+@query()
+def routed_kpis(spark, folder):
+    """The headline numbers of every subset of three filters, from a cube that was written."""
+    items = tx(spark, folder, *cube.MEASURES, *cube.KEYS.values(), *filters.FILTER_DIMENSIONS)
+    path = staged_path(spark, "cube")
+    cube.write_cube(cube.build_cube(items), path)
+    kept = cube.read_cube(spark, path)
+    return _every_selection(kept)
+
+
+def _every_selection(kept: cube.Cube) -> DataFrame:
+    # as many categories as begin with a letter that some share
+    categories = kept.sums.filter(F.col("level") == kept.level(["category_name"])).filter("category_name < 'M'")
+    names = [r["category_name"] for r in categories.select("category_name").orderBy("category_name").collect()]
+    wanted = {**SELECTION, "category_name": names}
+    rows = None
+    for chosen in range(1 << len(wanted)):
+        own = {d: values for i, (d, values) in enumerate(sorted(wanted.items())) if chosen >> i & 1}
+        row = cube.routed_kpis(kept, **own).withColumn("filters", F.lit("+".join(own)))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+@query()
+def refreshed_totals(spark, folder):
+    """Result tables merged from partial totals, after three loads in odd order, one of them twice."""
+    columns = {k for keys in refresh.PARTIAL_KEYS.values() for k in keys} | {m for ms in refresh.MEASURES.values() for m in ms}
+    items = tx(spark, folder, "order_date", "ship_date", "scheduled_days", *sorted(columns - {"delivery_overrun_days"}))
+    items = stage(items, "items")
+    path, part = staged_path(spark, "refresh"), F.pmod(F.month("order_date"), F.lit(3))
+    for number in (2, 0, 2, 1):
+        refresh.load(items.filter(part == number), path, unit="month")
+    found = {
+        "monthly": refresh.monthly_trend(spark, path).select(
+            F.col("month").alias("key"), F.col("monthly_revenue").alias("total_sales"), F.col("monthly_profit").alias("total_profit"),
+            F.col("mom_revenue_growth_pct").alias("detail"),
+        ),
+        "category": refresh.category_agg(spark, path).select(F.col("category_name").alias("key"), "total_sales", "total_profit", F.col("revenue_share").alias("detail")),
+        "product": refresh.product_agg(spark, path).select(F.col("product_name").alias("key"), "total_sales", "total_profit", F.col("profit_per_unit").alias("detail")),
+        "shipping": refresh.shipping_agg(spark, path).select(F.col("shipping_mode").alias("key"), "total_sales", "total_profit", F.col("avg_overrun_days").alias("detail")),
+    }
+    for name, key in (("market", "market"), ("region", "order_region")):
+        found[name] = refresh.place_agg(spark, path, key).select(F.col(key).alias("key"), "total_sales", "total_profit", F.col("profit_margin_pct").alias("detail"))
+    rows = None
+    for name, table in found.items():
+        named = table.withColumn("result", F.lit(name))
+        rows = named if rows is None else rows.unionByName(named)
+    return rows
+
+
+@query()
+def clustered_selection(spark, folder):
+    """A selection from order items written in a folder per market, in the order of segment and category."""
+    path = tables.write_clustered(
+        tx(spark, folder), staged_path(spark, "clustered"), "transactions", ["market"], ["customer_segment", "category_name"], files=4
+    )
+    return row_summary(filters.cross_filter(spark.read.parquet(path), **SELECTION))
+
+
+@query()
+def bucketed_customer_join(spark, folder):
+    """Customer totals, lifetime value and segment from three tables bucketed by customer."""
+    return _bucketed_customers(spark, folder)
+
+
+def _bucketed_customers(spark: SparkSession, folder: str, buckets: int = 8) -> DataFrame:
+    items = stage(tx(spark, folder, "customer_id", "order_id", "sales", "profit", "discount_rate", "profit_ratio", "order_date"), "items")
+    made = {
+        "totals": aggregates.customer_agg(items, usual=()).select("customer_id", "total_sales", "order_count"),
+        "value": kpis.customer_clv(items).select("customer_id", "clv_score", "churn_risk"),
+        "segments": segments.rfm_segments(stage(segments.rfm_base(items), "rfm_base")).select("customer_id", "rfm_segment"),
+    }
+    path = staged_path(spark, "bucketed")
+    number = path.split("/")[-2]  # a name that no other table has
+    kept = {name: tables.write_bucketed(df, f"{path}/{name}", f"bucketed_{name}_{number}", "customer_id", buckets) for name, df in made.items()}
+    return kept["totals"].join(kept["value"].hint("merge"), "customer_id").join(kept["segments"].hint("merge"), "customer_id")
