@@ -630,11 +630,16 @@ BODIES: dict[str, str] = {
     ),
     "ui_sample": f"""SELECT discount_rate, profit, sales, customer_segment, category_name, product_name, market, profit_ratio,
         {BANDED} AS margin_band, shipping_mode, quantity, late_delivery_risk FROM {SAMPLE}""",
+    # the error from the plain variance over all sampled rows, those outside of the selection as 0
     "sample_scaled_kpis": f"""SELECT sales * scale AS estimated_revenue, profit * scale AS estimated_profit,
-        profit / sales * 100 AS margin_pct, cast(floor(n * scale) AS bigint) AS estimated_orders
-        FROM (SELECT MONEY(sales) AS sales, MONEY(profit) AS profit, count(*) AS n FROM {SAMPLE}
-          WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND market IN ('ASIA', 'EUROPE')),
-          (SELECT count(*) / least(count(*), 15000) AS scale FROM tx)""",
+        profit / sales * 100 AS margin_pct, cast(floor(n * scale) AS bigint) AS estimated_orders,
+        full_rows * sqrt((1 - sample_rows / full_rows) * sales_variance / sample_rows) AS revenue_error,
+        full_rows * sqrt((1 - sample_rows / full_rows) * profit_variance / sample_rows) AS profit_error
+        FROM (SELECT MONEY(CASE WHEN chosen THEN sales END) AS sales, MONEY(CASE WHEN chosen THEN profit END) AS profit,
+            count(*) FILTER (chosen) AS n, var_samp(CASE WHEN chosen THEN sales ELSE 0 END) AS sales_variance,
+            var_samp(CASE WHEN chosen THEN profit ELSE 0 END) AS profit_variance
+          FROM (SELECT *, customer_segment IN ('BUILDING', 'MACHINERY') AND market IN ('ASIA', 'EUROPE') AS chosen FROM {SAMPLE})),
+          (SELECT count(*) AS full_rows, least(count(*), 15000) AS sample_rows, count(*) / least(count(*), 15000) AS scale FROM tx)""",
     "stratified_split": f"""SELECT part, count(*) AS rows, avg(label) AS positive_share FROM (
         SELECT label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY h)
           <= floor(count(*) OVER (PARTITION BY label) * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS part

@@ -20,14 +20,14 @@ AMOUNTS = set(
         "log_price longitude median_profit median_sales mom_profit_growth_pct monetary monthly_profit "
         "monthly_revenue price_x_qty profit profit_density profit_per_unit profit_sum quantity recovered "
         "revenue revenue_at_risk rolling_profit rolling_revenue sales sales_sum simulated_profit "
-        "total_loss total_profit total_revenue total_sales unit_price units_sold"
+        "revenue_error profit_error total_loss total_profit total_revenue total_sales unit_price units_sold"
     ).split()
 )
 
 #: The double columns of each compared query.
 DOUBLES = {
     "ui_sample": "discount_rate profit sales profit_ratio quantity",
-    "sample_scaled_kpis": "estimated_revenue estimated_profit margin_pct",
+    "sample_scaled_kpis": "estimated_revenue estimated_profit margin_pct revenue_error profit_error",
     "stratified_split": "positive_share",
     "kpi_document": "discount_profit_correlation",
     "margin_risk_scores": "sales_sum",

@@ -7,6 +7,9 @@ Nothing is rounded here: what is shown or compared is rounded there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,6 +58,12 @@ def partial_sums(value: Column | str, name: str) -> list[Column]:
     return [F.coalesce(part, F.lit(0)).cast("decimal(38, 0)").alias(f"{name}_{kind}") for part, kind in zip(sums, PARTIALS, strict=True)]
 
 
+def exact_sum(parts: Sequence[int]) -> Fraction:
+    """The value of the first four kept sums, without rounding."""
+    large, whole, coarse, fine = parts
+    return large * int(LARGE) + whole + Fraction(coarse, int(PART)) + Fraction(fine, int(PART) ** 2)
+
+
 def merged_sums(name: str) -> list[Column]:
     """Kept sums of several groups as those of one; decimals hold them for any number of rows."""
     return [F.sum(f"{name}_{kind}").cast("decimal(38, 0)").alias(f"{name}_{kind}") for kind in PARTIALS]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS, Thresholds
 from profitlens.functions.arithmetic import holds
+from profitlens.functions.bitmap import Bitmap
 from profitlens.functions.dates import parsed_moment, whole_days
 from profitlens.functions.ordered import quantiles
 from profitlens.schema import CRITICAL_COLUMNS, OUTLIER_COLUMNS, TEXT_COLUMNS
@@ -22,9 +23,38 @@ def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
+def row_digest(df: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of the whole row; rows that are equal have equal ones."""
+    # hashes pass over nulls, so where they stand is hashed too
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(nulls, *columns), F.xxhash64(*columns, nulls, F.lit(1))
+
+
+def counted_rows(df: DataFrame, digest: Callable[[DataFrame], tuple[Column, Column]] = row_digest) -> DataFrame:
+    """Each distinct row once, with the number of its ``_copies``.
+
+    A first pass shuffles digests alone and keeps those that occur twice. They
+    form a bitmap: a row that it lacks has no copy and goes its way unshuffled,
+    only the others are compared in full. A digest that two different rows
+    share costs that comparison and nothing else. ``df`` is read twice; rows
+    travel once, if at all.
+    """
+    first, second = digest(df)
+    counts = df.select(first.alias("first"), second.alias("second")).groupBy("first", "second").agg(F.count("*").alias("n"))
+    repeated = stage(counts.filter("n > 1").select("first"), "repeated_digests")
+    n = repeated.count()
+    if not n:
+        return df.withColumn("_copies", F.lit(1).cast("bigint"))
+    maybe = Bitmap.of(repeated, "first", n).may_hold(first)
+    alone = df.filter(~maybe).withColumn("_copies", F.lit(1).cast("bigint"))
+    compared = df.filter(maybe).groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
+    return alone.unionByName(compared)
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Copies of a whole row are dropped; most vanish before the shuffle."""
-    return df.dropDuplicates()
+    """Copies of a whole row are dropped."""
+    return counted_rows(df).drop("_copies")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
@@ -114,18 +144,19 @@ def outliers_adaptive(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFra
 def clean_with_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """The clean rows, and one row that says how many rows each step took out.
 
-    Dropping copies shuffles whole rows, so its result is staged, with the
-    number of copies; statistics, filter and report then only scan it. Later
-    steps merely tag rows, so one scan yields all counts.
+    Later steps merely tag rows by a few columns. Those columns of the distinct
+    rows are staged, and statistics and report scan them; whole rows are not
+    copied, but read again where the result is written.
     """
-    distinct = stage(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), "distinct_rows")
+    distinct = counted_rows(df)
     complete = F.lit(True)
     for c in present(df, CRITICAL_COLUMNS):
         complete = complete & F.col(c).isNotNull()
     adds_up = money_adds_up(df, settings.financial_tolerance)
-    valid = distinct.filter(complete & adds_up)
-    method, usual = outlier_rule(valid, settings)
-    report = distinct.agg(
+    judged = dict.fromkeys([*present(df, CRITICAL_COLUMNS), *present(df, CHECK_COLUMNS), *present(df, OUTLIER_COLUMNS)])
+    measures = stage(distinct.select(*judged, "_copies"), "measures")
+    method, usual = outlier_rule(measures.filter(complete & adds_up), settings)
+    report = measures.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("initial_rows"),
         F.lit(len(df.columns)).cast("bigint").alias("initial_cols"),
         (F.coalesce(F.sum("_copies"), F.lit(0)) - F.count("*")).alias("dropped_duplicates"),
@@ -135,7 +166,7 @@ def clean_with_report(df: DataFrame, settings: Thresholds = DEFAULTS) -> tuple[D
         F.lit(method).alias("outlier_method"),
         F.count_if(complete & adds_up & usual).alias("final_rows"),
     )
-    return normalise_text(valid.filter(usual).drop("_copies")), report
+    return normalise_text(distinct.filter(complete & adds_up & usual).drop("_copies")), report
 
 
 def clean(df: DataFrame, settings: Thresholds = DEFAULTS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +11,11 @@ from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS
 from profitlens.functions.arithmetic import (
+    PARTIALS,
+    exact_sum,
     mean,
     min_max_soft,
+    partial_sums,
     pearson,
     percent,
     percent_or_zero,
@@ -22,6 +27,9 @@ from profitlens.operators.aggregates import order_count
 from profitlens.session import stage
 
 
+LARGEST_FACTOR = float(1 << 43)
+
+
 def macro_kpis(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margins, order value, customers and orders in one row.
 
@@ -280,29 +288,37 @@ def correlation_matrix(
     tx: DataFrame,
     columns: tuple[str, ...] = ("discount_rate", "profit", "sales", "quantity", "profit_ratio"),
 ) -> DataFrame:
-    """All pairwise correlations as a long table, in one pass.
+    """All pairwise correlations as a long table, from one pass that copies no row.
 
-    Each row is taken once per pair and combined right there: few groups and
-    few aggregates, which stay compiled where one aggregate per pair side by
-    side does not.
+    Rows are grouped by which of the columns they have, so that the sums of a
+    group serve all pairs whose columns it has. Values and products are summed
+    as whole numbers and put together as fractions: the result is the same
+    for any partitioning. At most 2^columns rows reach the driver. Values of 2^43
+    and more, whose products ``total`` does not take, count as missing.
     """
     columns = tuple(c for c in columns if c in tx.columns)
-    pairs = list(combinations_with_replacement(columns, 2))
-    first = second = F
-    for i, (a, b) in enumerate(pairs):
-        first = first.when(F.col("pair") == i, F.col(a).cast("double"))
-        second = second.when(F.col("pair") == i, F.col(b).cast("double"))
-    found = (
-        tx.withColumn("pair", F.explode(F.array(*[F.lit(i) for i in range(len(pairs))])))
-        .select("pair", first.alias("_x"), second.alias("_y"))
-        .groupBy("pair")
-        .agg(pearson("_x", "_y").alias("correlation"))
-    )
-    names = F.array(*[
-        F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in dict.fromkeys([(a, b), (b, a)])])
-        for a, b in pairs
-    ])
-    return found.select(F.inline(F.get(names, F.col("pair"))), "correlation")
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    numbers = tx.select(*[F.when(F.abs(F.col(c).cast("double")) < LARGEST_FACTOR, F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
+    has = sum((F.when(F.col(f"x{i}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(columns))), F.lit(0))
+    sums = [s for i in range(len(columns)) for s in partial_sums(f"x{i}", f"s{i}")[:-1]]
+    products = [s for i, j in pairs for s in partial_sums(F.col(f"x{i}") * F.col(f"x{j}"), f"p{i}_{j}")[:-1]]
+    groups = numbers.groupBy(has.alias("has")).agg(F.count("*").alias("n"), *sums, *products).collect()
+
+    def exact(name: str, i: int, j: int) -> Fraction:
+        both = 1 << i | 1 << j
+        return sum((exact_sum([int(g[f"{name}_{kind}"]) for kind in PARTIALS[:-1]]) for g in groups if g["has"] & both == both), Fraction(0))
+
+    found = []
+    for i, j in pairs:
+        n = sum(g["n"] for g in groups if g["has"] & (1 << i | 1 << j) == 1 << i | 1 << j)
+
+        def moment(a: int, b: int, n: int = n, i: int = i, j: int = j) -> Fraction:
+            return exact(f"p{a}_{b}", i, j) * n - exact(f"s{a}", i, j) * exact(f"s{b}", i, j)
+
+        spread, shared = moment(i, i) * moment(j, j), moment(i, j)
+        value = math.copysign(math.sqrt(shared * shared / spread), shared) if spread else None
+        found += [(columns[a], columns[b], value) for a, b in dict.fromkeys([(i, j), (j, i)])]
+    return tx.sparkSession.createDataFrame(found, "x string, y string, correlation double")
 
 
 def discount_profit_correlation(tx: DataFrame) -> DataFrame:

@@ -79,13 +79,27 @@ def ui_sample(
 def sample_scaled_kpis(
     sample: DataFrame, selection: DataFrame, full_rows: Column
 ) -> DataFrame:
-    """Estimate of a selection's totals: sample sums times full rows over sample rows."""
+    """Estimate of a selection's totals: sample sums times full rows over sample rows, with standard errors.
+
+    The error is that of a total over a random sample without replacement, in
+    which rows outside of the selection count as 0; it is 0 for a whole table.
+    """
+    rows = sample.agg(F.count("*")).scalar()
     sums = selection.agg(
-        total("sales").alias("sales"), total("profit").alias("profit"), F.count("*").alias("n")
-    ).withColumn("scale", F.try_divide(full_rows, sample.agg(F.count("*")).scalar()))
+        *[value for c in ("sales", "profit") for value in (total(c).alias(c), total(F.col(c) * F.col(c)).alias(f"{c}_squares"))],
+        F.count("*").alias("n"),
+    ).withColumns({"rows": rows, "full": full_rows, "scale": F.try_divide(full_rows, rows)})
+
+    def error(c: str) -> Column:
+        spread = F.try_divide(F.col(f"{c}_squares") - F.try_divide(F.col(c) * F.col(c), F.col("rows")), F.col("rows") - 1)
+        left_out = 1 - F.try_divide(F.col("rows"), F.col("full"))
+        return F.col("full") * F.sqrt(F.greatest(F.try_divide(left_out * spread, F.col("rows")), F.lit(0.0)))
+
     return sums.select(
         (F.col("sales") * F.col("scale")).alias("estimated_revenue"),
+        error("sales").alias("revenue_error"),
         (F.col("profit") * F.col("scale")).alias("estimated_profit"),
+        error("profit").alias("profit_error"),
         percent_or_zero(F.col("profit"), F.col("sales")).alias("margin_pct"),
         F.floor(F.col("n") * F.col("scale")).cast("bigint").alias("estimated_orders"),
     )

@@ -116,3 +116,47 @@ def test_selection_and_options(spark):
     assert [tuple(r) for r in filters.filter_options(df).collect()] == [
         ("customer_segment", "A"), ("customer_segment", "B"), ("market", "X"), ("market", "Y"),
     ]
+
+
+COPIED = [
+    (1, "a", 1.0, None), (1, "a", 1.0, None), (1, "a", None, 1.0), (1, None, 1.0, 1.0), (None, None, None, None), (None, None, None, None),
+    (2, "b", 0.0, 2.0), (2, "b", -0.0, 2.0), (3, "c", float("nan"), 1.0), (3, "c", float("nan"), 1.0), (4, "", 1.0, 1.0), (5, "x.y", 1.0, 1.0),
+]
+
+
+def counted(rows):
+    return sorted(repr(tuple(r)).replace("-0.0", "0.0") for r in rows)  # NaN equals itself in print
+
+
+@pytest.mark.parametrize("digest", [
+    cleaning.row_digest,
+    lambda df: (F.lit(7).cast("bigint"), F.lit(7).cast("bigint")),  # all digests clash
+    lambda df: (F.pmod(F.xxhash64("`k.1`"), F.lit(2)), F.lit(0).cast("bigint")),
+])
+def test_copies_are_counted_whatever_the_digests(spark, digest):
+    df = spark.createDataFrame(COPIED, "`k.1` int, t string, x double, y double").repartition(3)
+    found = cleaning.counted_rows(df, digest)
+    expected = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).count()
+    assert counted(found.collect()) == counted(expected.collect())
+    none = df.limit(0)
+    assert cleaning.counted_rows(none, digest).count() == 0
+
+
+def test_rows_without_copies_are_not_shuffled(spark):
+    """Of many rows a tenth are copies: the rows that travel are few, the digests narrow."""
+    wide = spark.range(5000).select(F.col("id"), *[F.md5(F.concat("id", F.lit(i))).alias(f"c{i}") for i in range(12)])
+    df = wide.unionByName(wide.filter("id % 20 = 0")).repartition(3)
+    found = cleaning.counted_rows(df)
+    assert found.count() == 5000 and found.filter("_copies = 2").count() == 250
+    first, _ = cleaning.row_digest(df)
+    copied = df.groupBy(first.alias("d")).count().filter("count > 1")
+    held = df.filter(cleaning.Bitmap.of(copied, "d", 250).may_hold(first)).count()
+    assert 500 <= held < 600  # the copies, and few others
+
+
+def test_a_full_bitmap_still_gives_whole_results(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id % 200 as a", "id % 200 as b").repartition(4)
+    of = cleaning.Bitmap.of
+    monkeypatch.setattr(cleaning.Bitmap, "of", classmethod(lambda cls, keys, key, rows: of(keys, key, rows, most_words=1)))
+    found = cleaning.counted_rows(df)
+    assert found.count() == 200 and found.filter("_copies = 2").count() == 100

@@ -1,5 +1,8 @@
 """Totals, ratios, correlation and dates on small tables."""
 
+import random
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +111,24 @@ def test_retention_counts_customers_once_per_month(spark):
     )
     got = {(r["cohort"], r["months_later"]): (r["customers"], r["retention"]) for r in kpis.cohort_retention(tx).collect()}
     assert got == {("2020-01", 0): (2, 1.0), ("2020-01", 2): (1, 0.5), ("2020-03", 0): (1, 1.0)}
+
+
+def test_correlations_have_the_same_bits_for_any_partitioning(spark):
+    rng = random.Random(2)
+    rows = [tuple(rng.choice([None, float("nan"), rng.gauss(1e6 * (i % 3), 3.0), 0.1 * rng.random()]) if rng.random() < 0.9 else None for i in range(4)) for _ in range(900)]
+    table = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    found = [kpis.correlation_matrix(table.repartition(n), ("a", "b", "c", "d")).collect() for n in (1, 3, 300)]
+    assert found[0] == found[1] == found[2]
+    frame = pd.DataFrame(rows, columns=list("abcd"), dtype=float)
+    for r in found[0]:
+        assert r["correlation"] == pytest.approx(frame[r["x"]].corr(frame[r["y"]]), abs=1e-9)
+
+
+def test_correlations_copy_no_row(spark, monkeypatch):
+    plans = []
+    table = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.5, 5.0), (3.0, 5.0, 5.0)], "a double, b double, c double")
+    collect = type(table).collect
+    monkeypatch.setattr(type(table), "collect", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), collect(self))[1])
+    rows = {(r["x"], r["y"]): r["correlation"] for r in kpis.correlation_matrix(table, ("a", "b", "c")).collect()}
+    assert len(plans) == 2 and "Generate" not in plans[0] and "Expand" not in plans[0]
+    assert rows["a", "a"] == 1.0 and rows["a", "b"] == rows["b", "a"] and rows["a", "c"] is None and rows["c", "c"] is None

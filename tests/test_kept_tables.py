@@ -2,7 +2,7 @@
 
 import random
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 from itertools import combinations
 
 import pytest
@@ -64,12 +64,12 @@ def test_a_selection_reads_one_level_of_the_cube(spark, items, tmp_path):
     plan = plan_of(cube.routed_kpis(cube.read_cube(spark, str(tmp_path)), market=["ASIA"]))
     # customer_segment, category_name, market: the two that are summed up
     assert len(re.findall(r"PartitionFilters: \[isnotnull\(level#\d+\), \(level#\d+ = 6\)\]", plan)) >= 2
-    assert "cube_sums" in plan and "cube_sets" in plan
+    assert "sales_large" in plan and "bitmap" in plan
 
 
 def test_the_registered_cube_answers_without_order_items(spark, data):
     plan = plan_of(queries.all_queries()["routed_kpis"](spark, data))
-    assert "lineitem" not in plan and "cube_sums" in plan
+    assert "l_extendedprice" not in plan and "l_orderkey" not in plan and "sales_large" in plan and "bitmap" in plan
 
 
 def test_a_cube_without_orders_counts_rows(spark, items):
@@ -80,7 +80,9 @@ def test_a_cube_without_orders_counts_rows(spark, items):
 
 @pytest.mark.parametrize("unit", ["day", "month"])
 def test_loads_in_any_order_equal_a_rebuild(spark, data, tmp_path, unit):
-    items = star.transactions(spark, data).filter("order_date < '1992-05-01'")
+    items = star.transactions(spark, data)
+    first = items.agg(F.min("order_date")).first()[0]
+    items = items.filter(F.col("order_date") < first + timedelta(days=100))
     folder, third = str(tmp_path), F.pmod(F.month("order_date") if unit == "month" else F.dayofyear("order_date"), F.lit(3))
     for number in (1, 2, 1, 0):
         refresh.load(items.filter(third == number), folder, unit)
@@ -122,13 +124,20 @@ def clustered(spark, data, tmp_path_factory):
     return items, spark.read.parquet(path)
 
 
+def files_read(df):
+    shown = df.select("sales")
+    shown.collect()
+    leaves = shown._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
 def test_clustered_tables_are_pruned(spark, clustered):
     items, kept = clustered
     chosen = filters.cross_filter(kept, market=["ASIA", "EUROPE"], customer_segment=["BUILDING"])
     plan = plan_of(chosen)
     assert re.search(r"PartitionFilters: \[market#\d+ IN \(ASIA,EUROPE\)\]", plan)
     assert re.search(r"PushedFilters: \[.*customer_segment", plan)
-    assert len(chosen.inputFiles()) < len(kept.inputFiles()) / 2
+    assert files_read(chosen) < files_read(kept) / 2
     assert chosen.count() == filters.cross_filter(items, market=["ASIA", "EUROPE"], customer_segment=["BUILDING"]).count()
 
 
