@@ -10,7 +10,7 @@ the long tail of rare terms ends at a few short prefixes and never reaches the
 tables of counts. Refinement ends when no prefix is left to extend.
 
 Texts are split into terms once; the distinct terms of each row, with their
-counts, are staged in blocks with a dictionary each, and every level reads them
+counts, are staged in blocks of one language with a dictionary each, and every level reads them
 there: work on bytes is done per dictionary, the rest on numbers. Tasks count
 per block, Spark sums before and after the shuffle. The prefixes of a level go
 to the next one as a bitmap of fixed size, hashed: a prefix that passes by
@@ -33,14 +33,12 @@ no rows; columns other than the three named play no part.
 from __future__ import annotations
 
 import string
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +51,8 @@ TERM_TABLE = bytes(b | 0x20 if chr(b) in string.ascii_uppercase else b if b >= 0
 SEED = 42
 UNIT = 1_000_000_000
 SHIFTS = (0, 20, 40)
-BLOCKS = "langs array<string>, sources array<string>, terms binary, codes binary, counts binary, ends binary, of binary"
+DENSE = 1 << 23  # cells of an array that is filled instead of sorted
+BLOCKS = "lang string, sources array<string>, terms binary, sizes binary, codes binary, counts binary, lengths binary, of binary"
 SUMS = "lang string, source string, item string, value long"
 
 
@@ -61,7 +60,8 @@ SUMS = "lang string, source string, item string, value long"
 class AuditSettings:
     """``least_docs`` documents make a kept term; ``smoothing`` is added to each count; ``top`` ranks of terms are listed.
 
-    ``first_level`` is the length of the first prefixes, ``filter_bits`` the bitmap of surviving ones (1 MB).
+    ``first_level`` is the length of the first prefixes, ``filter_bits`` the bitmap of surviving ones (1 MB),
+    ``part_bytes`` the text that a task holds at once.
     """
 
     least_docs: int = 30
@@ -69,6 +69,7 @@ class AuditSettings:
     top: int = 50
     first_level: int = 2
     filter_bits: int = 1 << 23
+    part_bytes: int = 1 << 22
     tile_sources: int = 512
     block_terms: int = 256
 
@@ -77,88 +78,122 @@ def next_level(length: int) -> int:
     return length + max(1, length // 2)
 
 
-def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", postings: int = 1_000_000) -> DataFrame:
-    """Blocks of rows with the distinct terms of each, coded by a dictionary of the block.
+def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", settings: AuditSettings = AuditSettings()) -> DataFrame:
+    """Blocks of rows of one language with the distinct terms of each row, coded by a dictionary of the block.
 
-    A block holds about ``postings`` (row, term) pairs, or one longer row. A
-    group is a (language, source) of the block.
+    Blocks are made of about ``part_bytes`` of text, or of one longer row.
     """
 
     def name(c: str) -> Column:
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
 
     own = docs.select(name(lang), name(source), F.col(f"`{text}`").cast("binary"))
+    part_bytes = settings.part_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
-        for part in (p for batch in batches for p in slices(batch)):
-            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                block.add(*row)
-                if len(block.codes) >= postings:
-                    yield block.batch()
-                    block = _Block()
-        if block.ends:
-            yield block.batch()
+        for rows in _parts(batches, part_bytes):
+            for group, own in rows.items():
+                yield _block(group, own)
+                pa.default_memory_pool().release_unused()
 
     return own.mapInArrow(run, BLOCKS)
 
 
-class _Block:
-    """Rows taken in so far."""
-
-    def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], int] = {}
-        self.terms: dict[bytes, int] = {}
-        self.codes, self.counts, self.ends, self.of = array("i"), array("q"), array("q"), array("i")
-
-    def add(self, lang: str, source: str, text: bytes | None) -> None:
-        found = Counter(text.translate(TERM_TABLE).split()) if text else {}
-        numbers = self.terms
-        self.codes.extend([numbers.setdefault(term, len(numbers)) for term in found])
-        self.counts.extend(found.values())
-        self.ends.append(len(self.codes))
-        self.of.append(self.groups.setdefault((lang, source), len(self.groups)))
-
-    def batch(self) -> pa.RecordBatch:
-        langs, sources = ([g[i] for g in self.groups] for i in (0, 1))
-        packed = [b"\0".join(self.terms), *(a.tobytes() for a in (self.codes, self.counts, self.ends, self.of))]
-        columns = [pa.array([langs], pa.list_(pa.string())), pa.array([sources], pa.list_(pa.string())), *[pa.array([p], pa.binary()) for p in packed]]
-        return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in BLOCKS.split(", ")])
+def _parts(batches: Iterator[pa.RecordBatch], part_bytes: int) -> Iterator[dict[str, list[tuple[str, bytes]]]]:
+    """(source, translated text) by language, some megabytes at a time."""
+    rows, size = {}, 0
+    for batch in (part for whole in batches for part in slices(whole)):
+        for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            shown = text.translate(TERM_TABLE) if text else b""
+            rows.setdefault(lang, []).append((source, shown))
+            size += len(shown)
+            if size >= part_bytes:
+                yield rows
+                rows, size = {}, 0
+    if rows:
+        yield rows
+
+
+def _block(lang: str, rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    """Split the texts, and count the terms of each."""
+    texts = pa.array([text for _, text in rows], pa.binary())
+    split = pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(rows), *texts.buffers()[1:]))
+    row = np.repeat(np.arange(len(rows)), np.diff(split.offsets.to_numpy()))
+    coded = split.values.view(pa.binary()).dictionary_encode()
+    names, code = coded.dictionary, coded.indices.to_numpy()
+    sizes = pc.binary_length(names).to_numpy()
+    full = sizes[code] > 0  # before leading and after trailing blanks there are empty ones
+    distinct, count = np.unique(row[full] * len(sizes) + code[full], return_counts=True)
+    row, code = distinct // max(1, len(sizes)), distinct % max(1, len(sizes))
+    numbers: dict[str, int] = {}
+    of = [numbers.setdefault(source, len(numbers)) for source, _ in rows]
+    terms = names.buffers()[2].to_pybytes()[: int(sizes.sum())] if len(names) else b""
+    packed = (sizes, code, count, np.bincount(row, minlength=len(rows)), np.array(of, np.int64))
+    columns = [pa.array([lang]), pa.array([list(numbers)], pa.list_(pa.string())), pa.array([terms], pa.binary())]
+    columns += [pa.array([_narrow(a)], pa.binary()) for a in packed]
+    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in BLOCKS.split(", ")])
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """In as few bytes a value as the largest needs, which come first."""
+    largest = int(values.max(initial=0))
+    kind = np.uint8 if largest < 1 << 8 else np.uint16 if largest < 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+
+
+def _widened(packed: pa.Buffer) -> np.ndarray:
+    return np.frombuffer(packed, np.dtype(f"u{packed[0]}"), offset=1).astype(np.int32)
 
 
 @dataclass
 class _Postings:
     """A block read back: its dictionary, and a row number, term number and count per posting."""
 
-    langs: list[bytes]  # of each group
+    lang: str
     sources: list[str]
-    terms: list[bytes]
-    group: np.ndarray  # of each row
+    of: np.ndarray  # the source of each row
+    letters: np.ndarray  # of all terms, one after another
+    sizes: np.ndarray
     row: np.ndarray
     code: np.ndarray
     count: np.ndarray
 
-    def keep(self, wanted: np.ndarray) -> None:
-        self.row, self.code, self.count = self.row[wanted], self.code[wanted], self.count[wanted]
+    @property
+    def terms(self) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(self.sizes), [None, pa.py_buffer(ends), pa.py_buffer(self.letters)])
 
-    def held(self, names: list[bytes], code: np.ndarray, alive: PrefixFilter) -> np.ndarray:
-        """For each posting, whether the bitmap holds its language with its name."""
-        langs, lang = _numbered(self.langs)
-        at, distinct = pd.factorize(lang[self.group[self.row]] * len(names) + code)
-        keys = [langs[k // len(names)] + b"\0" + names[k % len(names)] for k in distinct.tolist()]
-        return alive.holds(keys)[at]
+    def hashes(self, which: np.ndarray, length: int | None = None) -> np.ndarray:
+        """Of the first ``length`` bytes of these terms, each of which has as many, or of all their bytes."""
+        starts = (np.cumsum(self.sizes) - self.sizes)[which]
+        return _hashes(self.lang, self.letters, starts, self.sizes[which] if length is None else np.full(len(which), length))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Postings]:
     for batch in batches:
         for i in range(batch.num_rows):
-            block = batch.slice(i, 1).to_pylist()[0]
-            ends = np.frombuffer(block["ends"], np.int64)
-            row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-            terms = block["terms"].split(b"\0") if block["codes"] else []
-            code, count = np.frombuffer(block["codes"], np.int32).astype(np.int64), np.frombuffer(block["counts"], np.int64)
-            langs = [g.encode() for g in block["langs"]]
-            yield _Postings(langs, block["sources"], terms, np.frombuffer(block["of"], np.int32).astype(np.int64), row, code, count)
+            letters = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint8)
+            sizes, code, count, lengths, of = (_widened(batch.column(c)[i].as_buffer()) for c in range(3, 8))
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            yield _Postings(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), of, letters, sizes, row, code, count)
+            pa.default_memory_pool().release_unused()
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
+        h = (h ^ h >> np.uint64(shift)) * np.uint64(factor)
+    return h ^ h >> np.uint64(32)
+
+
+def _hashes(lang: str, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of (language, bytes), for all slices at once; no slice is empty."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    ends = np.cumsum(sizes)
+    inside = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
+    place = _mixed(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    parts = _mixed((letters[inside + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)) * place[inside])
+    return _mixed(np.add.reduceat(parts, ends - sizes) + np.uint64(xxhash.xxh64_intdigest(lang.encode(), SEED)))
 
 
 class PrefixFilter:
@@ -167,57 +202,82 @@ class PrefixFilter:
     def __init__(self, words: np.ndarray):
         self.words = words
 
-    def holds(self, keys: list[bytes]) -> np.ndarray:
-        hashes = np.array([xxhash.xxh64_intdigest(k, SEED) for k in keys], np.uint64)
-        bits = np.uint64(len(self.words) * 64 - 1)
-        found = np.ones(len(keys), bool)
+    def _places(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
         for shift in SHIFTS:
-            place = hashes >> np.uint64(shift) & bits
+            yield hashes >> np.uint64(shift) & np.uint64(len(self.words) * 64 - 1)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.ones(len(hashes), bool)
+        for place in self._places(hashes):
             found &= (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
         return found
 
     @classmethod
     def of(cls, prefixes: DataFrame, bits: int) -> PrefixFilter:
-        """From (lang, term); at most ``bits`` / 64 words reach the driver."""
-        h = F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("term").cast("binary")))
-        places = [F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(bits - 1)) for shift in SHIFTS]
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
-        found = prefixes.select(F.explode(F.array(*places)).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
-        table = found.agg(F.bit_or(bit).alias("bits")).toArrow()
-        words = np.zeros(bits // 64, np.uint64)
+        """From (lang, term), no term empty; at most ``bits`` / 64 words reach the driver."""
+        empty = cls(np.zeros(bits // 64, np.uint64))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = empty.words.copy()
+            for batch in batches:
+                langs, terms = batch.column(0).to_pylist(), batch.column(1)
+                sizes = pc.binary_length(terms).to_numpy()
+                starts = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset : terms.offset + len(terms)]
+                letters = np.frombuffer(terms.buffers()[2], np.uint8)
+                by_lang: dict[str, list[int]] = {}
+                for i, lang in enumerate(langs):
+                    by_lang.setdefault(lang, []).append(i)
+                for lang, own in by_lang.items():
+                    for place in empty._places(_hashes(lang, letters, starts[own], sizes[own])):
+                        np.bitwise_or.at(words, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+            used = np.flatnonzero(words)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used].view(np.int64))], ["word", "bits"])
+
+        found = prefixes.select("lang", F.col("term").cast("binary")).mapInArrow(run, "word long, bits long")
+        table = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        words = empty.words.copy()
         words[table["word"].to_numpy()] = table["bits"].to_numpy().astype(np.int64).view(np.uint64)
         return cls(words)
 
 
-def _numbered(values: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The distinct values, and the number of each value."""
-    numbers: dict[bytes, int] = {}
-    codes = np.array([numbers.setdefault(v, len(numbers)) for v in values], np.int64)
-    return list(numbers), codes
+def _documents(row: np.ndarray, name: np.ndarray, rows: int, names: int) -> np.ndarray:
+    """For each name, in how many rows it stands; a row may hold it several times."""
+    if rows * names <= DENSE:
+        seen = np.zeros(rows * names, bool)
+        seen[row * names + name] = True
+        return seen.reshape(rows, names).sum(axis=0)
+    return np.bincount(np.unique(row * names + name) % names, minlength=names)
 
 
 def _count_level(block: _Postings, shorter: int, length: int, alive: PrefixFilter | None) -> Iterator[pa.RecordBatch]:
     """Documents of the terms that end below ``length`` bytes, and of the prefixes of the others."""
-    size = np.array([len(t) for t in block.terms], np.int64)
-    if alive is not None and len(block.code):
-        block.keep(size[block.code] >= shorter)
-        prefixes, before = _numbered([t[:shorter] for t in block.terms])
-        block.keep(block.held(prefixes, before[block.code], alive))
-    if not len(block.code):
+    size = block.sizes
+    wanted = size >= max(1, shorter)
+    if alive is not None:
+        asked = np.flatnonzero(wanted)
+        wanted[asked] = alive.holds(block.hashes(asked, shorter))
+    ended, longer = np.flatnonzero(wanted & (size < length)), np.flatnonzero(wanted & (size >= length))
+    if not len(ended) + len(longer):
         return
-    langs, lang = _numbered(block.langs)
-    ended = size[block.code] < length
-    after_names, after = _numbered([t[:length] for t in block.terms])
-    n = len(after_names)
-    # a term that ended and the prefix of a longer one are never equal; a document counts once for each
-    seen = pd.unique(block.row * n + after[block.code])
-    at, distinct = pd.factorize(lang[block.group[seen // n]] * n + seen % n)
-    complete = np.zeros(n, bool)
-    complete[after[block.code[ended]]] = True
-    names = distinct % n
+    # a term stands once among the postings of a row
+    held, terms = np.bincount(block.code, minlength=len(size)), block.terms
+    coded = pc.binary_slice(terms.take(pa.array(longer)), 0, length).dictionary_encode()
+    prefixes, after = coded.dictionary, coded.indices.to_numpy()
+    of_prefix = np.bincount(after, held[longer], len(prefixes)).astype(np.int64)
+    # only prefixes of several terms can meet a row twice
+    several = np.flatnonzero(np.bincount(after, minlength=len(prefixes)) > 1)
+    if len(several):
+        number = np.full(len(prefixes), -1)
+        number[several] = np.arange(len(several))
+        of_term = np.full(len(size), -1)
+        of_term[longer] = number[after]
+        name = of_term[block.code]
+        inside = np.flatnonzero(name >= 0)
+        of_prefix[several] = _documents(block.row[inside], name[inside], len(block.of), len(several))
+    n = len(ended) + len(prefixes)
     columns = [
-        pa.array([langs[g].decode() for g in (distinct // n).tolist()], pa.string()), pa.array([after_names[p] for p in names.tolist()], pa.binary()),
-        pa.array(complete[names]), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64()),
+        pa.array([block.lang] * n, pa.string()), pa.concat_arrays([terms.take(pa.array(ended)), prefixes]),
+        pa.array(np.arange(n) < len(ended)), pa.array(np.concatenate([held[ended], of_prefix]), pa.int64()),
     ]
     yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "complete", "docs"])
 
@@ -251,16 +311,24 @@ def source_counts(blocks: DataFrame, kept: DataFrame, settings: AuditSettings =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            if not len(block.code):
-                continue
-            block.keep(block.held(block.terms, block.code, alive))
-            n = len(block.terms)
-            at, distinct = pd.factorize(block.group[block.row] * n + block.code)
-            total = np.bincount(at, block.count, len(distinct)).astype(np.int64)
-            group = (distinct // n).tolist()
+            wanted = np.flatnonzero(block.sizes)
+            wanted = wanted[alive.holds(block.hashes(wanted))]
+            number = np.full(len(block.sizes), -1)
+            number[wanted] = np.arange(len(wanted))
+            name = number[block.code]
+            inside = np.flatnonzero(name >= 0)
+            cell = block.of[block.row[inside]] * len(wanted) + name[inside]
+            if len(block.sources) * len(wanted) <= DENSE:
+                total = np.bincount(cell, block.count[inside], len(block.sources) * len(wanted))
+                distinct = np.flatnonzero(total)
+                total = total[distinct]
+            else:
+                distinct, at = np.unique(cell, return_inverse=True)
+                total = np.bincount(at, block.count[inside], len(distinct))
+            of, name = distinct // max(1, len(wanted)), distinct % max(1, len(wanted))
             columns = [
-                pa.array([block.langs[g].decode() for g in group], pa.string()), pa.array([block.sources[g] for g in group], pa.string()),
-                pa.array([block.terms[t] for t in (distinct % n).tolist()], pa.binary()), pa.array(total),
+                pa.array([block.lang] * len(distinct), pa.string()), pa.array(block.sources, pa.string()).take(pa.array(of)),
+                block.terms.take(pa.array(wanted[name])), pa.array(total.astype(np.int64)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "occurrences"])
 
@@ -278,14 +346,13 @@ def probability(count: str, total: str, terms: str, smoothing: int) -> Column:
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", settings: AuditSettings = AuditSettings()) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has the other sources, part ``term`` the overused terms."""
-    blocks = stage(document_terms(docs, text, lang, source), "document_terms")
+    blocks = stage(document_terms(docs, text, lang, source, settings), "document_terms")
     kept = stage(term_counts(blocks, settings).filter(F.col("docs") >= settings.least_docs), "kept_terms")
     own = stage(source_counts(blocks, kept, settings), "kept_counts")
     whole = own.groupBy("lang", "term").agg(F.sum("occurrences").alias("in_lang"))
     of_lang = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
     of_source = own.groupBy("lang", "source").agg(F.sum("occurrences").alias("total"))
-    groups = blocks.select(F.col("langs").alias("lang"), F.col("sources").alias("source"))
-    every = groups.select(F.inline(F.arrays_zip("lang", "source"))).distinct()
+    every = blocks.select("lang", F.explode("sources").alias("source")).distinct()
     sources = every.join(of_source, ["lang", "source"], "left").join(of_lang, "lang", "left")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     sources = stage(sources.fillna(0, ["total", "terms", "lang_total"]).withColumn("place", place), "sources")
