@@ -673,7 +673,7 @@ BODIES: dict[str, str] = {
         FROM (SELECT late_delivery_risk AS label FROM tx), ({_auc("tx", "discount_rate", "late_delivery_risk")}) GROUP BY label""",
     "ltv_scores": f"""SELECT label, count(*) AS rows, count(*) AS in_bounds, any_value(auc) AS feature_auc, true AS better_than_feature
         FROM ltv_table, ({_auc("ltv_table", "order_count", "label")}) GROUP BY label""",
-    "hpo_pruning": """SELECT trial, stopped_after, avg(auc) AS mean_auc, count(*) AS folds_run FROM (
+    "hpo_pruning": """SELECT trial, stopped_after IS NOT NULL AS stopped, avg(auc) AS mean_auc, count(*) AS folds_run FROM (
         SELECT *, min(CASE WHEN fold < 4 AND others >= 5 AND so_far < middle THEN fold END) OVER (PARTITION BY trial) AS stopped_after
         FROM (SELECT *, count(*) OVER w AS others, quantile_cont(so_far, 0.5) OVER w AS middle
           FROM (SELECT *, avg(auc) OVER (PARTITION BY trial ORDER BY fold) AS so_far FROM fold_aucs)

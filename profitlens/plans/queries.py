@@ -1120,7 +1120,8 @@ def hpo_pruning(spark, folder):
     )
     score = F.pmod(F.col("trial") * 5, F.lit(HPO_TRIALS)) * 1000 * F.col("discount_rate") - F.col("unit_price")
     aucs = stage(metrics.roc_auc(scored.withColumn("score", score), "score", "label", group=("trial", "fold")), "fold_aucs")
-    return tuning.StoppingRule().outcome(aucs, HPO_FOLDS)
+    outcome = tuning.StoppingRule().outcome(aucs, HPO_FOLDS)
+    return outcome.select("trial", F.col("stopped_after").isNotNull().alias("stopped"), "folds_run", "mean_auc")
 
 
 @query()
