@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.llm.text import add_columns, code_points, cut, slices
+from profitlens.llm.text import add_columns, code_point_places, cut, slices
 
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LONG_RUN = 32
@@ -181,10 +181,9 @@ def find_secrets(docs: DataFrame, text: str = "text", keep=None) -> DataFrame:
         keywords = automaton()
 
         def named(data: bytes | None) -> list[dict]:
-            return [
-                {"kind": KINDS[k].name, "start": code_points(data, start), "end": code_points(data, end)}
-                for start, k, end in scan(data, keywords)
-            ]
+            spans = scan(data, keywords)
+            at = code_point_places(data or b"", (place for start, _, end in spans for place in (start, end)))
+            return [{"kind": KINDS[k].name, "start": at[start], "end": at[end]} for start, k, end in spans]
 
         return lambda texts: [pa.array([named(t) for t in texts], kind)]
 

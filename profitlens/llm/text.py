@@ -39,6 +39,15 @@ def code_points(data: bytes, end: int) -> int:
     return len(data[:end].decode("utf-8", "ignore"))
 
 
+def code_point_places(data: bytes, places: Iterable[int]) -> dict[int, int]:
+    """For each byte position at the beginning of a character, the number of characters before it; one walk over the text."""
+    found, at, count = {}, 0, 0
+    for place in sorted(set(places)):
+        count += len(data[at:place].decode("utf-8", "ignore"))
+        at, found[place] = place, count
+    return found
+
+
 def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Union of half-open ranges, in order."""
     result: list[tuple[int, int]] = []

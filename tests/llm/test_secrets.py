@@ -8,6 +8,7 @@ from zlib import crc32
 import pytest
 
 from profitlens.llm import queries, secrets
+from profitlens.llm.text import code_point_places, code_points
 from tests.llm.odd import documents, nothing
 
 BASE = [
@@ -26,7 +27,7 @@ def plain(text):
 def scanned(text):
     keywords, data = secrets.automaton(), (text or "").encode()
     return [
-        (secrets.KINDS[k].name, secrets.code_points(data, a), secrets.code_points(data, b)) for a, k, b in secrets.scan(data, keywords)
+        (secrets.KINDS[k].name, code_points(data, a), code_points(data, b)) for a, k, b in secrets.scan(data, keywords)
     ]
 
 
@@ -125,3 +126,23 @@ def test_odd_rows(spark):
     assert kept[6]["text"] == '[secret]" é' and kept[6]["n_chars"] == len('[secret]" é')
     assert kept[3]["text"] is None and kept[2]["text"] == "" and kept[1]["text"].startswith("The quick")
     assert secrets.find_secrets(nothing(spark)).count() == 0 and secrets.redact(nothing(spark)).count() == 0
+
+
+def test_positions_in_texts_of_many_secrets_take_one_walk():
+    """Ten times the text takes about ten times the steps, not a hundred times; positions stay code points."""
+    text = "é " + " ".join(f"ü token=abcdefgh{i:05d}" for i in range(20_000))
+    data = text.encode()
+    spans = secrets.scan(data, secrets.automaton())
+    assert len(spans) == 20_000
+    at = code_point_places(data, (p for a, _, b in spans for p in (a, b)))
+    assert [text[at[a] : at[b]] for a, _, b in spans] == [data[a:b].decode() for a, _, b in spans]
+    walked = []
+
+    class Counted(bytes):
+        def __getitem__(self, key):
+            part = bytes.__getitem__(self, key)
+            walked.append(len(part))
+            return part
+
+    code_point_places(Counted(data), (p for a, _, b in spans for p in (a, b)))
+    assert sum(walked) <= len(data)
