@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from profitlens.llm import queries, toxicity
 from tests.llm.odd import documents, nothing
 
-SETTINGS = toxicity.FactorSettings(epochs=30, least_chi2=0.0, least_documents=1)
+SETTINGS = toxicity.FactorSettings(epochs=30, least_documents=1)
 
 
 def test_margin_is_the_sum_over_pairs():
@@ -31,7 +32,7 @@ def test_pairs_are_learnt_that_additive_weights_miss():
         fill = random.choices(["alpha", "beta", "gamma", "delta"], k=3)
         texts.append(" ".join(fill + ["vermin"] * one + ["newcomers"] * two))
         labels.append(float(one == two))
-    settings = toxicity.FactorSettings(epochs=60, least_chi2=0.0, stems=())
+    settings = toxicity.FactorSettings(epochs=60, stems=())
     rows = [toxicity.term_buckets(t.encode(), settings.bits, ()) for t in texts]
     model = toxicity.fit_rows(rows, np.array(labels), settings)
     right = (toxicity.score_rows(model, rows) >= 0.5) == np.array(labels)
@@ -55,6 +56,48 @@ def test_pairs_are_learnt_with_the_settings_in_use(stems):
     assert right.mean() > 0.95
 
 
+@pytest.mark.parametrize("opposite", [False, True])
+def test_pairs_are_learnt_in_texts_of_hundreds_of_terms(opposite):
+    """Both or neither of two words, or exactly one, among 650 other terms; judged on texts that were not learnt from."""
+    rng, settings = random.Random(1), toxicity.FactorSettings()
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(3000)]
+    rows, labels = [], []
+    for _ in range(14_000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        text = " ".join(rng.choices(vocabulary, k=190) + ["vermin"] * one + ["newcomers"] * two)
+        rows.append(toxicity.term_buckets(text.encode(), settings.bits, settings.stems))
+        labels.append(float((one == two) != opposite))
+    labels = np.array(labels)
+    assert np.mean([len(r) for r in rows]) > 600
+    model = toxicity.fit_rows(rows[:12_000], labels[:12_000], settings)
+    right = (toxicity.score_rows(model, rows[12_000:]) >= 0.5) == labels[12_000:]
+    assert right.mean() > 0.95
+    without = toxicity.FactorModel(model.bits, model.stems, model.bias, model.weights, np.zeros_like(model.factors))
+    assert ((toxicity.score_rows(without, rows[12_000:]) >= 0.5) == labels[12_000:]).mean() < 0.8
+
+
+def test_scores_of_whole_documents_by_the_formula(spark):
+    """Every document of a table against the sum over all pairs of its terms."""
+    folder = "/root/testdata/sf0.001"
+    model = toxicity.FactorModel(10, (3, 4), -0.5, *(np.random.default_rng(2).normal(0, s, shape).astype(np.float32) for s, shape in ((0.1, 1 << 10), (0.02, (1 << 10, 3)))))
+    docs = queries.table(spark, folder, "documents")
+    for row in toxicity.score(docs, model, column="score").collect():
+        found = set(re.findall(rb"[a-z0-9\x80-\xff]+", (row["text"] or "").encode().lower()))
+        terms = {toxicity.crc32(w) & 1023 for w in found} | {toxicity.crc32(w[:n], n) & 1023 for w in found for n in (3, 4) if len(w) > n}
+        terms = np.array(sorted(terms), int)
+        gram = model.factors[terms].astype(float) @ model.factors[terms].astype(float).T
+        margin = model.bias + model.weights[terms].astype(float).sum() + (gram.sum() - np.trace(gram)) / 2
+        assert row["score"] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-6)
+
+
+def test_the_sample_is_bounded_if_one_key_has_all_rows(spark):
+    docs = spark.range(900).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), (F.col("id") % 2).alias("toxic"))
+    settings = toxicity.FactorSettings(fit_rows=100, weight_epochs=1, epochs=1)
+    assert toxicity.labelled_terms(docs, "doc_id", "text", "toxic", settings).count() == 100
+    model = toxicity.fit(docs, "doc_id", "text", "toxic", settings)
+    assert 0.0 < toxicity.score_rows(model, [np.zeros(0, np.int64)])[0] < 1.0
+
+
 def test_toxic_documents_go_from_a_small_table(spark):
     folder = "/root/testdata/sf0.001"
     docs, labels = queries.table(spark, folder, "documents"), queries.table(spark, folder, "labels")
