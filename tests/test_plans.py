@@ -10,7 +10,8 @@ QUERIES = all_queries()
 
 # Fitting a model takes long and its scoring plan is the library's own.
 FITTED = {
-    "margin_risk_scores", "churn_scores", "feature_importance", "permutation_importance", "calibrated_scores",
+    "margin_risk_scores", "margin_importance", "margin_attributions", "margin_attribution_sums", "delivery_risk_scores", "ltv_scores",
+    "churn_scores", "feature_importance", "permutation_importance", "calibrated_scores",
     "model_report", "cross_validated_auc", "calibrated_model_scores",
 }
 
