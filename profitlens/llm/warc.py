@@ -29,6 +29,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from profitlens.functions.bitmap import Bitmap
 from profitlens.session import stage, staged_path
 
 BREAK = "\r\n"
@@ -50,8 +52,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 class ArchiveSettings:
     """``least_bytes`` of payload make a revisit worthwhile; the other values bound files, runs and ranges.
 
-    Cut keys go to all tasks, so there are at most ``most_ranges``: beyond their
-    product with ``range_rows``, ranges grow.
+    Cut keys go to all tasks, so there are at most ``most_ranges`` at first; in
+    a larger index each range is cut once more, by keys that only its own slices meet.
     """
 
     least_bytes: int = 1_000
@@ -75,9 +77,13 @@ def _decided(captures: DataFrame, settings: ArchiveSettings) -> DataFrame:
     """Captures with digest, size and the key they refer to (null for responses)."""
     sized = captures.withColumns({"digest": F.sha1(F.col("payload")), "size": F.octet_length("payload")})
     groups = sized.filter(F.col("size") >= settings.least_bytes).groupBy("digest")
-    shared = groups.agg(F.count("*").alias("n"), F.max("key").alias("largest")).filter("n > 1").drop("n")
-    joined = sized.join(shared.withColumnRenamed("digest", "of"), (F.col("digest") == F.col("of")) & (F.col("size") >= settings.least_bytes), "left")
-    return joined.withColumn("refers", F.when(F.coalesce(F.col("key") < F.col("largest"), F.lit(True)), F.col("largest")))
+    shared = stage(groups.agg(F.count("*").alias("n"), F.max("key").alias("largest")).filter("n > 1").drop("n"), "shared_digests")
+    # payloads that no other capture has, and small ones, are not shuffled to learn it
+    hashed = F.xxhash64("digest")
+    maybe = Bitmap.of(shared.select(hashed.alias("hash")), "hash", shared.count()).may_hold(hashed) & (F.col("size") >= settings.least_bytes)
+    alone = sized.filter(~maybe).withColumn("largest", F.lit(None).cast(shared.schema["largest"].dataType))
+    compared = sized.filter(maybe).join(shared.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left").drop("of")
+    return alone.unionByName(compared).withColumn("refers", F.when(F.coalesce(F.col("key") < F.col("largest"), F.lit(True)), F.col("largest")))
 
 
 def record_text(rows: DataFrame) -> DataFrame:
@@ -231,55 +237,104 @@ def order_key(row: tuple) -> tuple:
     return row[0], row[1] or "", row[2], row[3]
 
 
+def _pieces(held: list[tuple], cuts: list[tuple]) -> Iterator[tuple[int, list[tuple]]]:
+    """Sorted lines cut at the keys, each piece with its number."""
+    at, number = 0, 0
+    while at < len(held):
+        while number < len(cuts) and order_key(held[at]) >= cuts[number]:
+            number += 1
+        end = at
+        while end < len(held) and (number == len(cuts) or order_key(held[end]) < cuts[number]):
+            end += 1
+        yield number, held[at:end]
+        at = end
+
+
+def _packed(lines: list[tuple]) -> bytes:
+    sink, block = pa.BufferOutputStream(), _arrow(lines, LINES)
+    with pa.ipc.new_stream(sink, block.schema) as out:
+        out.write_batch(block)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(block: bytes) -> Iterator[tuple]:
+    for batch in pa.ipc.open_stream(block):
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _slices_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], SLICES.names)
+
+
+SLICES = T.StructType([T.StructField("outer", T.LongType()), T.StructField("inner", T.LongType()), T.StructField("slice", T.BinaryType())])
+
+
+def _cut_again(runs: DataFrame, picked: DataFrame, cuts: list[tuple], inner: int) -> DataFrame:
+    """Each range of ``runs`` divided into ``inner`` ranges by sampled keys of its own."""
+    names = ["url_key", "captured", "archive", "offset"]
+    schema = T.StructType([T.StructField("outer", T.LongType()), *[LINES[n] for n in names]])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            yield _arrow([(bisect_right(cuts, order_key(k)), *k) for k in keys], schema)
+
+    numbered = picked.select(*names).mapInArrow(number, schema)
+    ordered = numbered.groupBy("outer").agg(F.array_sort(F.collect_list(F.struct(*[F.coalesce(n, F.lit("")).alias(n) if n == "captured" else F.col(n) for n in names]))).alias("keys"))
+    places = F.sequence(F.lit(1), F.lit(inner - 1))
+    chosen = ordered.select("outer", F.transform(places, lambda i: F.get("keys", F.floor(F.size("keys") * i / inner).cast("int"))).alias("cuts"))
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = sorted(tuple(c[n] for n in names) for c in row["cuts"] or [] if c)
+                yield _slices_batch([(row["outer"], n, _packed(piece)) for n, piece in _pieces(list(_opened(row["slice"])), own)])
+
+    return runs.select("outer", "slice").join(chosen, "outer", "left").select("outer", "slice", "cuts").mapInArrow(divide, SLICES)
+
+
 def merge_index(lines: DataFrame, settings: ArchiveSettings = ArchiveSettings()) -> DataFrame:
     """``lines`` in global order: index_range, then index_position within the range."""
     rows = lines.count()
-    ranges = min(settings.most_ranges, max(1, math.ceil(rows / settings.range_rows)))
-    share = min(1 << 30, int((1 << 30) * 20 * ranges / max(1, rows)))
-    picked = lines.filter(F.pmod(F.xxhash64("archive", "offset"), F.lit(1 << 30)) < share)
-    keys = sorted(order_key(tuple(r)) for r in picked.select("url_key", "captured", "archive", "offset").collect()) if ranges > 1 else []
+    wanted = max(1, math.ceil(rows / settings.range_rows))
+    ranges = min(settings.most_ranges, wanted)
+    inner = math.ceil(wanted / ranges)
+
+    def sample(keys: int) -> DataFrame:
+        share = min(1 << 30, int((1 << 30) * 20 * keys / max(1, rows)))
+        return lines.filter(F.pmod(F.xxhash64("archive", "offset"), F.lit(1 << 30)) < share)
+
+    names = ["url_key", "captured", "archive", "offset"]
+    keys = sorted(order_key(tuple(r)) for r in sample(ranges).select(*names).collect()) if ranges > 1 else []
     cuts = [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
     size = settings.run_rows
 
     def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def run_of(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        def run_of(held: list[tuple]) -> pa.RecordBatch:
             held.sort(key=order_key)
-            at, number = 0, 0
-            while at < len(held):
-                while number < len(cuts) and order_key(held[at]) >= cuts[number]:
-                    number += 1
-                end = at
-                while end < len(held) and (number == len(cuts) or order_key(held[end]) < cuts[number]):
-                    end += 1
-                sink = pa.BufferOutputStream()
-                block = _arrow(held[at:end], LINES)
-                with pa.ipc.new_stream(sink, block.schema) as out:
-                    out.write_batch(block)
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["index_range", "slice"])
-                at = end
+            return _slices_batch([(number, 0, _packed(piece)) for number, piece in _pieces(held, cuts)])
 
         held: list[tuple] = []
         for batch in batches:
             held += zip(*(c.to_pylist() for c in batch.columns), strict=True)
             while len(held) >= size:
-                yield from run_of(held[:size])
+                yield run_of(held[:size])
                 held = held[size:]
-        yield from run_of(held)
+        yield run_of(held)
 
     schema = T.StructType([T.StructField("index_range", T.LongType()), T.StructField("index_position", T.LongType()), *LINES])
 
     def merge(key, group):
-        def opened(block: bytes) -> Iterator[tuple]:
-            for batch in pa.ipc.open_stream(block):
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield order_key(row), row
-
-        runs = [opened(block) for block in group.column("slice").to_pylist()]
-        merged = [(key[0].as_py(), i, *row) for i, (_, row) in enumerate(LoserTree(runs))]
+        runs = [((order_key(row), row) for row in _opened(block)) for block in group.column("slice").to_pylist()]
+        place = key[0].as_py() * inner + key[1].as_py()
+        merged = [(place, i, *row) for i, (_, row) in enumerate(LoserTree(runs))]
         return pa.Table.from_batches([_arrow(merged, schema)])
 
-    runs = lines.select(*LINES.names).mapInArrow(sort_runs, "index_range long, slice binary")
-    return runs.groupBy("index_range").applyInArrow(merge, schema)
+    runs = lines.select(*LINES.names).mapInArrow(sort_runs, SLICES)
+    if inner > 1:
+        runs = _cut_again(runs, sample(wanted), cuts, inner)
+    return runs.groupBy("outer", "inner").applyInArrow(merge, schema)
 
 
 def archive_and_index(

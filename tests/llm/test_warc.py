@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
@@ -58,6 +59,27 @@ def test_hot_payload_and_url(spark):
     assert index.select("index_range").distinct().count() > 4  # one URL, several ranges
 
 
+def test_ranges_beyond_the_first_cuts_are_cut_again(spark):
+    random.seed(3)
+    rows = [(i, random.choice(["http://hot.example.com/", f"http://h{i % 30}.example.com/{i}", None]), BIG if i % 4 else None) for i in range(300)]
+    settings = warc.ArchiveSettings(run_rows=25, range_rows=10, most_ranges=3)
+    index = warc.archive_and_index(pages(spark, rows), settings=settings).orderBy("index_range", "index_position").collect()
+    assert answered(index) == expected(rows)
+    order = [warc.order_key((r["url_key"], r["captured"], r["archive"], r["offset"])) for r in index]
+    assert order == sorted(order)
+    sizes = Counter(r["index_range"] for r in index)
+    assert len(sizes) > 10 and max(sizes.values()) < 60
+
+
+def test_payloads_that_no_other_capture_has_are_not_shuffled(spark):
+    rows = [(i, "http://a.example.com/", f"{i}" * 400 if i % 10 else BIG if i < 50 else None) for i in range(200)]
+    captures = spark.createDataFrame([(i, u, h or "", None) for i, u, h in rows], "key long, url string, payload string, captured timestamp")
+    decided = warc._decided(captures, warc.ArchiveSettings())
+    assert decided.count() == 200 and decided.filter("refers is not null").count() == 4
+    plan = decided._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" in plan
+
+
 def test_empty_table(spark):
     assert warc.archive_and_index(pages(spark, [])).count() == 0
 
