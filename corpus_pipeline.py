@@ -1,4 +1,14 @@
-"""The corpus pipeline: five operators over the documents, each stage written before the next reads it."""
+"""The corpus pipeline: five operators over the documents, each stage written before the next reads it.
+
+Every stage takes any table with the columns of documents, others beside them.
+A null text counts as empty: its toxicity is the bias alone, it has the
+fingerprint zero, repeats no benchmark, holds no secret and packs as no words.
+Of a group of near duplicates, repeated rows among them, the row with the
+smallest doc_id stays; of several with that key, or if none has a key, the one
+with the smallest hash of all columns. Whole texts are read, however long. An empty table passes all
+stages and gives no rows. The first four stages return the columns of their
+input; the last returns where the pieces lie.
+"""
 
 from __future__ import annotations
 
