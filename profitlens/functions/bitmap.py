@@ -47,3 +47,15 @@ class Bitmap:
     def may_hold(self, key: Column) -> Column:
         place, mask = _place_and_mask(key, self.words)
         return F.get(self.table.scalar(), place).bitwiseAND(mask) == mask
+
+
+def divided(df: DataFrame, may_hold: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows that a bitmap may hold, and the others.
+
+    Asked once per row, in a projection. As a mere filter it would be pushed
+    into the joins that made ``df``, and be computed there several times over; a
+    filter on a partition number stays where it is.
+    """
+    asked = df.select("*", may_hold.alias("_held"), F.spark_partition_id().alias("_place"))
+    parts = (asked.filter((F.col("_held") == wanted) & (F.col("_place") >= 0)).drop("_held", "_place") for wanted in (True, False))
+    return next(parts), next(parts)

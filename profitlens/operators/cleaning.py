@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from profitlens.config import DEFAULTS, Thresholds
 from profitlens.functions.arithmetic import holds
-from profitlens.functions.bitmap import Bitmap
+from profitlens.functions.bitmap import Bitmap, divided
 from profitlens.functions.dates import parsed_moment, whole_days
 from profitlens.functions.ordered import quantiles
 from profitlens.schema import CRITICAL_COLUMNS, OUTLIER_COLUMNS, TEXT_COLUMNS
@@ -26,9 +26,11 @@ def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def row_digest(df: DataFrame) -> tuple[Column, Column]:
     """Two 64-bit hashes of the whole row; rows that are equal have equal ones."""
     # hashes pass over nulls, so where they stand is hashed too
-    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return F.xxhash64(nulls, *columns), F.xxhash64(*columns, nulls, F.lit(1))
+    words = [F.lit(0).cast("bigint") for _ in range(0, len(columns), 63)]
+    for i, c in enumerate(columns):
+        words[i // 63] = words[i // 63] + F.when(c.isNull(), F.lit(1 << i % 63)).otherwise(F.lit(0))
+    return F.xxhash64(*columns, *words), F.xxhash64(*words, *columns)
 
 
 def counted_rows(df: DataFrame, digest: Callable[[DataFrame], tuple[Column, Column]] = row_digest) -> DataFrame:
@@ -46,10 +48,9 @@ def counted_rows(df: DataFrame, digest: Callable[[DataFrame], tuple[Column, Colu
     n = repeated.count()
     if not n:
         return df.withColumn("_copies", F.lit(1).cast("bigint"))
-    maybe = Bitmap.of(repeated, "first", n).may_hold(first)
-    alone = df.filter(~maybe).withColumn("_copies", F.lit(1).cast("bigint"))
-    compared = df.filter(maybe).groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
-    return alone.unionByName(compared)
+    maybe, alone = divided(df, Bitmap.of(repeated, "first", n).may_hold(first))
+    compared = maybe.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
+    return alone.withColumn("_copies", F.lit(1).cast("bigint")).unionByName(compared)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
