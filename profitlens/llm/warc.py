@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.functions.bitmap import Bitmap
+from profitlens.functions.bitmap import Bitmap, divided
 from profitlens.session import stage, staged_path
 
 BREAK = "\r\n"
@@ -80,9 +80,10 @@ def _decided(captures: DataFrame, settings: ArchiveSettings) -> DataFrame:
     shared = stage(groups.agg(F.count("*").alias("n"), F.max("key").alias("largest")).filter("n > 1").drop("n"), "shared_digests")
     # payloads that no other capture has, and small ones, are not shuffled to learn it
     hashed = F.xxhash64("digest")
-    maybe = Bitmap.of(shared.select(hashed.alias("hash")), "hash", shared.count()).may_hold(hashed) & (F.col("size") >= settings.least_bytes)
-    alone = sized.filter(~maybe).withColumn("largest", F.lit(None).cast(shared.schema["largest"].dataType))
-    compared = sized.filter(maybe).join(shared.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left").drop("of")
+    held = Bitmap.of(shared.select(hashed.alias("hash")), "hash", shared.count()).may_hold(hashed)
+    maybe, alone = divided(sized, held & (F.col("size") >= settings.least_bytes))
+    alone = alone.withColumn("largest", F.lit(None).cast(shared.schema["largest"].dataType))
+    compared = maybe.join(shared.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left").drop("of")
     return alone.unionByName(compared).withColumn("refers", F.when(F.coalesce(F.col("key") < F.col("largest"), F.lit(True)), F.col("largest")))
 
 
