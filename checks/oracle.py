@@ -366,6 +366,16 @@ BODIES: dict[str, str] = {
     "csv_scan": """SELECT customer_id, order_id, product_name, market,
         strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date,
         quantity, sales, profit, discount_rate, late_delivery_risk FROM tx""",
+    "csv_encodings": """SELECT product_name || ' é Übergröße ñ' AS product_name, count(*) AS rows, MONEY(sales) AS total_sales
+        FROM tx GROUP BY 1""",
+    "orphan_keys": " UNION ALL ".join(
+        f"SELECT '{name}.{key}' AS link, count(*) AS rows FROM {name} WHERE {key} NOT IN (SELECT {own} FROM {lookup})"
+        for name, key, lookup, own in (
+            ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+            ("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"),
+        )
+    ),
     "normalise_columns": """SELECT customer_id, MONEY(benefit_per_order) AS benefit_per_order,
         MONEY(profit) AS profit FROM tx GROUP BY customer_id""",
     "typed_transactions": """SELECT order_id, CASE WHEN quantity NOT IN (48, 49) THEN quantity END AS quantity, sales,

@@ -34,6 +34,7 @@ DOUBLES = {
     "churn_scores": "total_revenue",
     "feature_importance": "gains",
     "hpo_pruning": "mean_auc",
+    "csv_encodings": "total_sales",
     "delivery_risk_scores": "feature_auc",
     "ltv_scores": "feature_auc",
     "routed_kpis": "revenue profit margin_pct average_order_value",

@@ -17,7 +17,6 @@ from profitlens.functions.arithmetic import (
     min_max_soft,
     partial_sums,
     pearson,
-    percent,
     percent_or_zero,
     ratio,
     total,

@@ -60,6 +60,7 @@ def share_of_base(df: DataFrame, column: str) -> DataFrame:
     return value_counts(df, column).withColumn("share_pct", F.col("customers") / base * 100)
 
 
+# Names of the value classes.
 VIP, BLEEDER, LOW_VALUE, STANDARD = (
     "VIP (High Value)",
     "Bleeder (High Vol, Loss)",
@@ -118,6 +119,7 @@ def product_efficiency(products: DataFrame) -> DataFrame:
     return rated.withColumn("product_efficiency_index", index)
 
 
+# Names of the quadrants.
 STARS, NICHE, CASH_COWS, DOGS = (
     "Stars (High Vol, High Margin)",
     "Niche (Low Vol, High Margin)",

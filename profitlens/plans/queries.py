@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The test discounts end at 10 %, so policy queries use a cap inside that range.
 CAP = 0.05
 LOW_CAPS = (0.02, 0.03, 0.04, 0.05, 0.06, 0.07, 0.08)
+ACCENTS = " é Übergröße ñ"
 MONEY_KEYS = ["customer_id", "order_id", "product_name", "sales", "discount_rate", "ship_date"]
 
 _registry: dict[str, Query] = {}
@@ -125,6 +126,22 @@ def csv_scan(spark, folder):
     return csv.read_transactions_csv(spark, path).withColumn("order_date", F.col("order_date").cast("string"))
 
 
+@query()
+def csv_encodings(spark, folder):
+    """Names beyond ASCII from a folder in which one file is Latin-1 and the other UTF-8, told apart value by value."""
+    named = tx(spark, folder, "customer_id", "order_id", "product_name", "sales").withColumn("product_name", F.concat("product_name", F.lit(ACCENTS)))
+    path = staged_path(spark, "encodings")
+    for name, rest in (("ISO-8859-1", 0), ("UTF-8", 1)):
+        csv.write_transactions_csv(named.filter(F.pmod("order_id", F.lit(2)) == rest), f"{path}/{name}", name)
+    found = csv.read_transactions_csv(spark, f"{path}/*")
+    return found.groupBy("product_name").agg(F.count("*").alias("rows"), total("sales").alias("total_sales"))
+
+
+@query()
+def orphan_keys(spark, folder):
+    return star.orphans(spark, folder)
+
+
 @query()
 def normalise_columns(spark, folder):
     raw = tx(spark, folder).select(

@@ -65,7 +65,7 @@ def read_transactions_csv(spark: SparkSession, path: str, encoding: str | None =
     return cast_tolerant(named if encoding else named.withColumns({c: decoded(F.col(c)) for c in texts}))
 
 
-def write_transactions_csv(df: DataFrame, path: str) -> None:
+def write_transactions_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Write with the raw header names, the counterpart of ``read_transactions_csv``."""
     raw_names = {ours: raw for raw, (ours, _) in RAW_COLUMNS.items()}
     columns = [
@@ -76,6 +76,7 @@ def write_transactions_csv(df: DataFrame, path: str) -> None:
         df.select(*columns)
         .write.mode("overwrite")
         .option("header", True)
+        .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)

@@ -36,6 +36,25 @@ PLACE_COLUMNS = {"market", "order_region", "order_country", "latitude", "longitu
 PART_COLUMNS = {"product_name", "category_name", "department_name", "profit", "profit_ratio", "benefit_per_order"}
 
 
+LINKS = (
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+)
+
+
+def orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """(link, rows): rows whose key is in no lookup table. ``transactions`` leaves lookups out only where all are 0."""
+    found = None
+    for name, key, lookup, own in LINKS:
+        missing = table(spark, folder, name).select(key).join(table(spark, folder, lookup).select(own), F.col(key) == F.col(own), "left_anti")
+        row = missing.agg(F.count("*").alias("rows")).select(F.lit(f"{name}.{key}").alias("link"), "rows")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def _orders(spark: SparkSession, folder: str, needed: set[str]) -> DataFrame:
     """Orders, with the customers and places that are needed."""
     orders = table(spark, folder, "orders")
@@ -57,8 +76,8 @@ def transactions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     columns travel on the smaller order side. Which sides are broadcast is left
     to the size statistics; skewed keys are split by adaptive execution.
 
-    Every key of this schema is found in its lookup table, so a lookup none of
-    whose columns is asked for is left out.
+    Every key of this schema is found in its lookup table (``orphans`` counts
+    those that are not), so a lookup none of whose columns is asked for is left out.
     """
     items = table(spark, folder, "lineitem")
     paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
