@@ -51,11 +51,17 @@ def total(value: Column | str) -> Column:
 PARTIALS = ("large", "whole", "coarse", "fine", "n")
 
 
+#: A sum of the first may come near 2^63 for one row; the others grow by 2^24 a row, so 64 bits hold them for 2^39 rows.
+KEPT_TYPES = ("decimal(38, 0)", "bigint", "bigint", "bigint", "bigint")
+
+
 def partial_sums(value: Column | str, name: str) -> list[Column]:
     """Aggregates that a table can keep: the four sums of ``total``, and how many values counted."""
     pieces = _pieces(value)
     sums = [F.sum(piece) for piece in pieces] + [F.count(pieces[0])]
-    return [F.coalesce(part, F.lit(0)).cast("decimal(38, 0)").alias(f"{name}_{kind}") for part, kind in zip(sums, PARTIALS, strict=True)]
+    return [
+        F.coalesce(part, F.lit(0)).cast(kept).alias(f"{name}_{kind}") for part, kind, kept in zip(sums, PARTIALS, KEPT_TYPES, strict=True)
+    ]
 
 
 def exact_sum(parts: Sequence[int]) -> Fraction:
@@ -65,8 +71,8 @@ def exact_sum(parts: Sequence[int]) -> Fraction:
 
 
 def merged_sums(name: str) -> list[Column]:
-    """Kept sums of several groups as those of one; decimals hold them for any number of rows."""
-    return [F.sum(f"{name}_{kind}").cast("decimal(38, 0)").alias(f"{name}_{kind}") for kind in PARTIALS]
+    """Kept sums of several groups as those of one."""
+    return [F.sum(f"{name}_{kind}").cast(kept).alias(f"{name}_{kind}") for kind, kept in zip(PARTIALS, KEPT_TYPES, strict=True)]
 
 
 def merged_total(name: str) -> Column:

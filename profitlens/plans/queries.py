@@ -1197,10 +1197,12 @@ def refreshed_totals(spark, folder):
     """Result tables merged from partial totals, after three loads in odd order, one of them twice."""
     columns = {k for keys in refresh.PARTIAL_KEYS.values() for k in keys} | {m for ms in refresh.MEASURES.values() for m in ms}
     items = tx(spark, folder, "order_date", "ship_date", "scheduled_days", *sorted(columns - {"delivery_overrun_days"}))
-    items = stage(items, "items")
-    path, part = staged_path(spark, "refresh"), F.pmod(F.month("order_date"), F.lit(3))
+    loads, path = staged_path(spark, "loads"), staged_path(spark, "refresh")
+    dealt = items.withColumn("part", F.pmod(F.month("order_date"), F.lit(3)))
+    dealt.write.partitionBy("part").parquet(loads)
+    arrived = spark.read.schema(dealt.schema).parquet(loads)
     for number in (2, 0, 2, 1):
-        refresh.load(items.filter(part == number), path, unit="month")
+        refresh.load(arrived.filter(F.col("part") == number).drop("part"), path, unit="month", kept=True)
     found = {
         "monthly": refresh.monthly_trend(spark, path).select(
             F.col("month").alias("key"), F.col("monthly_revenue").alias("total_sales"), F.col("monthly_profit").alias("total_profit"),

@@ -13,6 +13,9 @@ Rows without an order date are in the partition of the missing day.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,23 +36,58 @@ MEASURES = {
     "places": ("sales", "profit", "profit_ratio", "quantity", "delivery_overrun_days"),
     "products": ("sales", "profit", "quantity", "discount_rate"),
 }
+#: Partial tables whose keys have nearly as many values in a unit as there are rows.
+MANY_KEYS = ("products",)
+ROWS_A_TASK = 1 << 17
 MISSING_DAY = "none"
 
 
 def partial_totals(tx: DataFrame, table: str, unit: str = "day") -> DataFrame:
     """(unit, keys, partial sums) of the order items."""
-    rows = with_delivery_overrun(tx)
-    keys = [k for k in PARTIAL_KEYS[table] if k in rows.columns]
-    measures = [m for m in MEASURES[table] if m in rows.columns]
-    when = F.coalesce(F.substring(F.col("order_date").cast("date").cast("string"), 1, UNITS[unit]), F.lit(MISSING_DAY)).alias("unit")
-    return rows.groupBy(when, *keys).agg(*[p for m in measures for p in partial_sums(m, m)])
-
-
-def load(tx: DataFrame, folder: str, unit: str = "day") -> None:
-    """Replace the partial totals of the units that the load holds."""
-    staged = stage(tx, "load")
-    for table in PARTIAL_KEYS:
-        totals = partial_totals(staged, table, unit).repartition("unit")
+    return _summed(_in_units(tx, unit), table)
+
+
+def _in_units(tx: DataFrame, unit: str) -> DataFrame:
+    day = F.col("order_date").cast("date").cast("string")
+    return with_delivery_overrun(tx).withColumn("unit", F.coalesce(F.substring(day, 1, UNITS[unit]), F.lit(MISSING_DAY)))
+
+
+def _present(rows: DataFrame, names: Sequence[str]) -> list[str]:
+    return [c for c in names if c in rows.columns]
+
+
+def _summed(rows: DataFrame, table: str, *further: str) -> DataFrame:
+    sums = [p for m in _present(rows, MEASURES[table]) for p in partial_sums(m, m)]
+    return rows.groupBy("unit", *further, *_present(rows, PARTIAL_KEYS[table])).agg(*sums)
+
+
+def _dealt(rows: DataFrame, table: str) -> DataFrame:
+    """Partial totals by one shuffle, of the narrow rows; a task has few units, and a large unit several tasks.
+
+    Where few rows share their keys, sums made before a shuffle are nearly as
+    many as the rows and several times as wide.
+    """
+    keys = _present(rows, PARTIAL_KEYS[table])
+    sizes = stage(rows.groupBy("unit").agg(F.count("*").alias("unit_rows")), "unit_rows")
+    tasks = ceil((sizes.agg(F.sum("unit_rows")).first()[0] or 1) / ROWS_A_TASK)
+    piece = F.pmod(F.xxhash64(*keys), F.ceil(F.col("unit_rows") / ROWS_A_TASK)).alias("piece")
+    needed = rows.join(sizes, "unit").select("unit", piece, *keys, *_present(rows, MEASURES[table]))
+    return _summed(needed.repartition(tasks, "unit", "piece"), table, "piece").drop("piece")
+
+
+def load(tx: DataFrame, folder: str, unit: str = "day", kept: bool = False) -> None:
+    """Replace the partial totals of the units that the load holds.
+
+    The rows are read once or twice per partial table. They are staged for that,
+    unless they are ``kept`` in files as they are and cost no more than a read.
+    """
+    rows = _in_units(tx if kept else stage(tx, "load"), unit)
+    for table, keys in PARTIAL_KEYS.items():
+        if table in MANY_KEYS and _present(rows, keys):
+            totals = _dealt(rows, table)
+        else:
+            # small units share a task, a large one is cut
+            totals = _summed(rows, table).hint("rebalance", F.col("unit"))
         totals.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("unit").parquet(_path(folder, table))
 
 
@@ -95,7 +133,9 @@ def category_agg(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_agg(spark: SparkSession, folder: str) -> DataFrame:
-    totals = _of(_partials(spark, folder, "products"), "product_name", "product_name").drop("order_count")
+    # a product has a row per unit at most: nothing to add up before the shuffle
+    partials = _partials(spark, folder, "products").repartition("product_name")
+    totals = _of(partials, "product_name", "product_name").drop("order_count")
     columns = ["product_name", "total_sales", "total_profit", "units_sold", "avg_discount"]
     return totals.select(*columns, ratio_or_zero(F.col("total_profit"), F.col("units_sold")).alias("profit_per_unit"))
 

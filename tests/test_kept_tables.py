@@ -154,3 +154,22 @@ def test_bucketed_tables_meet_without_an_exchange(spark, data):
     plan = plan_of(joined)
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
     assert joined.count() == star.transactions(spark, data).select("customer_id").distinct().count()
+
+
+def test_a_large_unit_is_written_by_several_tasks(spark, items, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "ROWS_A_TASK", 300, raising=False)
+    rows = items.withColumns({
+        "order_date": F.lit("1995-01-05").cast("timestamp_ntz"), "product_name": F.concat("category_name", F.col("order_id").cast("string")),
+        "quantity": F.lit(1.0), "discount_rate": F.lit(0.1),
+    })
+    refresh.load(rows, str(tmp_path), "month")
+    assert len(list((tmp_path / "partials_products.parquet" / "unit=1995-01").glob("*.parquet"))) > 3
+    kept = refresh.product_agg(spark, str(tmp_path)).orderBy("product_name")
+    named = aggregates.product_agg(rows).filter("product_name IS NOT NULL").select(kept.columns).orderBy("product_name")
+    assert kept.collect() == named.collect()
+
+
+def test_kept_sums_of_small_steps_are_narrow(spark):
+    kept = spark.range(3).select(F.col("id").cast("double").alias("v")).agg(*arithmetic.partial_sums("v", "v"))
+    assert [t for _, t in kept.dtypes] == ["decimal(38,0)"] + ["bigint"] * 4
+    assert kept.agg(*arithmetic.merged_sums("v")).dtypes == kept.dtypes
