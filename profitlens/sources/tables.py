@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from math import ceil
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,8 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from profitlens.functions.arithmetic import null_if_not_finite
 
+ROWS_A_FILE = 1 << 19
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The parquet table, or an empty one with the same columns if there is none; numbers that are not finite are null."""
@@ -41,15 +44,19 @@ def write_clustered(
 ) -> str:
     """A parquet table in a folder per partition value, rows in the order of ``cluster_by`` inside.
 
-    Rows are dealt out in ranges of all these columns, ``files`` times as many as
-    there are combinations of partition values at most, so a large partition is
+    Rows are dealt out in ranges of all these columns, so a large partition is
     several files of neighbouring values, whose statistics let a scan skip them.
+    There are ``files`` times as many ranges as partition values, and more where a
+    range would have over ``ROWS_A_FILE`` rows. Rows that agree in all these
+    columns are divided by the hash of the whole row: no value makes a large task.
     Selections of partition values read no other folder.
     """
     path = f"{folder.rstrip('/')}/{name}.parquet"
     keys = [*partition_by, *cluster_by]
-    values = df.select(*partition_by).distinct().count()
-    ranged = df.repartitionByRange(max(1, values * files), *keys).sortWithinPartitions(*keys)
+    sizes = df.groupBy(*partition_by).agg(F.count("*").alias("rows"))
+    values, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    ranges = max(1, values * files, ceil(rows / ROWS_A_FILE))
+    ranged = df.repartitionByRange(ranges, *keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
     ranged.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
     return path
 

@@ -173,3 +173,13 @@ def test_kept_sums_of_small_steps_are_narrow(spark):
     kept = spark.range(3).select(F.col("id").cast("double").alias("v")).agg(*arithmetic.partial_sums("v", "v"))
     assert [t for _, t in kept.dtypes] == ["decimal(38,0)"] + ["bigint"] * 4
     assert kept.agg(*arithmetic.merged_sums("v")).dtypes == kept.dtypes
+
+
+def test_one_value_of_the_keys_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_A_FILE", 100, raising=False)
+    rows = spark.range(1000).select("id", F.lit("ASIA").alias("market"), F.lit("AUTO").alias("customer_segment"))
+    path = tables.write_clustered(rows, str(tmp_path), "t", ["market"], ["customer_segment"])
+    kept = spark.read.parquet(path)
+    sizes = [r["count"] for r in kept.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 300
+    assert sorted(r["id"] for r in kept.collect()) == list(range(1000))
