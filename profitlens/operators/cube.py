@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from profitlens.session import stage
 
 MEASURES = ("sales", "profit")
 KEYS = {"customer": "customer_id", "order": "order_id"}
+IDS_A_TASK = 1 << 19
+BITMAPS_A_TASK = 1 << 12  # 16 MB a level
 
 
 @dataclass(frozen=True)
@@ -41,11 +44,15 @@ class Cube:
 
     def level(self, filtered: Sequence[str]) -> int:
         """A bit per dimension, the last one lowest, set where it is summed up."""
-        return sum(1 << i for i, d in enumerate(reversed(self.dimensions)) if d not in filtered)
+        return _level(self.dimensions, filtered)
 
 
-def _grouping_sets(dimensions: Sequence[str], always: Sequence[str] = ()) -> list[list]:
-    return [[F.col(c) for c in (*always, *chosen)] for n in range(len(dimensions), -1, -1) for chosen in combinations(dimensions, n)]
+def _level(dimensions: Sequence[str], filtered: Sequence[str]) -> int:
+    return sum(1 << i for i, d in enumerate(reversed(dimensions)) if d not in filtered)
+
+
+def _grouping_sets(dimensions: Sequence[str]) -> list[list]:
+    return [[F.col(c) for c in chosen] for n in range(len(dimensions), -1, -1) for chosen in combinations(dimensions, n)]
 
 
 def build_cube(tx: DataFrame, dimensions: tuple[str, ...] = FILTER_DIMENSIONS) -> Cube:
@@ -59,20 +66,38 @@ def build_cube(tx: DataFrame, dimensions: tuple[str, ...] = FILTER_DIMENSIONS) -
         level, F.sum("rows").alias("rows"), *[p for m in MEASURES for p in merged_sums(m)]
     )
     members = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id")) for kind, key in kinds.items()])
-    shown = tx.select(*dimensions, F.inline(members)).filter(F.col("id").isNotNull())
-    bitmaps = shown.groupBy("kind", F.bitmap_bucket_number("id").alias("bucket"), *dimensions).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap")
-    )
-    bitmaps = stage(bitmaps, "finest_sets")
+    shown = tx.select(*dimensions, F.inline(members)).filter(F.col("id").isNotNull()).distinct()
+    cell = ["kind", "bucket", *dimensions]
+    placed = shown.select("kind", F.bitmap_bucket_number("id").alias("bucket"), *dimensions, F.bitmap_bit_position("id").alias("bit"))
+    # Ids are brought to their cell before a bitmap is made: made where the rows lie, there would be one per task and cell.
+    rows = (finest.agg(F.sum("rows")).first()[0] or 0) * len(kinds)
+    bitmaps = placed.repartition(_parts(rows, IDS_A_TASK), *cell).groupBy(*cell).agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    return Cube(sums, _merged_sets(stage(bitmaps, "finest_sets"), dimensions), dimensions)
+
+
+def _merged_sets(finest: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
+    """The bitmaps of all levels; those of a bucket meet once, and no task has more than about ``BITMAPS_A_TASK``."""
     always = ("kind", "bucket")
-    sets = bitmaps.groupingSets(_grouping_sets(dimensions, always), *always, *dimensions).agg(level, F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return Cube(sums, sets, dimensions)
+    met = finest.repartition(_parts(finest.count(), BITMAPS_A_TASK), *always)
+    sets = None
+    for n in range(len(dimensions), -1, -1):
+        for chosen in combinations(dimensions, n):
+            cells = met if chosen == dimensions else met.groupBy(*always, *chosen).agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+            shown = [F.col(d) if d in chosen else F.lit(None).cast(finest.schema[d].dataType).alias(d) for d in dimensions]
+            cells = cells.select(*always, *shown, F.lit(_level(dimensions, chosen)).alias("level"), "bitmap")
+            sets = cells if sets is None else sets.unionByName(cells)
+    return sets
+
+
+def _parts(rows: int, most: int) -> int:
+    return max(1, ceil(rows / most))
 
 
 def write_cube(cube: Cube, folder: str) -> None:
-    for name, table in (("cube_sums", cube.sums), ("cube_sets", cube.sets)):
-        # a level's cells lie together, so that few files are read for it
-        table.repartition("level").write.mode("overwrite").partitionBy("level").parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    # A level's cells lie together, so that few files are read for it. Tasks that merge sets hold a bounded number of them and
+    # write them; to collect them anew would go by compressed size, which is far less than what a nearly empty bitmap takes in memory.
+    for name, table in (("cube_sums", cube.sums.hint("rebalance", F.col("level"))), ("cube_sets", cube.sets)):
+        table.write.mode("overwrite").partitionBy("level").parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_cube(spark: SparkSession, folder: str, dimensions: tuple[str, ...] = FILTER_DIMENSIONS) -> Cube:

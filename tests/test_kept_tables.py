@@ -183,3 +183,14 @@ def test_one_value_of_the_keys_is_several_files(spark, tmp_path, monkeypatch):
     sizes = [r["count"] for r in kept.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) > 5 and max(sizes) < 300
     assert sorted(r["id"] for r in kept.collect()) == list(range(1000))
+
+
+def test_a_level_of_the_cube_is_written_by_several_tasks(spark, items, tmp_path, monkeypatch):
+    monkeypatch.setattr(cube, "BITMAPS_A_TASK", 16, raising=False)
+    monkeypatch.setattr(cube, "IDS_A_TASK", 500, raising=False)
+    cube.write_cube(cube.build_cube(items), str(tmp_path))
+    assert len(list((tmp_path / "cube_sets.parquet" / "level=0").glob("*.parquet"))) > 1
+    kept = cube.read_cube(spark, str(tmp_path))
+    assert kept.sets.groupBy("level", "kind", "bucket", *kept.dimensions).count().filter("count > 1").isEmpty()
+    for own in ({}, {"market": ["ASIA"]}, WANTED):
+        assert cube.routed_kpis(kept, **own).collect() == kpis.filtered_kpis(filters.cross_filter(items, **own)).collect()
